@@ -7,14 +7,15 @@ of them, plus those earlier on its own day. Nothing here pairs touches with
 purchases; each step is a running total over sorted rows:
 
 1. Points: touches and purchases per user and instant, partitioned by user, day
-   and a slot of some minutes. Inside a slot, running totals in time order give
-   what each purchase has seen in its slot.
-2. Slots: one row per user, day and slot. Running totals over the slots of a day
-   and over the preceding days give what came before each slot. A purchase's
-   touches are the sum of both, and its weight is one over that number.
-3. The same two steps backwards carry the weights to the touches: a touch earns
-   the weights of the purchases after it in its slot, in later slots of its day
-   and on the following days.
+   and a slot of some minutes. The events are shuffled this once.
+2. Slots: one row per user, day and slot. Running totals over the earlier slots of
+   the day and over the days before give what came before each slot. Joined back
+   to the points and added to the running totals inside the slot, they give the
+   touches of each purchase; its weight is one over their number.
+3. Backwards, the weights go to the touches: a touch earns those of the purchases
+   after it in its slot, in later slots of its day and on the following days. The
+   first is a running total over the points; the points are then summed per slot
+   and channel, and running totals over those rows give the others.
 
 The rows of one user are spread over days and slots, so a user with a large share
 of all events fills many tasks. What is gathered per user are slots, whose number
@@ -65,8 +66,11 @@ def _points(
         F.when(~is_purchase, F.col("channel_id")).alias("channel_id"),
         "event_id",
     )
+    # Both uses of the points shuffle the same rows only if their filters agree, and a
+    # join on the keys would add these conditions to one of them.
+    complete = events.where(F.col("day").isNotNull() & F.col("slot").isNotNull())
     return (
-        events.repartition(*SLOT_KEY)
+        complete.repartition(*SLOT_KEY)
         .groupBy(*SLOT_KEY, "at", "buys", "channel_id")
         .agg(
             F.count_if(~F.col("buys")).alias("touches"),
@@ -88,26 +92,33 @@ def _seen_before_slot(points: DataFrame, lookback_days: int) -> DataFrame:
         F.min(_touch("first_event")).alias("first"),
         F.max(_touch("last_event")).alias("last"),
     )
-    of_user = Window.partitionBy("user_id")
     of_day = Window.partitionBy("user_id", "day")
     earlier = of_day.orderBy("slot").rowsBetween(*BEFORE)
-    days_before = of_user.orderBy("day").rangeBetween(-lookback_days, -1)
-    return slots.repartition("user_id").select(
+    days_before = Window.partitionBy("user_id").orderBy("day").rangeBetween(-lookback_days, -1)
+    in_day = slots.repartition("user_id").withColumns(
+        {
+            "day_seen": F.sum("touches").over(earlier),
+            "day_last": F.max("last").over(earlier),
+            "day_first": F.min("first").over(of_day),
+        }
+    )
+    return in_day.select(
         *SLOT_KEY,
-        _plus(F.sum("touches").over(days_before), F.sum("touches").over(earlier)).alias("seen"),
-        F.coalesce(F.min("first").over(days_before), F.min("first").over(of_day)).alias("first"),
-        F.coalesce(F.max("last").over(earlier), F.max("last").over(days_before)).alias("last"),
+        _plus(F.sum("touches").over(days_before), F.col("day_seen")).alias("seen"),
+        F.coalesce(F.min("first").over(days_before), "day_first").alias("first"),
+        F.coalesce("day_last", F.max("last").over(days_before)).alias("last"),
     )
 
 
-def _due_after_slot(weighed: DataFrame, lookback_days: int) -> DataFrame:
-    """Per slot: the purchase weights in the later slots of the day and on the days after."""
-    slots = weighed.groupBy(*SLOT_KEY).agg(F.sum("weight").alias("weight"))
-    later = Window.partitionBy("user_id", "day").orderBy(F.desc("slot")).rowsBetween(*BEFORE)
+def _add_later_weights(per_slot: DataFrame, lookback_days: int) -> DataFrame:
+    """Per slot and channel: what its touches earn from later slots of the day and the days after."""
+    later = Window.partitionBy("user_id", "day").orderBy(F.desc("slot")).rangeBetween(*BEFORE)
     days_after = Window.partitionBy("user_id").orderBy("day").rangeBetween(1, lookback_days)
-    return slots.repartition("user_id").select(
-        *SLOT_KEY,
-        _plus(F.sum("weight").over(later), F.sum("weight").over(days_after)).alias("due"),
+    return (
+        per_slot.repartition("user_id")
+        .withColumn("day_due", F.sum("weight").over(later))
+        .withColumn("due", _plus(F.col("day_due"), F.sum("weight").over(days_after)))
+        .withColumn("linear", F.col("linear") + F.col("touches") * F.col("due"))
     )
 
 
@@ -118,6 +129,16 @@ def _plus(*parts: Column) -> Column:
     return total
 
 
+def _credit(channel: Column, **amounts: Column) -> Column:
+    """What one point adds to a channel; amounts not given are 0."""
+    none = F.lit(0)
+    return F.struct(
+        channel.alias("channel_id"),
+        *(amounts.get(name, none).cast("bigint").alias(name) for name in ("first", "last", "touches")),
+        *(amounts.get(name, none).cast("double").alias(name) for name in ("weight", "linear")),
+    )
+
+
 def channel_attribution(
     clickstream: DataFrame,
     channels: DataFrame,
@@ -140,46 +161,41 @@ def channel_attribution(
     forward = in_slot.orderBy("at", F.desc("buys")).rowsBetween(*BEFORE)
     backward = in_slot.orderBy(F.desc("at"), "buys").rowsBetween(*BEFORE)
 
-    seen = (
-        points.withColumns(
-            {
-                "slot_seen": F.sum("touches").over(forward),
-                "slot_last": F.max(_touch("last_event")).over(forward),
-            }
-        )
-        .join(_seen_before_slot(points, lookback_days), list(SLOT_KEY))
-        .withColumn("total", _plus(F.col("seen"), F.col("slot_seen")))
+    seen = points.withColumns(
+        {
+            "slot_seen": F.sum("touches").over(forward),
+            "slot_last": F.max(_touch("last_event")).over(forward),
+        }
+    ).join(_seen_before_slot(points, lookback_days), list(SLOT_KEY))
+    total = _plus(F.col("seen"), F.col("slot_seen"))
+    weighed = seen.withColumn("weight", F.when(F.col("buys") & (total > 0), 1.0 / total)).withColumn(
+        "slot_due", F.sum("weight").over(backward)
     )
-    converts = F.col("buys") & (F.col("total") > 0)
-    weighed = seen.withColumn("weight", F.when(converts, 1.0 / F.col("total")))
-    credited = weighed.withColumn("slot_due", F.sum("weight").over(backward)).join(
-        _due_after_slot(weighed, lookback_days), list(SLOT_KEY)
-    )
-
-    def credit(channel: Column, first: Column, last: Column, linear: Column) -> Column:
-        return F.struct(
-            channel.alias("channel_id"),
-            first.cast("bigint").alias("first"),
-            last.cast("bigint").alias("last"),
-            linear.cast("double").alias("linear"),
-        )
 
-    none, one = F.lit(0), F.lit(1)
-    last = F.coalesce("slot_last", "last")
-    earned = F.col("touches") * _plus(F.col("due"), F.col("slot_due"))
-    credits = credited.select(
+    converts, last = F.col("weight").isNotNull(), F.coalesce("slot_last", "last")
+    earned = F.col("touches") * _plus(F.col("slot_due"))
+    credits = weighed.select(
+        *SLOT_KEY,
         F.inline(
             F.when(
                 converts,
                 F.array(
-                    credit(F.col("first.channel_id"), one, none, none),
-                    credit(last["channel_id"], none, one, none),
+                    _credit(F.col("first.channel_id"), first=F.lit(1), weight=F.col("weight")),
+                    _credit(last["channel_id"], last=F.lit(1)),
                 ),
-            ).when(~F.col("buys"), F.array(credit(F.col("channel_id"), none, none, earned)))
-        )
+            ).when(
+                ~F.col("buys"),
+                F.array(_credit(F.col("channel_id"), touches=F.col("touches"), linear=earned)),
+            )
+        ),
+    )
+    per_slot = credits.groupBy(*SLOT_KEY, "channel_id").agg(
+        *(F.sum(name).alias(name) for name in ("first", "last", "touches", "weight", "linear"))
     )
-    per_channel = credits.groupBy("channel_id").agg(
-        F.sum("first").alias("first"), F.sum("last").alias("last"), F.sum("linear").alias("linear")
+    per_channel = (
+        _add_later_weights(per_slot, lookback_days)
+        .groupBy("channel_id")
+        .agg(*(F.sum(name).alias(name) for name in ("first", "last", "linear")))
     )
     return channels.select("channel_id", "channel_name", "channel_type").join(
         per_channel, "channel_id", "left"

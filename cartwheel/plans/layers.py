@@ -1,12 +1,19 @@
-"""The jobs that move data through the raw, trusted and curated layers."""
+"""The jobs that move data through the raw, trusted and curated layers.
+
+Tables and outputs that do not depend on each other are submitted to Spark a few
+at a time, so that small ones do not leave a cluster idle.
+"""
 
 from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable, Iterable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 from functools import reduce
-from pathlib import PurePosixPath
+from typing import TypeVar
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,23 +23,33 @@ from cartwheel.operators.versions import current_snapshot, dedup, restamp
 from cartwheel.plans import attribution, dims, facts, funnel, inventory, promotions, rfm
 from cartwheel.session import scratch
 from cartwheel.sinks import tables
-from cartwheel.sinks.watermarks import Watermarks
+from cartwheel.sinks.watermarks import START, Watermarks
 from cartwheel.sources import files
 from cartwheel.streaming import clickstream
 
 # A source gives the rows of a table changed after a watermark, or all rows where it is None.
 Source = Callable[[str, str | None], DataFrame]
+Result = TypeVar("Result")
 
 PEOPLE_TABLES = frozenset({"users"})
+AT_A_TIME = 4
 
 
 def utc_stamp() -> str:
     return dt.datetime.now(dt.timezone.utc).strftime("%Y-%m-%d %H:%M:%S.%f")
 
 
-def join_path(*parts: str) -> str:
-    head, *rest = parts
-    return "/".join([head.rstrip("/"), *(str(PurePosixPath(part)) for part in rest)])
+def join_path(root: str, *parts: str) -> str:
+    return "/".join([root.rstrip("/"), *parts])
+
+
+def _each(
+    spark: SparkSession, names: Iterable[str], job: Callable[[str], Result], at_a_time: int
+) -> dict[str, Result]:
+    """Run a job for every name, some at a time; the first error is raised."""
+    names = list(names)
+    with ThreadPoolExecutor(max_workers=at_a_time) as pool:
+        return dict(zip(names, pool.map(inheritable_thread_target(spark)(job), names), strict=True))
 
 
 def _advance(watermarks: Watermarks, layer: str, table: str, seen: Observation) -> None:
@@ -57,6 +74,7 @@ def load_raw(
     *,
     stamp: str | None = None,
     single_partition: bool = False,
+    at_a_time: int = AT_A_TIME,
 ) -> list[str]:
     """Append the changed rows of tracked tables, rewrite the others; returns the tables written.
 
@@ -64,12 +82,13 @@ def load_raw(
     observed during the write and costs no further pass.
     """
     stamp = stamp or utc_stamp()
-    written = []
-    for table in table_names:
+    known = watermarks.of_layer("raw")
+
+    def load(table: str) -> bool:
         tracked = table in TRACKED_TABLES
-        rows = source(table, watermarks.get("raw", table) if tracked else None)
+        rows = source(table, known.get(table, START) if tracked else None)
         if rows.isEmpty():
-            continue
+            return False
         out = stamped(rows, stamp).withColumn(STAMP_DATE, F.lit(stamp[:10]))
         path = join_path(raw_path, table)
         layout = {"partition_by": (STAMP_DATE,), "single_partition": single_partition}
@@ -80,8 +99,10 @@ def load_raw(
             _advance(watermarks, "raw", table, seen)
         else:
             tables.replace(out, path, **layout)
-        written.append(table)
-    return written
+        return True
+
+    done = _each(spark, table_names, load, at_a_time)
+    return [table for table, written in done.items() if written]
 
 
 # Trusted layer.
@@ -106,17 +127,19 @@ def load_trusted(
     *,
     stamp: str | None = None,
     single_partition: bool = False,
+    at_a_time: int = AT_A_TIME,
 ) -> list[str]:
     """Refine what arrived in the raw layer since the last run; returns the tables written."""
     stamp = stamp or utc_stamp()
-    written = []
-    for table in table_names:
+    known = watermarks.of_layer("trusted")
+
+    def load(table: str) -> bool:
         raw = files.parquet_if_any(spark, join_path(raw_path, table))
         if raw is None:
-            continue
-        batch = files.changed_since(raw, STAMP, watermarks.get("trusted", table))
+            return False
+        batch = files.changed_since(raw, STAMP, known.get(table, START))
         if batch.isEmpty():
-            continue
+            return False
         seen = Observation(f"trusted {table}")
         batch = batch.observe(seen, F.max(STAMP).cast("string").alias("highest"))
         tables.append(
@@ -126,83 +149,93 @@ def load_trusted(
             single_partition=single_partition,
         )
         _advance(watermarks, "trusted", table, seen)
-        written.append(table)
-    return written
+        return True
 
+    done = _each(spark, table_names, load, at_a_time)
+    return [table for table, written in done.items() if written]
 
-# Curated layer.
 
+# Curated layer.
 
-class Current:
-    """The latest state of trusted tables, built at most once per run.
 
-    A table that arrived in one batch is read as it is. Where several batches
-    exist, their latest rows are written to the shared scratch folder, since most
-    tables feed several outputs.
+def current(
+    spark: SparkSession,
+    trusted_path: str,
+    table_names: Iterable[str],
+    *,
+    append_only: Iterable[str] = (),
+    at_a_time: int = AT_A_TIME,
+) -> dict[str, DataFrame]:
+    """The latest state of trusted tables.
+
+    A table that arrived in one batch holds each key once and is read as it is, and
+    so is one said to be ``append_only``. Where several batches exist, their latest
+    rows are written to the shared scratch folder once, since most tables feed
+    several outputs.
     """
+    append_only = frozenset(append_only)
 
-    def __init__(self, spark: SparkSession, trusted_path: str, *, append_only: Iterable[str] = ()) -> None:
-        self._spark = spark
-        self._trusted_path = trusted_path
-        self._append_only = frozenset(append_only)
-        self._tables: dict[str, DataFrame] = {}
-
-    def __getitem__(self, table: str) -> DataFrame:
-        if table not in self._tables:
-            self._tables[table] = self._read(table)
-        return self._tables[table]
-
-    def _read(self, table: str) -> DataFrame:
-        history = files.parquet(self._spark, join_path(self._trusted_path, table))
-        if table in self._append_only or self._is_one_batch(history):
+    def latest(table: str) -> DataFrame:
+        history = files.parquet(spark, join_path(trusted_path, table))
+        if table in append_only:
+            return history
+        first, last = history.agg(F.min(STAMP), F.max(STAMP)).first()
+        if first == last:
             return history
-        path = scratch(self._spark, f"current-{table}")
+        path = scratch(spark, f"current-{table}")
         tables.write(current_snapshot(history, PRIMARY_KEYS[table]), path, "errorifexists")
-        return files.parquet(self._spark, path)
+        return files.parquet(spark, path)
 
-    @staticmethod
-    def _is_one_batch(history: DataFrame) -> bool:
-        first, last = history.agg(F.min(STAMP), F.max(STAMP)).first()
-        return first == last
+    return _each(spark, table_names, latest, at_a_time)
 
 
-Output = Callable[[Mapping[str, DataFrame], dt.date | str | None], DataFrame]
+@dataclass(frozen=True)
+class Output:
+    """How a curated table is built from trusted ones; ``dated`` ones depend on the report date."""
 
-DIMENSIONS: dict[str, Output] = {
-    "dim_users": lambda t, _: dims.dim_users(t["users"]),
-    "dim_products": lambda t, _: dims.dim_products(t["products"], t["categories"]),
-    "dim_promotions": lambda t, _: dims.dim_promotions(t["promotions"]),
-    "dim_marketing_channels": lambda t, _: dims.dim_marketing_channels(t["marketing_channels"]),
-}
-FACTS: dict[str, Output] = {
-    "fact_orders": lambda t, _: facts.fact_orders(t["orders"], t["order_items"], t["order_promotions"]),
-    "fact_order_items": lambda t, _: facts.fact_order_items(t["order_items"], t["orders"]),
-}
-MARTS: dict[str, dict[str, Output]] = {
+    build: Callable[..., DataFrame]
+    inputs: tuple[str, ...]
+    dated: bool = False
+
+    def __call__(self, trusted: Mapping[str, DataFrame], as_of: dt.date | str | None) -> DataFrame:
+        options = {"as_of": as_of} if self.dated else {}
+        return self.build(*(trusted[table] for table in self.inputs), **options)
+
+
+GROUPS: dict[str, dict[str, Output]] = {
+    "dims": {
+        "dim_users": Output(dims.dim_users, ("users",)),
+        "dim_products": Output(dims.dim_products, ("products", "categories")),
+        "dim_promotions": Output(dims.dim_promotions, ("promotions",)),
+        "dim_marketing_channels": Output(dims.dim_marketing_channels, ("marketing_channels",)),
+    },
+    "facts": {
+        "fact_orders": Output(facts.fact_orders, ("orders", "order_items", "order_promotions")),
+        "fact_order_items": Output(facts.fact_order_items, ("order_items", "orders")),
+    },
     "q1": {
-        "gold_q1_conversion_funnel": lambda t, _: funnel.conversion_funnel(t["clickstream"], t["categories"]),
+        "gold_q1_conversion_funnel": Output(funnel.conversion_funnel, ("clickstream", "categories")),
     },
     "q2": {
-        "gold_q2_rfm_segmentation": lambda t, day: rfm.rfm_segmentation(t["orders"], t["users"], as_of=day),
+        "gold_q2_rfm_segmentation": Output(rfm.rfm_segmentation, ("orders", "users"), dated=True),
     },
     "q3": {
-        "gold_q3_promo_comparison": lambda t, _: promotions.promo_comparison(t["orders"], t["order_promotions"]),
-        "gold_q3_promo_detail": lambda t, _: promotions.promo_detail(
-            t["orders"], t["order_promotions"], t["promotions"]
+        "gold_q3_promo_comparison": Output(promotions.promo_comparison, ("orders", "order_promotions")),
+        "gold_q3_promo_detail": Output(
+            promotions.promo_detail, ("orders", "order_promotions", "promotions")
         ),
     },
     "q4": {
-        "gold_q4_inventory_analysis": lambda t, day: inventory.inventory_analysis(
-            t["products"], t["inventory"], t["order_items"], t["orders"], as_of=day
+        "gold_q4_inventory_analysis": Output(
+            inventory.inventory_analysis, ("products", "inventory", "order_items", "orders"), dated=True
         ),
     },
     "q5": {
-        "gold_q5_attribution": lambda t, _: attribution.channel_attribution(
-            t["clickstream"], t["marketing_channels"]
+        "gold_q5_attribution": Output(
+            attribution.channel_attribution, ("clickstream", "marketing_channels")
         ),
     },
 }
-GROUPS: dict[str, dict[str, Output]] = {"dims": DIMENSIONS, "facts": FACTS, **MARTS}
 
 
 def load_curated(
@@ -215,21 +248,25 @@ def load_curated(
     append_only: Iterable[str] = (),
     single_partition: bool = False,
     preview_rows: int = 0,
+    at_a_time: int = AT_A_TIME,
 ) -> list[str]:
     """Rebuild the outputs of the chosen groups; returns their names.
 
     Previews are read from what was written, so no output is computed twice.
     """
-    current = Current(spark, trusted_path, append_only=append_only)
-    written = []
-    for group in groups:
-        for name, build in GROUPS[group].items():
-            path = join_path(curated_path, name)
-            tables.replace(build(current, as_of), path, single_partition=single_partition)
-            if preview_rows > 0:
-                tables.preview(files.parquet(spark, path), name, preview_rows)
-            written.append(name)
-    return written
+    outputs = {name: output for group in groups for name, output in GROUPS[group].items()}
+    needed = dict.fromkeys(table for output in outputs.values() for table in output.inputs)
+    trusted = current(spark, trusted_path, needed, append_only=append_only, at_a_time=at_a_time)
+
+    def load(name: str) -> None:
+        path = join_path(curated_path, name)
+        tables.replace(outputs[name](trusted, as_of), path, single_partition=single_partition)
+
+    _each(spark, outputs, load, at_a_time)
+    if preview_rows > 0:
+        for name in outputs:
+            tables.preview(files.parquet(spark, join_path(curated_path, name)), name, preview_rows)
+    return list(outputs)
 
 
 # All layers in order.

@@ -8,7 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from cartwheel import storage
 from cartwheel.functions import text
-from cartwheel.model import PRIMARY_KEYS, STAMP
+from cartwheel.model import PRIMARY_KEYS, STAMP, STAMP_DATE
 from cartwheel.operators.versions import absent
 from cartwheel.sinks import tables
 from cartwheel.sources import files
@@ -51,7 +51,9 @@ def start(
     clicks = files.click_file_stream(spark, input_path, files_per_trigger=files_per_trigger)
     writer = (
         shape(clicks)
+        .withColumn(STAMP_DATE, F.to_date(STAMP))
         .writeStream.format("parquet")
+        .partitionBy(STAMP_DATE)
         .outputMode("append")
         .option("path", table_path)
         .option("checkpointLocation", checkpoint_path)
@@ -79,5 +81,5 @@ def ingest_batch(spark: SparkSession, input_path: str, table_path: str) -> bool:
         clicks = absent(known, clicks, PRIMARY_KEYS["clickstream"])
     if clicks.isEmpty():
         return False
-    tables.append(clicks, table_path)
+    tables.append(clicks.withColumn(STAMP_DATE, F.to_date(STAMP)), table_path, partition_by=(STAMP_DATE,))
     return True

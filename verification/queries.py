@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cartwheel.model import PRIMARY_KEYS, STAMP, VERSION
+from cartwheel.model import PRIMARY_KEYS, STAMP, STAMP_DATE, VERSION
 from cartwheel.operators.clean import clean
 from cartwheel.operators.quality import email_phone_quality, fk_violations, key_violations
 from cartwheel.operators.rollup import order_totals_rollup
@@ -88,7 +88,7 @@ def _clickstream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch(spark, "clicks")
     run(spark, sf_dir, inputs.CLICK_ROWS).write.csv(f"{folder}/landing")
     ingest_once(spark, f"{folder}/landing", f"{folder}/raw", f"{folder}/checkpoint")
-    return plain(parquet(spark, f"{folder}/raw").drop(STAMP))
+    return plain(parquet(spark, f"{folder}/raw").drop(STAMP, STAMP_DATE))
 
 
 def _silver_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
