@@ -20,7 +20,9 @@ def in_memory(spark: SparkSession, rows: Sequence[tuple], names: Sequence[str] |
 def click_files(spark: SparkSession, path: str) -> DataFrame:
     """Headerless click-event files: one file, or the ``*.csv`` files of a folder."""
     reader = spark.read.schema(click_file_schema()).option("header", False)
-    return reader.option("pathGlobFilter", "*.csv").csv(path)
+    if not storage.is_file(spark, path):
+        reader = reader.option("pathGlobFilter", "*.csv")
+    return reader.csv(path)
 
 
 def click_file_stream(

@@ -15,6 +15,11 @@ def exists(spark: SparkSession, path: str) -> bool:
     return files.exists(place)
 
 
+def is_file(spark: SparkSession, path: str) -> bool:
+    place, files = _at(spark, path)
+    return files.exists(place) and files.getFileStatus(place).isFile()
+
+
 def rename(spark: SparkSession, source: str, target: str) -> None:
     place, files = _at(spark, source)
     if not files.rename(place, spark._jvm.org.apache.hadoop.fs.Path(target)):

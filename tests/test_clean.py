@@ -1,0 +1,93 @@
+import pytest
+from pyspark.sql import functions as F
+
+from cartwheel.functions import text
+from cartwheel.operators.clean import clean
+
+
+def apply(spark, rule, values):
+    df = spark.createDataFrame(list(enumerate(values)), "i INT, v STRING")
+    return [row.out for row in df.select("i", rule(F.col("v")).alias("out")).orderBy("i").collect()]
+
+
+def test_blank_to_null(spark):
+    assert apply(spark, text.blank_to_null, ["  x ", "", "   ", "\tx\t", None]) == ["x", None, None, "\tx\t", None]
+
+
+def test_proper_name(spark):
+    assert apply(spark, text.proper_name, ["ada  lovelace", "o'neil-SMITH", "ada\t\n king", None]) == [
+        "Ada Lovelace", "O'neil-smith", "Ada King", None,
+    ]
+
+
+def test_email(spark):
+    given = ["A.B+c@Example.COM", "a.example.com", "a@b.c", "a b@example.com", "a@@example.com", "", None]
+    assert apply(spark, text.email_or_null, given) == ["a.b+c@example.com"] + [None] * 6
+
+
+@pytest.mark.parametrize(
+    "given, kept",
+    [
+        ("12345678", None),
+        ("123456789", "123456789"),
+        ("1" * 15, "1" * 15),
+        ("1" * 16, None),
+        ("+84 (90) 123-4567", "84901234567"),
+        ("call me", None),
+        (None, None),
+    ],
+)
+def test_phone(spark, given, kept):
+    assert apply(spark, text.phone_or_null, [given]) == [kept]
+
+
+def test_id(spark):
+    given = ["007", "6f1c-uuid", "-1", "1.0", "9" * 19, "9" * 20, "", None]
+    assert apply(spark, text.id_or_null, given) == [7, None, None, None, None, None, None, None]
+    assert apply(spark, text.id_or_null, ["9223372036854775807"]) == [2**63 - 1]
+
+
+def test_time(spark):
+    given = ["2001-02-03 04:05:06", "2001-02-03", "2001-02-03T04:05:06", "soon", "", None]
+    found = apply(spark, lambda c: text.time_or_null(c).cast("string"), given)
+    assert found == ["2001-02-03 04:05:06", "2001-02-03 00:00:00", "2001-02-03 04:05:06", None, None, None]
+
+
+def test_truth_and_unset(spark):
+    given = ["True", "TRUE", "false", "1", "", None]
+    assert apply(spark, text.truth, given) == [True, True, False, False, False, False]
+    given = [None, "", "  ", "null", "NULL", "2024-01-01 00:00:00"]
+    assert apply(spark, text.unset, given) == [True, True, True, True, True, False]
+
+
+def test_clean_people(spark):
+    df = spark.createDataFrame(
+        [(" 12 ", " abc-1 ", " ada  LOVELACE ", " X@Y.ORG ", "090-123-4567", "2001-01-01", 5)],
+        "user_id STRING, session_id STRING, full_name STRING, email STRING, phone STRING, created_at STRING, n INT",
+    )
+    cleaned = clean(df, people=True)
+    assert [field.dataType.simpleString() for field in cleaned.schema] == [
+        "bigint", "string", "string", "string", "string", "timestamp", "int",
+    ]
+    row = cleaned.first()
+    assert tuple(row)[:5] == (12, "abc-1", "Ada Lovelace", "x@y.org", "0901234567")
+    assert row.n == 5
+
+
+def test_clean_other_tables_keep_contact_columns(spark):
+    df = spark.createDataFrame([("  ada  x ", "NOT MAIL", "12")], "name STRING, email STRING, phone STRING")
+    assert tuple(clean(df).first()) == ("ada  x", "NOT MAIL", "12")
+
+
+def test_clean_chosen_id_columns(spark):
+    df = spark.createDataFrame([("7f3a-uuid", "5")], "session_id STRING, user_id STRING")
+    assert tuple(clean(df, id_columns=("session_id",)).first()) == (None, "5")
+
+
+def test_clean_stays_inside_one_generated_stage(spark, sf_dir):
+    from verification.adapters import run
+    from verification.inputs import DIRTY_USERS
+
+    plan = clean(run(spark, sf_dir, DIRTY_USERS), people=True)._jdf.queryExecution().executedPlan().toString()
+    operators = [line for line in plan.splitlines() if line.strip(" +-:")]
+    assert all("*(1)" in line or "FileScan" in line for line in operators)
