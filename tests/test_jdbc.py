@@ -1,0 +1,47 @@
+"""What is asked of the database; no database is available to read from."""
+
+from cartwheel.sources.files import csv_with_header, in_memory
+from cartwheel.sources.jdbc import Database, Split, click_table_as_files, relation
+from cartwheel.model import click_file_schema, table_schema
+
+
+def test_relation():
+    assert relation("orders", "2024-01-02 03:04:05.6") == (
+        "(SELECT * FROM orders WHERE updated_at > '2024-01-02 03:04:05.6') AS changed"
+    )
+    assert ">= '" in relation("orders", "2024-01-02", inclusive=True)
+    assert relation("orders", None) == "orders"
+    assert relation("notes", "2024-01-02") == "notes"
+
+
+def test_options():
+    database = Database("jdbc:postgresql://host/db", "me", "secret", extra={"sessionInitStatement": "SET x = 1"})
+    assert database.options() == {
+        "url": "jdbc:postgresql://host/db", "user": "me", "password": "secret",
+        "driver": "org.postgresql.Driver", "fetchsize": "10000", "sessionInitStatement": "SET x = 1",
+    }
+    assert "secret" not in repr(database)
+
+
+def test_split():
+    assert Split("order_id", "1", "1000", 16).options() == {
+        "partitionColumn": "order_id", "lowerBound": "1", "upperBound": "1000", "numPartitions": "16",
+    }
+
+
+def test_click_table_names(spark):
+    table = click_table_as_files(spark.createDataFrame([], table_schema("clickstream")))
+    shared = set(table.columns) & set(click_file_schema().names)
+    assert {"event_time", "campaign_name", "price", "discount"} <= shared
+
+
+def test_in_memory(spark):
+    assert in_memory(spark, [("a", 1), ("b", 2), ("c", 3)], ["name", "value"]).count() == 3
+
+
+def test_csv_with_header(spark, tmp_path):
+    (tmp_path / "u.csv").write_text("user_id,region,name\n1,HN,Nguyễn\n2,HCM,Trần\n")
+    inferred = csv_with_header(spark, str(tmp_path / "u.csv"))
+    assert inferred.dtypes == [("user_id", "int"), ("region", "string"), ("name", "string")]
+    declared = csv_with_header(spark, str(tmp_path / "u.csv"), "user_id BIGINT, region STRING, name STRING")
+    assert declared.first().user_id == 1
