@@ -26,6 +26,12 @@ def _yes(text: str) -> bool:
     return text.lower() == "true"
 
 
+def _split(text: str) -> tuple[str, jdbc.Split]:
+    table, _, ranges = text.partition("=")
+    column, lower, upper, partitions = ranges.split(",")
+    return table, jdbc.Split(column, lower, upper, int(partitions))
+
+
 def parser() -> argparse.ArgumentParser:
     top = argparse.ArgumentParser(prog="cartwheel")
     jobs = top.add_subparsers(dest="job", required=True)
@@ -37,6 +43,10 @@ def parser() -> argparse.ArgumentParser:
     bronze.add_argument("--jdbc_password", required=True)
     bronze.add_argument("--bronze_out", required=True)
     bronze.add_argument("--watermarks", required=True)
+    bronze.add_argument(
+        "--split", type=_split, action="append", default=[], metavar="TABLE=COLUMN,LOWER,UPPER,PARTITIONS",
+        help="read a large table through several connections",
+    )
 
     clicks = jobs.add_parser("clickstream", help="ingest click-event files")
     clicks.add_argument("--input_path", required=True)
@@ -76,9 +86,12 @@ def parser() -> argparse.ArgumentParser:
 def run(spark: SparkSession, args: argparse.Namespace) -> None:
     if args.job == "bronze":
         database = jdbc.Database(args.jdbc_url, args.jdbc_user, args.jdbc_password)
+        splits = dict(args.split)
         layers.load_raw(
             spark,
-            lambda table, watermark: jdbc.read_table(spark, database, table, watermark),
+            lambda table, watermark: jdbc.read_table(
+                spark, database, table, watermark, split=splits.get(table)
+            ),
             args.bronze_out,
             args.tables,
             Watermarks(spark, args.watermarks),

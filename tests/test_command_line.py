@@ -3,6 +3,7 @@ import datetime as dt
 from cartwheel.__main__ import parser, run
 from cartwheel.plans.layers import GROUPS
 from cartwheel.sources.files import parquet
+from cartwheel.sources.jdbc import Split
 from test_clickstream import line
 
 
@@ -14,6 +15,9 @@ def test_arguments():
     args = parser().parse_args(["silver", "--tables", "users, orders,", "--bronze_path", "b", "--silver_out", "s",
                                 "--watermarks", "w"])
     assert args.tables == ["users", "orders"]
+    args = parser().parse_args(["bronze", "--jdbc_url", "u", "--jdbc_user", "u", "--jdbc_password", "p", "--bronze_out",
+                                "b", "--watermarks", "w", "--split", "orders=order_id,1,9000,16"])
+    assert dict(args.split) == {"orders": Split("order_id", "1", "9000", 16)}
 
 
 def test_transactions_job(spark, tmp_path, capsys):
