@@ -14,6 +14,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cartwheel.model import STAMP, STAMP_DATE, VERSION
+from cartwheel.session import scratch
+
+# How many repeated keys may be broadcast; at some tens of bytes each, well below 100 MB.
+BROADCAST_KEYS = 500_000
 
 _UNORDERED = (T.MapType, T.VariantType)
 
@@ -61,6 +65,37 @@ def dedup(
     return newest_per_key(df.dropna(subset=list(keys)), keys, _by_age(df, version, stamp))
 
 
+def dedup_rare(
+    df: DataFrame,
+    keys: Sequence[str],
+    *,
+    version: str | None = VERSION,
+    stamp: str | None = STAMP,
+    settle_ties: bool = True,
+    broadcast_keys: int = BROADCAST_KEYS,
+) -> DataFrame:
+    """What ``dedup`` returns, for a large table in which few keys repeat.
+
+    The repeated keys are found first, from the key columns alone. If they are few
+    enough to broadcast, only their rows are shuffled and ranked, and all others
+    pass straight through; otherwise every row is ranked. Runs a job when called.
+    """
+    spark, keys = df.sparkSession, list(keys)
+    complete = df.dropna(subset=keys)
+    path = scratch(spark, "repeated-keys")
+    complete.groupBy(*keys).agg(F.count("*").alias("_copies")).where("_copies > 1").select(
+        *keys, F.lit(True).alias("_repeats")
+    ).write.parquet(path)
+    repeated = spark.read.parquet(path)
+    order = _by_age(df, version, stamp)
+    if repeated.count() > broadcast_keys:
+        return newest_per_key(complete, keys, order, settle_ties=settle_ties)
+    marked = complete.join(F.broadcast(repeated), keys, "left")
+    single = marked.where(F.col("_repeats").isNull()).select(*df.columns)
+    several = marked.where(F.col("_repeats")).select(*df.columns)
+    return single.unionByName(newest_per_key(several, keys, order, settle_ties=settle_ties))
+
+
 def restamp(df: DataFrame, stamp: str) -> DataFrame:
     """Replace the arrival stamp and add its date, the partition column of the trusted layer."""
     return df.withColumns(

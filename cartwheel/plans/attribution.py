@@ -6,8 +6,9 @@ is a whole day, so the touches of a purchase are those of the days before it, al
 of them, plus those earlier on its own day. Nothing here pairs touches with
 purchases; each step is a running total over sorted rows:
 
-1. Points: touches and purchases per user and instant, partitioned by user, day
-   and a slot of some minutes. The events are shuffled this once.
+1. Points: touches per user, instant and channel and purchases per user and
+   instant, partitioned by user, day and a slot of some minutes. Copies of an event
+   are merged before they are shuffled, and the points are computed once.
 2. Slots: one row per user, day and slot. Running totals over the earlier slots of
    the day and over the days before give what came before each slot. Joined back
    to the points and added to the running totals inside the slot, they give the
@@ -70,13 +71,13 @@ def _points(
     # join on the keys would add these conditions to one of them.
     complete = events.where(F.col("day").isNotNull() & F.col("slot").isNotNull())
     return (
-        complete.repartition(*SLOT_KEY)
-        .groupBy(*SLOT_KEY, "at", "buys", "channel_id")
+        complete.groupBy(*SLOT_KEY, "at", "buys", "channel_id")
         .agg(
             F.count_if(~F.col("buys")).alias("touches"),
             F.min("event_id").alias("first_event"),
             F.max("event_id").alias("last_event"),
         )
+        .repartition(*SLOT_KEY)
     )
 
 
@@ -92,14 +93,13 @@ def _seen_before_slot(points: DataFrame, lookback_days: int) -> DataFrame:
         F.min(_touch("first_event")).alias("first"),
         F.max(_touch("last_event")).alias("last"),
     )
-    of_day = Window.partitionBy("user_id", "day")
-    earlier = of_day.orderBy("slot").rowsBetween(*BEFORE)
+    earlier = Window.partitionBy("user_id", "day").orderBy("slot").rowsBetween(*BEFORE)
     days_before = Window.partitionBy("user_id").orderBy("day").rangeBetween(-lookback_days, -1)
     in_day = slots.repartition("user_id").withColumns(
         {
             "day_seen": F.sum("touches").over(earlier),
+            "day_first": F.min("first").over(earlier),
             "day_last": F.max("last").over(earlier),
-            "day_first": F.min("first").over(of_day),
         }
     )
     return in_day.select(
@@ -164,6 +164,7 @@ def channel_attribution(
     seen = points.withColumns(
         {
             "slot_seen": F.sum("touches").over(forward),
+            "slot_first": F.min(_touch("first_event")).over(forward),
             "slot_last": F.max(_touch("last_event")).over(forward),
         }
     ).join(_seen_before_slot(points, lookback_days), list(SLOT_KEY))
@@ -172,7 +173,8 @@ def channel_attribution(
         "slot_due", F.sum("weight").over(backward)
     )
 
-    converts, last = F.col("weight").isNotNull(), F.coalesce("slot_last", "last")
+    converts = F.col("weight").isNotNull()
+    first, last = F.coalesce("first", "slot_first"), F.coalesce("slot_last", "last")
     earned = F.col("touches") * _plus(F.col("slot_due"))
     credits = weighed.select(
         *SLOT_KEY,
@@ -180,7 +182,7 @@ def channel_attribution(
             F.when(
                 converts,
                 F.array(
-                    _credit(F.col("first.channel_id"), first=F.lit(1), weight=F.col("weight")),
+                    _credit(first["channel_id"], first=F.lit(1), weight=F.col("weight")),
                     _credit(last["channel_id"], last=F.lit(1)),
                 ),
             ).when(

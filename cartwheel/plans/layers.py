@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from cartwheel.model import PRIMARY_KEYS, STAMP, STAMP_DATE, TRACKED_TABLES, VERSION
 from cartwheel.operators.clean import clean
-from cartwheel.operators.versions import current_snapshot, dedup, restamp
+from cartwheel.operators.versions import current_snapshot, dedup, dedup_rare, restamp
 from cartwheel.plans import attribution, dims, facts, funnel, inventory, promotions, rfm
 from cartwheel.session import scratch
 from cartwheel.sinks import tables
@@ -32,6 +32,7 @@ Source = Callable[[str, str | None], DataFrame]
 Result = TypeVar("Result")
 
 PEOPLE_TABLES = frozenset({"users"})
+RARELY_REPEATED = frozenset({"clickstream"})
 AT_A_TIME = 4
 
 
@@ -52,12 +53,6 @@ def _each(
         return dict(zip(names, pool.map(inheritable_thread_target(spark)(job), names), strict=True))
 
 
-def _advance(watermarks: Watermarks, layer: str, table: str, seen: Observation) -> None:
-    highest = seen.get["highest"]
-    if highest is not None:
-        watermarks.put(layer, table, highest)
-
-
 # Raw layer.
 
 
@@ -96,7 +91,8 @@ def load_raw(
             seen = Observation(f"raw {table}")
             marked = out.observe(seen, F.max(VERSION).cast("string").alias("highest"))
             tables.append(marked, path, **layout)
-            _advance(watermarks, "raw", table, seen)
+            if seen.get["highest"] is not None:
+                watermarks.put("raw", table, seen.get["highest"])
         else:
             tables.replace(out, path, **layout)
         return True
@@ -108,10 +104,12 @@ def load_raw(
 # Trusted layer.
 
 
-def refine(raw: DataFrame, table: str, stamp: str) -> DataFrame:
+def refine(raw: DataFrame, table: str, stamp: str, *, rarely_repeated: bool = False) -> DataFrame:
     """Clean a raw batch, keep the latest row per key and stamp it."""
     cleaned = clean(raw.drop(STAMP_DATE), people=table in PEOPLE_TABLES)
-    return restamp(dedup(cleaned, PRIMARY_KEYS.get(table, ())), stamp)
+    key = PRIMARY_KEYS.get(table, ())
+    latest = dedup_rare(cleaned, key) if key and rarely_repeated else dedup(cleaned, key)
+    return restamp(latest, stamp)
 
 
 def refine_since(raw: DataFrame, table: str, watermark: str, stamp: str) -> DataFrame:
@@ -126,29 +124,33 @@ def load_trusted(
     watermarks: Watermarks,
     *,
     stamp: str | None = None,
+    rarely_repeated: Iterable[str] = RARELY_REPEATED,
     single_partition: bool = False,
     at_a_time: int = AT_A_TIME,
 ) -> list[str]:
-    """Refine what arrived in the raw layer since the last run; returns the tables written."""
+    """Refine what arrived in the raw layer since the last run; returns the tables written.
+
+    ``rarely_repeated`` names large tables whose batches seldom hold a key twice.
+    """
     stamp = stamp or utc_stamp()
     known = watermarks.of_layer("trusted")
+    rarely_repeated = frozenset(rarely_repeated)
 
     def load(table: str) -> bool:
         raw = files.parquet_if_any(spark, join_path(raw_path, table))
         if raw is None:
             return False
         batch = files.changed_since(raw, STAMP, known.get(table, START))
-        if batch.isEmpty():
+        (highest,) = batch.agg(F.max(STAMP).cast("string")).first()
+        if highest is None:
             return False
-        seen = Observation(f"trusted {table}")
-        batch = batch.observe(seen, F.max(STAMP).cast("string").alias("highest"))
         tables.append(
-            refine(batch, table, stamp),
+            refine(batch, table, stamp, rarely_repeated=table in rarely_repeated),
             join_path(trusted_path, table),
             partition_by=(STAMP_DATE,),
             single_partition=single_partition,
         )
-        _advance(watermarks, "trusted", table, seen)
+        watermarks.put("trusted", table, highest)
         return True
 
     done = _each(spark, table_names, load, at_a_time)
@@ -158,22 +160,37 @@ def load_trusted(
 # Curated layer.
 
 
+# What the outputs read of the widest tables; snapshots leave the rest behind.
+CURATED_COLUMNS: dict[str, tuple[str, ...]] = {
+    "clickstream": ("event_id", "user_id", "event_type", "category_id", "channel_id", "event_time"),
+    "orders": (
+        "order_id", "user_id", "order_date", "total_amount", "subtotal_amount", "tax_amount", "shipping_fee",
+        "discount_amount", "status", "payment_method", "payment_status", "source_channel", "device_type",
+    ),
+    "order_items": (
+        "order_item_id", "order_id", "product_id", "quantity", "unit_price", "discount_amount", "tax_amount",
+        "line_total",
+    ),
+}
+
+
 def current(
     spark: SparkSession,
     trusted_path: str,
     table_names: Iterable[str],
     *,
     append_only: Iterable[str] = (),
+    rarely_repeated: Iterable[str] = RARELY_REPEATED,
     at_a_time: int = AT_A_TIME,
 ) -> dict[str, DataFrame]:
-    """The latest state of trusted tables.
+    """The latest state of trusted tables, of the widest only the curated columns.
 
     A table that arrived in one batch holds each key once and is read as it is, and
     so is one said to be ``append_only``. Where several batches exist, their latest
     rows are written to the shared scratch folder once, since most tables feed
     several outputs.
     """
-    append_only = frozenset(append_only)
+    append_only, rarely_repeated = frozenset(append_only), frozenset(rarely_repeated)
 
     def latest(table: str) -> DataFrame:
         history = files.parquet(spark, join_path(trusted_path, table))
@@ -182,8 +199,14 @@ def current(
         first, last = history.agg(F.min(STAMP), F.max(STAMP)).first()
         if first == last:
             return history
+        wanted = {*CURATED_COLUMNS.get(table, history.columns), *PRIMARY_KEYS[table], VERSION, STAMP}
+        narrow = history.select(*(name for name in history.columns if name in wanted))
+        if table in rarely_repeated:
+            snapshot = dedup_rare(narrow, PRIMARY_KEYS[table], settle_ties=False)
+        else:
+            snapshot = current_snapshot(narrow, PRIMARY_KEYS[table])
         path = scratch(spark, f"current-{table}")
-        tables.write(current_snapshot(history, PRIMARY_KEYS[table]), path, "errorifexists")
+        tables.write(snapshot, path, "errorifexists")
         return files.parquet(spark, path)
 
     return _each(spark, table_names, latest, at_a_time)

@@ -75,7 +75,8 @@ SPLITTING = {
 def hot_orders(spark):
     """Lines of 20,000 orders, a third of them in one."""
     lines = spark.range(0, 150_000, numPartitions=12).selectExpr(
-        "id AS order_item_id", "IF(id % 3 = 0, 7, id % 20000) AS order_id", "id % 50 AS product_id", "2 AS quantity",
+        "id AS order_item_id", "IF(id % 3 = 0, 7, id % 20000) AS order_id",
+        "pmod(hash(id), 5000) AS product_id", "2 AS quantity",
         "1.0 AS unit_price", "rand(1) AS discount_amount", "rand(2) AS tax_amount", "rand(3) AS line_total",
     )
     orders = spark.range(20_000).selectExpr(
@@ -86,8 +87,8 @@ def hot_orders(spark):
 
 def test_order_with_a_third_of_all_lines_is_split(spark, hot_orders):
     lines, orders = hot_orders
-    products = spark.range(50).selectExpr("id AS product_id", "'' product_name", "'' sku", "1.0 cost_price", "'' status")
-    stock = spark.range(50).selectExpr("id AS product_id", "1 stock_on_hand", "1 reserved_quantity", "1 reorder_level")
+    products = spark.range(5000).selectExpr("id AS product_id", "'' product_name", "'' sku", "1.0 cost_price", "'' status")
+    stock = spark.range(5000).selectExpr("id AS product_id", "1 stock_on_hand", "1 reserved_quantity", "1 reorder_level")
     with settings(spark, SPLITTING):
         heads = fact_order_items(lines, orders)
         assert "skew=true" in plan(heads, final=True)

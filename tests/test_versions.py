@@ -6,6 +6,7 @@ from cartwheel.operators.versions import (
     absent,
     current_snapshot,
     dedup,
+    dedup_rare,
     insert_if_absent,
     restamp,
     upsert_latest,
@@ -92,3 +93,24 @@ def test_snapshot_reads_only_needed_columns(spark, folder):
     counted = current_snapshot(spark.read.parquet(f"{folder}/t"), ("k",)).groupBy("n").count()
     plan = counted._jdf.queryExecution().executedPlan().toString()
     assert "wide" not in plan.split("ReadSchema")[1]
+
+
+def test_dedup_rare_equals_dedup(spark, sf_dir):
+    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    lines = lines.withColumn("l_linenumber", F.expr("IF(l_partkey % 10 = 0, NULL, l_linenumber)"))
+    keys, expected = ("l_orderkey", "l_linenumber"), None
+    for limit in (0, 1_000_000):
+        found = dedup_rare(lines, keys, version="l_shipdate", stamp=None, broadcast_keys=limit)
+        expected = expected or rows(dedup(lines, keys, version="l_shipdate", stamp=None))
+        assert found.columns == lines.columns
+        assert rows(found) == expected
+
+
+def test_dedup_rare_ranks_only_repeated_keys(spark):
+    df = spark.range(100_000).selectExpr("IF(id % 3 = 0, 1, id) AS k", "id AS updated_at")
+    found = dedup_rare(df, ("k",))
+    found.collect()
+    plan = found._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "BroadcastHashJoin" in plan and plan.count("Exchange hashpartitioning") == 1
+    assert found.count() == df.select("k").distinct().count()
+    assert found.where("k = 1").first().updated_at == 99_999
