@@ -73,16 +73,18 @@ def dedup_rare(
     stamp: str | None = STAMP,
     settle_ties: bool = True,
     broadcast_keys: int = BROADCAST_KEYS,
+    folder: str | None = None,
 ) -> DataFrame:
     """What ``dedup`` returns, for a large table in which few keys repeat.
 
-    The repeated keys are found first, from the key columns alone. If they are few
-    enough to broadcast, only their rows are shuffled and ranked, and all others
-    pass straight through; otherwise every row is ranked. Runs a job when called.
+    The repeated keys are found first, from the key columns alone, and written to
+    ``folder``, by default a new one in the scratch folder. If they are few enough
+    to broadcast, only their rows are shuffled and ranked, and all others pass
+    straight through; otherwise every row is ranked. Runs a job when called.
     """
     spark, keys = df.sparkSession, list(keys)
     complete = df.dropna(subset=keys)
-    path = scratch(spark, "repeated-keys")
+    path = folder or scratch(spark, "repeated-keys")
     complete.groupBy(*keys).agg(F.count("*").alias("_copies")).where("_copies > 1").select(
         *keys, F.lit(True).alias("_repeats")
     ).write.parquet(path)

@@ -7,8 +7,9 @@ at a time, so that small ones do not leave a cluster idle.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable, Iterable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 from dataclasses import dataclass
 from functools import reduce
 from typing import TypeVar
@@ -17,6 +18,7 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from cartwheel import storage
 from cartwheel.model import PRIMARY_KEYS, STAMP, STAMP_DATE, TRACKED_TABLES, VERSION
 from cartwheel.operators.clean import clean
 from cartwheel.operators.versions import current_snapshot, dedup, dedup_rare, restamp
@@ -53,6 +55,17 @@ def _each(
         return dict(zip(names, pool.map(inheritable_thread_target(spark)(job), names), strict=True))
 
 
+@contextmanager
+def _run_folder(spark: SparkSession, layer: str) -> Iterator[str]:
+    """A scratch folder for the intermediate tables of one run, removed after it."""
+    folder = scratch(spark, layer)
+    try:
+        yield folder
+    finally:
+        if storage.exists(spark, folder):
+            storage.delete(spark, folder)
+
+
 # Raw layer.
 
 
@@ -104,12 +117,16 @@ def load_raw(
 # Trusted layer.
 
 
-def refine(raw: DataFrame, table: str, stamp: str, *, rarely_repeated: bool = False) -> DataFrame:
-    """Clean a raw batch, keep the latest row per key and stamp it."""
+def refine(raw: DataFrame, table: str, stamp: str, *, repeats_folder: str | None = None) -> DataFrame:
+    """Clean a raw batch, keep the latest row per key and stamp it.
+
+    With a ``repeats_folder``, the keys that repeat are found and written there first.
+    """
     cleaned = clean(raw.drop(STAMP_DATE), people=table in PEOPLE_TABLES)
     key = PRIMARY_KEYS.get(table, ())
-    latest = dedup_rare(cleaned, key) if key and rarely_repeated else dedup(cleaned, key)
-    return restamp(latest, stamp)
+    if key and repeats_folder:
+        return restamp(dedup_rare(cleaned, key, folder=repeats_folder), stamp)
+    return restamp(dedup(cleaned, key), stamp)
 
 
 def refine_since(raw: DataFrame, table: str, watermark: str, stamp: str) -> DataFrame:
@@ -136,7 +153,7 @@ def load_trusted(
     known = watermarks.of_layer("trusted")
     rarely_repeated = frozenset(rarely_repeated)
 
-    def load(table: str) -> bool:
+    def load(table: str, folder: str) -> bool:
         raw = files.parquet_if_any(spark, join_path(raw_path, table))
         if raw is None:
             return False
@@ -145,7 +162,7 @@ def load_trusted(
         if highest is None:
             return False
         tables.append(
-            refine(batch, table, stamp, rarely_repeated=table in rarely_repeated),
+            refine(batch, table, stamp, repeats_folder=f"{folder}/{table}" if table in rarely_repeated else None),
             join_path(trusted_path, table),
             partition_by=(STAMP_DATE,),
             single_partition=single_partition,
@@ -153,7 +170,8 @@ def load_trusted(
         watermarks.put("trusted", table, highest)
         return True
 
-    done = _each(spark, table_names, load, at_a_time)
+    with _run_folder(spark, "trusted") as folder:
+        done = _each(spark, table_names, lambda table: load(table, folder), at_a_time)
     return [table for table, written in done.items() if written]
 
 
@@ -178,6 +196,7 @@ def current(
     spark: SparkSession,
     trusted_path: str,
     table_names: Iterable[str],
+    folder: str,
     *,
     append_only: Iterable[str] = (),
     rarely_repeated: Iterable[str] = RARELY_REPEATED,
@@ -187,8 +206,7 @@ def current(
 
     A table that arrived in one batch holds each key once and is read as it is, and
     so is one said to be ``append_only``. Where several batches exist, their latest
-    rows are written to the shared scratch folder once, since most tables feed
-    several outputs.
+    rows are written below ``folder`` once, since most tables feed several outputs.
     """
     append_only, rarely_repeated = frozenset(append_only), frozenset(rarely_repeated)
 
@@ -202,10 +220,12 @@ def current(
         wanted = {*CURATED_COLUMNS.get(table, history.columns), *PRIMARY_KEYS[table], VERSION, STAMP}
         narrow = history.select(*(name for name in history.columns if name in wanted))
         if table in rarely_repeated:
-            snapshot = dedup_rare(narrow, PRIMARY_KEYS[table], settle_ties=False)
+            snapshot = dedup_rare(
+                narrow, PRIMARY_KEYS[table], settle_ties=False, folder=f"{folder}/{table}-repeats"
+            )
         else:
             snapshot = current_snapshot(narrow, PRIMARY_KEYS[table])
-        path = scratch(spark, f"current-{table}")
+        path = f"{folder}/{table}"
         tables.write(snapshot, path, "errorifexists")
         return files.parquet(spark, path)
 
@@ -279,13 +299,14 @@ def load_curated(
     """
     outputs = {name: output for group in groups for name, output in GROUPS[group].items()}
     needed = dict.fromkeys(table for output in outputs.values() for table in output.inputs)
-    trusted = current(spark, trusted_path, needed, append_only=append_only, at_a_time=at_a_time)
+    with _run_folder(spark, "curated") as folder:
+        trusted = current(spark, trusted_path, needed, folder, append_only=append_only, at_a_time=at_a_time)
 
-    def load(name: str) -> None:
-        path = join_path(curated_path, name)
-        tables.replace(outputs[name](trusted, as_of), path, single_partition=single_partition)
+        def load(name: str) -> None:
+            path = join_path(curated_path, name)
+            tables.replace(outputs[name](trusted, as_of), path, single_partition=single_partition)
 
-    _each(spark, outputs, load, at_a_time)
+        _each(spark, outputs, load, at_a_time)
     if preview_rows > 0:
         for name in outputs:
             tables.preview(files.parquet(spark, join_path(curated_path, name)), name, preview_rows)

@@ -1,5 +1,6 @@
 import datetime as dt
 from decimal import Decimal
+from pathlib import Path
 from types import SimpleNamespace
 
 import pytest
@@ -88,7 +89,7 @@ def test_trusted_takes_new_batches_and_snapshot_takes_latest_rows(spark, databas
     assert run(first, "2024-02-01 10:00:00.000001", "2024-02-01 11:00:00") == ["categories"]
     once = {(row.category_id, row.category_name) for row in parquet(spark, f"{trusted}/categories").collect()}
     assert once == {(1, "one, later"), (2, None)}
-    single = layers.current(spark, trusted, ["categories"])["categories"]
+    single = layers.current(spark, trusted, ["categories"], f"{folder}/run1")["categories"]
     assert single.inputFiles()[0].startswith(f"file://{trusted}")
 
     assert run(first, "2024-02-02 10:00:00", "2024-02-02 11:00:00") == []
@@ -96,9 +97,10 @@ def test_trusted_takes_new_batches_and_snapshot_takes_latest_rows(spark, databas
     history = parquet(spark, f"{trusted}/categories")
     assert history.count() == 3
     assert {str(row[STAMP_DATE]) for row in history.select(STAMP_DATE).distinct().collect()} == {"2024-02-01", "2024-02-03"}
-    latest = layers.current(spark, trusted, ["categories"])["categories"]
-    assert names(latest) == ["one, later", "two"]
-    untouched = layers.current(spark, trusted, ["categories"], append_only=["categories"])["categories"]
+    for run_folder, options in (("run2", {}), ("run3", {"rarely_repeated": ["categories"]})):
+        latest = layers.current(spark, trusted, ["categories"], f"{folder}/{run_folder}", **options)["categories"]
+        assert names(latest) == ["one, later", "two"]
+    untouched = layers.current(spark, trusted, ["categories"], "", append_only=["categories"])["categories"]
     assert untouched.count() == 3
 
 
@@ -209,3 +211,16 @@ def test_curated_groups_and_rerun(spark, folder):
     layers.load_curated(spark, trusted, curated, groups=["q2"], as_of="2024-01-11")
     (row,) = parquet(spark, f"{curated}/gold_q2_rfm_segmentation").collect()
     assert (row.frequency, row.monetary) == (1, Decimal(99))
+    assert not list(Path(spark.conf.get("spark.checkpoint.dir")).glob("curated-*"))
+
+
+def test_rarely_repeated_tables_refine_alike(spark, folder):
+    clicks = spark.createDataFrame(
+        [(1, "a", DAY[0]), (1, "b", DAY[1]), (2, "c", DAY[0]), (None, "d", DAY[0])],
+        f"event_id BIGINT, event_type STRING, {STAMP} TIMESTAMP",
+    )
+    plain = layers.refine(clicks, "clickstream", "2024-02-01 00:00:00")
+    rare = layers.refine(clicks, "clickstream", "2024-02-01 00:00:00", repeats_folder=f"{folder}/repeats")
+    assert rare.columns == plain.columns
+    assert sorted(rare.collect()) == sorted(plain.collect())
+    assert {row.event_type for row in rare.collect()} == {"b", "c"}
