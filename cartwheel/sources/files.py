@@ -26,10 +26,12 @@ def click_files(spark: SparkSession, path: str) -> DataFrame:
 
 
 def click_file_stream(
-    spark: SparkSession, path: str, *, files_per_trigger: int | None = None
+    spark: SparkSession, path: str, *, files_per_trigger: int | None = None, glob: str | None = None
 ) -> DataFrame:
     """The same files as a stream; each file is read once, when it appears."""
     reader = spark.readStream.schema(click_file_schema()).option("header", False)
+    if glob:
+        reader = reader.option("pathGlobFilter", glob)
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
     return reader.csv(path)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from cartwheel.model import CLICK_TABLE_RENAMES, TRACKED_TABLES, VERSION
 
@@ -75,9 +76,17 @@ def read_table(
     """
     options = database.options() | (split.options() if split else {})
     dbtable = relation(table, watermark, inclusive=inclusive)
-    return spark.read.format("jdbc").options(**options).option("dbtable", dbtable).load()
+    rows = spark.read.format("jdbc").options(**options).option("dbtable", dbtable).load()
+    return click_table_as_files(rows) if table == "clickstream" else rows
 
 
 def click_table_as_files(clicks: DataFrame) -> DataFrame:
-    """The database's click table under the column names of the click files."""
-    return clicks.withColumnsRenamed(CLICK_TABLE_RENAMES)
+    """The database's click table with the names and types of ingested click files."""
+    renamed = clicks.withColumnsRenamed(CLICK_TABLE_RENAMES)
+    return renamed.withColumns(
+        {
+            "price": F.col("price").cast("double"),
+            "discount": F.col("discount").cast("double"),
+            "is_returning": ~F.coalesce("is_new_user", F.lit(True)),
+        }
+    ).drop("is_new_user")

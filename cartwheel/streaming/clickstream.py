@@ -40,7 +40,7 @@ def start(
 ) -> StreamingQuery:
     """Start the ingest and return its query.
 
-    By default it takes all files not yet taken and ends. With ``continuous`` it
+    By default it takes all ``*.csv`` files not yet taken and ends. With ``continuous`` it
     keeps polling at the interval, one file at a time unless told otherwise. In
     both cases the checkpoint remembers the files, and each is ingested once.
     """
@@ -48,7 +48,9 @@ def start(
         raise ValueError(f"{table_path} holds files of a batch, which a stream's file log would hide")
     if continuous and files_per_trigger is None:
         files_per_trigger = FILES_PER_TRIGGER
-    clicks = files.click_file_stream(spark, input_path, files_per_trigger=files_per_trigger)
+    clicks = files.click_file_stream(
+        spark, input_path, files_per_trigger=files_per_trigger, glob=None if continuous else "*.csv"
+    )
     writer = (
         shape(clicks)
         .withColumn(STAMP_DATE, F.to_date(STAMP))

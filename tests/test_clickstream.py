@@ -41,7 +41,8 @@ def ids(df):
 
 def test_stream_equals_batch_and_reruns_add_nothing(spark, landing, ingest):
     (landing / "a.csv").write_text(line(1) + line(2, read="2024-01-01 00:00:00") + line(3, read=""))
-    (landing / "b.csv").write_text(line(4, returning="", time_text="soon", read=" NULL ".strip()))
+    (landing / "b.csv").write_text(line(4, returning="", time_text="soon", read="NULL"))
+    (landing / "notes.txt").write_text(line(9))
     found = ingest()
     batch = clickstream.shape(click_files(spark, str(landing)))
     key = lambda row: row.event_id

@@ -3,6 +3,7 @@
 from cartwheel.sources.files import csv_with_header, in_memory
 from cartwheel.sources.jdbc import Database, Split, click_table_as_files, relation
 from cartwheel.model import click_file_schema, table_schema
+from cartwheel.streaming.clickstream import shape
 
 
 def test_relation():
@@ -29,10 +30,12 @@ def test_split():
     }
 
 
-def test_click_table_names(spark):
+def test_click_table_looks_like_ingested_files(spark):
     table = click_table_as_files(spark.createDataFrame([], table_schema("clickstream")))
-    shared = set(table.columns) & set(click_file_schema().names)
-    assert {"event_time", "campaign_name", "price", "discount"} <= shared
+    ingested = {field.name: field.dataType for field in shape(spark.createDataFrame([], click_file_schema())).schema}
+    shared = {field.name: field.dataType for field in table.schema if field.name in ingested}
+    assert set(ingested) - set(shared) == {"is_read", "_ingestion_ts"}
+    assert all(kind == ingested[name] for name, kind in shared.items())
 
 
 def test_in_memory(spark):
