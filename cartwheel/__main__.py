@@ -34,6 +34,7 @@ def _split(text: str) -> tuple[str, jdbc.Split]:
 
 def parser() -> argparse.ArgumentParser:
     top = argparse.ArgumentParser(prog="cartwheel")
+    top.add_argument("--shuffle_partitions", type=int, help="how many partitions a shuffle starts with")
     jobs = top.add_subparsers(dest="job", required=True)
 
     bronze = jobs.add_parser("bronze", help="read changed rows of database tables")
@@ -67,6 +68,7 @@ def parser() -> argparse.ArgumentParser:
     gold.add_argument("--gold_path", required=True)
     gold.add_argument("--as_of", help="report date, today if not given")
     gold.add_argument("--append_only", type=_names, default=[], help="tables that never hold a key twice")
+    gold.add_argument("--mode", default="overwrite", help="how outputs are written; overwrite replaces them whole")
     gold.add_argument("--preview_rows", type=int, default=20)
     for group in layers.GROUPS:
         gold.add_argument(f"--build_{group}", type=_yes, default=True)
@@ -129,6 +131,7 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
             groups=[group for group in layers.GROUPS if getattr(args, f"build_{group}")],
             as_of=args.as_of,
             append_only=args.append_only,
+            mode=args.mode,
             single_partition=args.single_partition,
             preview_rows=args.preview_rows,
         )
@@ -144,7 +147,7 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
 
 def main(arguments: Sequence[str] | None = None) -> None:
     args = parser().parse_args(arguments)
-    spark = session(f"cartwheel {args.job}")
+    spark = session(f"cartwheel {args.job}", shuffle_partitions=args.shuffle_partitions)
     try:
         run(spark, args)
     finally:

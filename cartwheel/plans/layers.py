@@ -289,13 +289,16 @@ def load_curated(
     groups: Sequence[str] = tuple(GROUPS),
     as_of: dt.date | str | None = None,
     append_only: Iterable[str] = (),
+    mode: str = "overwrite",
     single_partition: bool = False,
     preview_rows: int = 0,
     at_a_time: int = AT_A_TIME,
 ) -> list[str]:
     """Rebuild the outputs of the chosen groups; returns their names.
 
-    Previews are read from what was written, so no output is computed twice.
+    The mode ``overwrite`` replaces an output only once its new content is complete;
+    any other mode is Spark's own. Previews are read from what was written, so no
+    output is computed twice.
     """
     outputs = {name: output for group in groups for name, output in GROUPS[group].items()}
     needed = dict.fromkeys(table for output in outputs.values() for table in output.inputs)
@@ -303,8 +306,11 @@ def load_curated(
         trusted = current(spark, trusted_path, needed, folder, append_only=append_only, at_a_time=at_a_time)
 
         def load(name: str) -> None:
-            path = join_path(curated_path, name)
-            tables.replace(outputs[name](trusted, as_of), path, single_partition=single_partition)
+            path, content = join_path(curated_path, name), outputs[name](trusted, as_of)
+            if mode == "overwrite":
+                tables.replace(content, path, single_partition=single_partition)
+            else:
+                tables.write(content, path, mode, single_partition=single_partition)
 
         _each(spark, outputs, load, at_a_time)
     if preview_rows > 0:

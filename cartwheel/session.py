@@ -18,10 +18,17 @@ SETTINGS = {
 }
 
 
-def session(app: str, **settings: str) -> SparkSession:
-    """A session with the library's settings; master and memory come from spark-submit."""
+def session(app: str, *, shuffle_partitions: int | None = None) -> SparkSession:
+    """A session with the library's settings; master and memory come from spark-submit.
+
+    ``shuffle_partitions`` is the number a shuffle starts with. Choose it for the
+    largest shuffle, at about 200 MB each; adaptive execution merges what is too many.
+    """
+    settings = dict(SETTINGS)
+    if shuffle_partitions:
+        settings["spark.sql.adaptive.coalescePartitions.initialPartitionNum"] = str(shuffle_partitions)
     builder = SparkSession.builder.appName(app)
-    for key, value in {**SETTINGS, **settings}.items():
+    for key, value in settings.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 

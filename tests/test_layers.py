@@ -211,6 +211,8 @@ def test_curated_groups_and_rerun(spark, folder):
     layers.load_curated(spark, trusted, curated, groups=["q2"], as_of="2024-01-11")
     (row,) = parquet(spark, f"{curated}/gold_q2_rfm_segmentation").collect()
     assert (row.frequency, row.monetary) == (1, Decimal(99))
+    layers.load_curated(spark, trusted, curated, groups=["q2"], as_of="2024-01-11", mode="append")
+    assert parquet(spark, f"{curated}/gold_q2_rfm_segmentation").count() == 2
     assert not list(Path(spark.conf.get("spark.checkpoint.dir")).glob("curated-*"))
 
 
