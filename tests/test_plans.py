@@ -13,7 +13,7 @@ from cartwheel.plans.inventory import inventory_analysis
 from cartwheel.plans.promotions import promo_comparison
 from cartwheel.plans.transactions import user_transactions
 
-JOBS = {"clickstream_ingest", "pipeline_run"}  # these run while the query is built
+JOBS = {"clickstream_ingest", "pipeline_run", "silver_dedup_rare"}  # these run while the query is built
 
 
 @contextmanager

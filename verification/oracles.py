@@ -57,6 +57,11 @@ def latest_lines(first_stamp: str, second_stamp: str) -> str:
         WHERE place = 1"""
 
 
+SILVER_DEDUP = oracle(
+    LINES, latest_lines("2001-08-03 00:00:00.000002", "2001-08-03 00:00:00.000002"), lines=inputs.LINES
+)
+
+
 def funnel() -> str:
     def rate(part: str, whole: str) -> str:
         return f"CASE WHEN {whole} > 0 THEN {half_up(f'{part} / {whole} * 100', 2)} ELSE 0 END"
@@ -363,9 +368,8 @@ ORACLES: dict[str, str] = {
         click_rows=inputs.CLICK_ROWS,
     ),
     "silver_clean": SILVER_CLEAN,
-    "silver_dedup": oracle(
-        LINES, latest_lines("2001-08-03 00:00:00.000002", "2001-08-03 00:00:00.000002"), lines=inputs.LINES
-    ),
+    "silver_dedup": SILVER_DEDUP,
+    "silver_dedup_rare": SILVER_DEDUP,
     "silver_incremental": oracle(
         ORDERS + " _ingestion_ts _ingestion_date",
         """SELECT *, TIMESTAMP '2001-08-04 00:00:00.000003' AS _ingestion_ts, '2001-08-04' AS _ingestion_date

@@ -12,7 +12,14 @@ from cartwheel.model import PRIMARY_KEYS, STAMP, STAMP_DATE, VERSION
 from cartwheel.operators.clean import clean
 from cartwheel.operators.quality import email_phone_quality, fk_violations, key_violations
 from cartwheel.operators.rollup import order_totals_rollup
-from cartwheel.operators.versions import current_snapshot, dedup, insert_if_absent, restamp, upsert_latest
+from cartwheel.operators.versions import (
+    current_snapshot,
+    dedup,
+    dedup_rare,
+    insert_if_absent,
+    restamp,
+    upsert_latest,
+)
 from cartwheel.plans import dims, facts
 from cartwheel.plans.attribution import channel_attribution
 from cartwheel.plans.funnel import conversion_funnel
@@ -95,9 +102,12 @@ def _silver_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain(clean(run(spark, sf_dir, inputs.DIRTY_USERS), people=True))
 
 
-def _silver_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = run(spark, sf_dir, inputs.LINES)
-    return plain(restamp(dedup(lines, LINE_KEYS, version="l_shipdate", stamp=None), SECOND_STAMP))
+def _silver_dedup(operator: Callable[..., DataFrame]) -> Query:
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        lines = run(spark, sf_dir, inputs.LINES)
+        return plain(restamp(operator(lines, LINE_KEYS, version="l_shipdate", stamp=None), SECOND_STAMP))
+
+    return query
 
 
 def _silver_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -155,7 +165,8 @@ QUERIES: dict[str, Query] = {
     "bronze_incremental": _bronze_incremental,
     "clickstream_ingest": _clickstream_ingest,
     "silver_clean": _silver_clean,
-    "silver_dedup": _silver_dedup,
+    "silver_dedup": _silver_dedup(dedup),
+    "silver_dedup_rare": _silver_dedup(dedup_rare),
     "silver_incremental": _silver_incremental,
     "current_snapshot": _current_snapshot,
     "dim_users": on(dims.dim_users, "users"),
