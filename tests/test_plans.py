@@ -62,6 +62,30 @@ def test_filters_reach_the_scan(spark, folder):
     assert "shipping_address" not in scan
 
 
+NO_BROADCAST = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+}
+
+
+@pytest.mark.parametrize(
+    "name, shuffles",
+    [
+        ("fact_order_items", 2),  # lines and orders by order
+        ("order_totals_rollup", 2),  # lines summed, orders
+        ("q1_conversion_funnel", 3),  # events per category and user, per category; categories
+        ("q2_rfm_segmentation", 4),  # orders per user; users, which are a join of two tables themselves
+        ("upsert_latest", 3),  # base; incoming versions, once for their keys and once for their rows
+        ("silver_dedup", 1),
+        ("email_phone_quality", 0),
+    ],
+)
+def test_shuffles_without_any_broadcast(spark, sf_dir, name, shuffles):
+    with settings(spark, NO_BROADCAST):
+        text = plan(contract.queries()[name](spark, sf_dir))
+    assert text.count("Exchange hashpartitioning") == shuffles
+
+
 SPLITTING = {
     "spark.sql.autoBroadcastJoinThreshold": "-1",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
