@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cartwheel.functions import text
@@ -26,12 +26,6 @@ def _union(frames: Sequence[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 
 
-def _constants(spark: SparkSession, rows: Sequence[Mapping[str, str]]) -> DataFrame:
-    """A small literal relation that stays inside the plan."""
-    structs = [F.struct(*(F.lit(value).alias(name) for name, value in row.items())) for row in rows]
-    return spark.range(1).select(F.inline(F.array(*structs)))
-
-
 def fk_violations(
     tables: Mapping[str, DataFrame], foreign_keys: Sequence[ForeignKey] = FOREIGN_KEYS
 ) -> DataFrame:
@@ -52,24 +46,21 @@ def fk_violations(
         )
         for fk in {fk.parent: fk for fk in checked}.values()
     ]
-    used = _union(children).groupBy("constraint", "parent_table", "value").agg(
-        F.count("*").alias("uses")
-    )
-    dangling = (
-        used.join(_union(parents), ["parent_table", "value"], "left_anti")
-        .groupBy("constraint")
-        .agg(F.sum("uses").alias("violations"), F.count("*").alias("missing_keys"))
-    )
-    catalog = _constants(
-        next(iter(tables.values())).sparkSession,
-        [{"constraint": fk.name, "parent_table": fk.parent} for fk in checked],
-    )
-    return catalog.join(dangling, "constraint", "left").select(
-        "constraint",
-        "parent_table",
-        F.coalesce("violations", F.lit(0)).alias("violations"),
-        F.coalesce("missing_keys", F.lit(0)).alias("missing_keys"),
+    # One row per value and parent, with a counter for each reference, is partitioned as the join is.
+    used = _union(children).groupBy("parent_table", "value").agg(
+        *(F.count_if(F.col("constraint") == fk.name).alias(f"uses_{i}") for i, fk in enumerate(checked))
     )
+    dangling = used.join(_union(parents), ["parent_table", "value"], "left_anti")
+    lines = [
+        F.struct(
+            F.lit(fk.name).alias("constraint"),
+            F.lit(fk.parent).alias("parent_table"),
+            F.coalesce(F.sum(f"uses_{i}"), F.lit(0)).alias("violations"),
+            F.count_if(F.col(f"uses_{i}") > 0).alias("missing_keys"),
+        )
+        for i, fk in enumerate(checked)
+    ]
+    return dangling.agg(F.array(*lines).alias("report")).select(F.inline("report"))
 
 
 def _references(child: DataFrame, keys: Sequence[ForeignKey]) -> DataFrame:
