@@ -349,7 +349,8 @@ FINDS = "array<struct<kind:string,value:string,new:string>>"
 def pseudonyms(docs: DataFrame, *, text: str = "text", key: str = KEY) -> DataFrame:
     """``docs`` as a struct ``doc``, with its new text and its finds (kind, value, new) in reading order."""
     whole = F.col("text")
-    rows = docs.select(F.struct("*").alias("doc"), F.col(text).cast("string").alias("text"))
+    own = {f"__own_{place}": name for place, name in enumerate(docs.columns)}  # no name can clash with a working column
+    rows = docs.select(*[F.col(f"`{name}`").alias(mark) for mark, name in own.items()], F.col(f"`{text}`").cast("string").alias("text"))
     values = F.when(whole.rlike(MAYBE), F.regexp_extract_all("text", F.lit(ANY), F.lit(0)))
     typed = F.transform("values", lambda value: F.struct(_kind(value).alias("kind"), value.alias("value")))
     finds = F.transform("typed", lambda find: F.struct(find["kind"].alias("kind"), find["value"].alias("value"), _new(find, key).alias("new")))
@@ -366,7 +367,8 @@ def pseudonyms(docs: DataFrame, *, text: str = "text", key: str = KEY) -> DataFr
         "",
     )
     valid = F.filter("finds", lambda find: find["new"].isNotNull())
-    return rows.select("doc", F.when(found, joined).otherwise(whole).alias("text"), F.coalesce(valid, F.array().cast(FINDS)).alias("finds"))
+    doc = F.struct(*[F.col(mark).alias(name) for mark, name in own.items()]).alias("doc")
+    return rows.select(doc, F.when(found, joined).otherwise(whole).alias("text"), F.coalesce(valid, F.array().cast(FINDS)).alias("finds"))
 
 
 def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
