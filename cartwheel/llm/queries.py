@@ -6,14 +6,28 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cartwheel.llm import exact_dedup, ngram_join, packing, pii, quality
+from cartwheel.llm import (
+    exact_dedup,
+    license_scan,
+    line_dedup,
+    neighbours,
+    ngram_join,
+    packing,
+    pii,
+    quality,
+    warc,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": exact_dedup.op1_exact_dedup,
+    "op2_neighbours": neighbours.op2_neighbours,
     "op3_ngram_join": ngram_join.op3_ngram_join,
+    "op4_line_dedup": line_dedup.op4_line_dedup,
     "op5_pii": pii.op5_pii,
     "op6_quality": quality.op6_quality,
     "op7_packing": packing.op7_packing,
+    "op9_warc": warc.op9_warc,
+    "op10_license_scan": license_scan.op10_license_scan,
 }
 
 ORACLES: dict[str, str] = {

@@ -20,7 +20,7 @@ LONG_WORD = 1 << 10  # bytes; longer words are hashed one by one
 
 _BASE = 0x9E3779B97F4A7C15 | 1
 _MIX_1, _MIX_2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
-_STEP = np.uint64(0xD1342543DE82EF95)
+STEP = np.uint64(0xD1342543DE82EF95)
 
 
 def mix(values: np.ndarray) -> np.ndarray:
@@ -125,7 +125,7 @@ def chained(words: np.ndarray, count: int) -> np.ndarray:
     total = len(words) - count + 1
     value = np.full(max(total, 0), count, dtype=np.uint64)
     for place in range(count):
-        value = value * _STEP + words[place : place + len(value)]
+        value = value * STEP + words[place : place + len(value)]
     return mix(value)
 
 
