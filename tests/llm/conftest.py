@@ -1,0 +1,54 @@
+"""Small tables with nulls, empty and long texts, ties, repeated rows and clashing column names."""
+
+import random
+
+import pytest
+
+WORDS = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu xi omicron pi rho sigma tau".split()
+
+
+def prose(seed: int, count: int) -> str:
+    draw = random.Random(seed)
+    return " ".join(draw.choice(WORDS) + str(draw.randrange(50)) for _ in range(count))
+
+
+@pytest.fixture(scope="session")
+def odd_texts() -> list[str | None]:
+    """Texts that operators may stumble over."""
+    long = prose(1, 40_000)
+    near = prose(2, 200)
+    lines = "\n".join(prose(seed, 30) for seed in range(3, 9))
+    return [
+        None,
+        "",
+        " \t\n ",
+        "one",
+        "One",
+        "ONE two",
+        "é É ß 漢字 😀 \x00 \x7f",
+        long,
+        long,
+        near,
+        near + " extra words here",
+        near.upper(),
+        lines,
+        "new first line of another text\n" + lines + "\nand a last line",
+        lines.replace("\n", "\n\n"),
+        "x" * 5000,
+        "Apache License, Version 2.0; under the MIT license. CC-BY-NC",
+    ]
+
+
+@pytest.fixture(scope="session")
+def odd_docs(spark, odd_texts):
+    """The texts twice over, with null and repeated ids and columns named as operators name theirs."""
+    rows = [(None if at % 7 == 3 else at, text, "a", at) for at, text in enumerate([*odd_texts, *odd_texts])]
+    rows.append(rows[-1])
+    return spark.createDataFrame(
+        rows, "doc_id bigint, text string, row string, kept bigint"
+    ).withColumnRenamed("kept", "__sha").coalesce(2)
+
+
+@pytest.fixture(scope="session")
+def no_docs(odd_docs):
+    return odd_docs.where("false")

@@ -1,0 +1,88 @@
+"""License scans against a plain search for phrases and notices."""
+
+import re
+
+from cartwheel.llm import license_scan as S
+from cartwheel.llm.queries import QUERIES
+
+WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+FOLD = str.maketrans(S.UPPER, S.LOWER)
+
+
+def spans(words, text):
+    """Places of each diagonal of a template, by comparison of all word runs."""
+    wanted = text.split()
+    grams = [tuple(wanted[k : k + S.GRAM]) for k in range(len(wanted) - S.GRAM + 1)]
+    at = {}
+    for place in range(len(words) - S.GRAM + 1):
+        for k, gram in enumerate(grams):
+            if tuple(words[place : place + S.GRAM]) == gram:
+                at.setdefault(place - k, set()).add(k)
+    return at, len(grams)
+
+
+def brute(text):
+    words = WORD.findall((text or "").translate(FOLD))
+    base, labels, score = [], set(), 0.0
+    for phrase, label in S.PHRASES.items():
+        size = len(phrase.split())
+        found = [k for k in range(len(words)) if words[k : k + size] == phrase.split()]
+        base += [(k, label) for k in found]
+    for notice, label in S.NOTICES.items():
+        diagonals, places = spans(words, notice)
+        last, held = None, set()
+        for diagonal in [*sorted(diagonals), None]:
+            if last is not None and (diagonal is None or diagonal - last > S.DRIFT):
+                if len(held) >= -(-places * 60 // 100):
+                    labels.add(label)
+                    score = max(score, len(held) / places)
+                last, held = None, set()
+            if diagonal is not None:
+                last = diagonal if last is None else last
+                held |= diagonals[diagonal]
+    starts = [k for k, _ in base]
+    found = {label for _, label in base}
+    return (
+        len(words),
+        len(base),
+        min(starts, default=None),
+        max(starts, default=None),
+        ",".join(sorted(found)),
+        ",".join(sorted(found | labels)),
+        1.0 if base else score,
+    )
+
+
+def test_query_against_brute_force(spark, sf_dir):
+    import pyarrow.parquet as pq
+
+    texts = pq.read_table(f"{sf_dir}/documents.parquet", columns=["doc_id", "text"]).to_pylist()
+    rows = {r.doc_id: tuple(r)[1:] for r in QUERIES["op10_license_scan"](spark, sf_dir).collect()}
+    expected = {row["doc_id"]: brute(row["text"]) for row in texts}
+    assert rows == expected
+    assert sum(1 for row in expected.values() if row[1]) > 0
+
+
+def scanned(df):
+    return [(row.row, row.n_words, [(s.label, s.diagonal, len(s.found)) for s in row.spans]) for row in S.scan(df).collect()]
+
+
+def test_changed_notices_and_phrases(spark):
+    notice = next(iter(S.NOTICES)) if False else "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software to deal in the software without restriction"
+    changed = notice.split()
+    changed[4:4] = ["now", "and"]
+    del changed[15]
+    texts = ["see: " + " ".join(changed), "Under the MIT\nLICENSE, under the mit license", "under the mit apache license", "all rights reserved " * 2]
+    df = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "doc_id bigint, text string").coalesce(1)
+    rows = [row[2] for row in sorted(scanned(df))]
+    assert [label for label, _, _ in rows[0]] == ["mit-notice"]
+    assert [(label, at) for label, at, _ in rows[1]] == [("mit", 0), ("mit", 4)]
+    assert rows[2] == []
+    assert {label for label, _, _ in rows[3]} == {"all-rights-reserved"}
+
+
+def test_odd_documents(odd_docs, no_docs):
+    rows = S.scan(odd_docs).collect()
+    texts = [row.text for row in odd_docs.collect()]
+    assert sorted((r.n_words, sum(s.whole for s in r.spans)) for r in rows) == sorted(brute(t)[:2] for t in texts)
+    assert S.scan(no_docs).collect() == []
