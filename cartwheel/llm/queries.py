@@ -15,6 +15,7 @@ from cartwheel.llm import (
     packing,
     pii,
     quality,
+    sentencepieces,
     warc,
 )
 
@@ -26,6 +27,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_pii": pii.op5_pii,
     "op6_quality": quality.op6_quality,
     "op7_packing": packing.op7_packing,
+    "op8_sentencepiece": sentencepieces.op8_sentencepiece,
     "op9_warc": warc.op9_warc,
     "op10_license_scan": license_scan.op10_license_scan,
 }

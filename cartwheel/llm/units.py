@@ -1,7 +1,6 @@
-"""Tokens of texts through a cache of units, a unit being white space and the run of other characters behind it.
+"""Pieces of texts through a cache of units, the stretches of text between places that no piece reaches across.
 
-No token of the tokenizers used here reaches from a character that is no white space over into white space,
-so a text's tokens are those of its units one after another. Units repeat, so each distinct one is encoded
+A text's pieces are those of its units one after another. Units repeat, so each distinct one is encoded
 once per worker while it stays in the cache; texts are then put together by NumPy.
 """
 
@@ -14,23 +13,17 @@ import pyarrow as pa
 
 from cartwheel.llm import words
 
-CACHED = 300_000  # units a worker remembers; then it starts afresh
+CACHED = 600_000  # units a worker remembers; then it starts afresh
 SLICE = 4 << 20
 
-Encode = Callable[[Sequence[bytes]], Sequence[np.ndarray]]
+#: Units and their keys to all ids, and how many each unit has.
+Encode = Callable[[Sequence[bytes], np.ndarray], tuple[np.ndarray, np.ndarray]]
 
 
-def unit_starts(data: np.ndarray, offsets: np.ndarray, blank: np.ndarray) -> np.ndarray:
-    """Where units begin: at each text, and at white space behind an ASCII or two-byte character that is none.
-
-    Longer characters may be white space themselves, so a unit goes on behind them.
-    """
-    white = blank[data]
-    plain = ~white & (data < 0x80)
-    letter = np.zeros(len(data), dtype=bool)
-    letter[1:] = (data[:-1] >= 0xC3) & (data[:-1] <= 0xDF) & (data[1:] >= 0x80) & (data[1:] < 0xC0)
+def unit_starts(data: np.ndarray, offsets: np.ndarray, apart: np.ndarray) -> np.ndarray:
+    """Where units begin: at each text, and between two bytes that ``apart`` (256 x 256, as one row) says no piece joins."""
     begins = np.zeros(len(data), dtype=bool)
-    begins[1:] = white[1:] & (plain | letter)[:-1]
+    begins[1:] = apart[(data[:-1].astype(np.uint16) << np.uint16(8)) | data[1:]]
     edges = offsets[:-1]
     begins[edges[edges < len(data)]] = True
     return np.flatnonzero(begins)
@@ -39,8 +32,8 @@ def unit_starts(data: np.ndarray, offsets: np.ndarray, blank: np.ndarray) -> np.
 class Units:
     """Token ids of texts, by an encoder of distinct units."""
 
-    def __init__(self, encode: Encode, blanks: bytes = words.BLANKS):
-        self.encode, self.blank = encode, words.separators(blanks)
+    def __init__(self, encode: Encode, apart: np.ndarray):
+        self.encode, self.apart = encode, apart
         self._forget()
 
     def _forget(self) -> None:
@@ -48,14 +41,13 @@ class Units:
         self.begin, self.length = np.zeros(0, np.int64), np.zeros(0, np.int64)
         self.flat = np.zeros(0, np.int32)
 
-    def _learn(self, keys: list[int], units: list[bytes]) -> None:
-        encoded = self.encode(units)
-        lengths = np.fromiter((len(ids) for ids in encoded), np.int64, len(units))
+    def _learn(self, keys: np.ndarray, units: list[bytes]) -> None:
+        ids, lengths = self.encode(units, keys)
         first = len(self.begin)
         self.begin = np.concatenate([self.begin, len(self.flat) + np.cumsum(lengths) - lengths])
         self.length = np.concatenate([self.length, lengths])
-        self.flat = np.concatenate([self.flat, *[np.asarray(ids, dtype=np.int32) for ids in encoded]])
-        self.known.update(zip(keys, range(first, first + len(keys))))
+        self.flat = np.concatenate([self.flat, ids])
+        self.known.update(zip(keys.tolist(), range(first, first + len(keys))))
 
     def _ids(self, data: np.ndarray, starts: np.ndarray, stops: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """All ids, and how many each unit has."""
@@ -67,26 +59,24 @@ class Units:
         if missing:
             at = first[missing]
             raw = data.tobytes()
-            self._learn([listed[m] for m in missing], [raw[b:e] for b, e in zip(starts[at].tolist(), stops[at].tolist())])
+            self._learn(distinct[missing], [raw[b:e] for b, e in zip(starts[at].tolist(), stops[at].tolist())])
         entry = np.fromiter(map(self.known.__getitem__, listed), np.int64, len(listed))[place]
         lengths = self.length[entry]
         ends = np.cumsum(lengths)
         shift = np.repeat(self.begin[entry] - (ends - lengths), lengths)
         return self.flat[shift + np.arange(len(shift))], lengths
 
-    def texts(self, column: pa.Array, keyed: Callable[[np.ndarray, np.ndarray, int], np.ndarray] | None = None) -> Iterator[np.ndarray]:
-        """The ids of each text. ``keyed`` may change the units' keys, given those, their places in their text and the first row."""
+    def texts(self, column: pa.Array, keyed: Callable[[np.ndarray, np.ndarray, int], np.ndarray]) -> Iterator[np.ndarray]:
+        """The ids of each text. ``keyed`` gives the units' keys, from their hashes, the units before each text and the first row."""
         for begin, end in words.slices(column, SLICE):
             data, offsets = words.text_bytes(column.slice(begin, end - begin))
             if not len(data):
                 yield from (np.zeros(0, np.int32) for _ in range(begin, end))
                 continue
-            starts = unit_starts(data, offsets, self.blank)
+            starts = unit_starts(data, offsets, self.apart)
             stops = np.append(starts[1:], len(data))
-            keys = words.hashes(data, starts, stops, fold=False)
             before = np.searchsorted(starts, offsets)
-            if keyed is not None:
-                keys = keyed(keys, before, begin)
+            keys = keyed(words.hashes(data, starts, stops, fold=False), before, begin)
             ids, lengths = self._ids(data, starts, stops, keys)
             ends = np.concatenate([[0], np.cumsum(lengths)])[before]
             for row in range(end - begin):

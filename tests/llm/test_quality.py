@@ -1,0 +1,63 @@
+"""The ordinal model on held-out documents and on made-up grades."""
+
+import random
+
+import numpy as np
+import pyarrow as pa
+import pytest
+
+from cartwheel.llm import quality as Q
+from cartwheel.llm.queries import QUERIES
+from cartwheel.llm.tables import table
+
+
+def test_held_out_documents_are_graded(spark):
+    sf_dir = "/root/testdata/sf0.1"
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = Q.fit(*Q.sample_features(docs, labels.where("doc_id % 4 <> 0")))
+    rows = Q.score_quality(docs.join(labels.where("doc_id % 4 = 0"), "doc_id"), model).collect()
+    kept = lambda test: np.mean([r.p_top >= Q.KEEP for r in rows if test(r.doc)])
+    assert kept(lambda d: d.quality == 1 and d.toxic == 0) > 0.97
+    assert kept(lambda d: d.toxic == 1) < 0.25
+    assert kept(lambda d: d.quality == 0) < 0.15
+
+
+def test_thresholds_are_ordered_and_grades_follow_the_score():
+    draw = random.Random(3)
+    texts, grades = [], []
+    for _ in range(900):
+        grade = draw.randrange(3)
+        words = [f"w{draw.randrange(60)}" for _ in range(30)]
+        words += {0: ["awful"] * 2 + ["poor"], 1: ["poor"], 2: []}[grade]
+        texts.append(" ".join(words))
+        grades.append(grade)
+    model = Q.fit(list(Q.text_features(pa.array(texts[:600]))), np.array(grades[:600]))
+    assert (np.diff(model.thresholds) > 0).all()
+    tails = model.tails(model.score(pa.array(texts[600:])))
+    assert (np.diff(tails, axis=1) <= 0).all()
+    assert np.mean(np.rint(tails.sum(1)) == grades[600:]) > 0.9
+
+
+def test_query_scores_every_document(spark, sf_dir):
+    rows = QUERIES["op6_quality"](spark, sf_dir).collect()
+    assert len(rows) == table(spark, sf_dir, "documents").count()
+    assert all(0 <= r.p_top <= 1 and 0 <= r.expected_grade <= 2 and r.keep == (r.p_top >= Q.KEEP) for r in rows)
+
+
+def test_sample_is_bounded(spark, sf_dir):
+    features, grades = Q.sample_features(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), sample=10)
+    assert len(features) == len(grades) == 10
+
+
+@pytest.mark.parametrize("rows", [[], [(None, 1, 0), (1, None, 0), (2, 1, None), (900, 0, 0)]])
+def test_without_usable_labels_all_stay(spark, odd_docs, rows):
+    labels = spark.createDataFrame(rows, "doc_id bigint, quality int, toxic int")
+    model = Q.fit(*Q.sample_features(odd_docs, labels))
+    scored = Q.score_quality(odd_docs, model).collect()
+    assert len(scored) == odd_docs.count()
+    assert {r.p_top for r in scored} == {scored[0].p_top} and scored[0].p_top >= Q.KEEP
+    assert set(scored[0].doc.asDict()) == set(odd_docs.columns)
+
+
+def test_empty_table(no_docs):
+    assert Q.score_quality(no_docs, Q.fit([], np.zeros(0, int))).collect() == []
