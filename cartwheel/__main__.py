@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import argparse
+import datetime as dt
+import os
 from collections.abc import Sequence
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -41,9 +44,16 @@ def parser() -> argparse.ArgumentParser:
     bronze.add_argument("--tables", type=_names, default=list(PRIMARY_KEYS))
     bronze.add_argument("--jdbc_url", required=True)
     bronze.add_argument("--jdbc_user", required=True)
-    bronze.add_argument("--jdbc_password", required=True)
+    secret = bronze.add_mutually_exclusive_group(required=True)
+    secret.add_argument("--jdbc_password", help="shows in process lists; prefer one of the others")
+    secret.add_argument("--jdbc_password_env", metavar="NAME", help="environment variable that holds the password")
+    secret.add_argument("--jdbc_password_file", metavar="PATH", help="file that holds the password")
     bronze.add_argument("--bronze_out", required=True)
     bronze.add_argument("--watermarks", required=True)
+    bronze.add_argument(
+        "--overlap_seconds", type=int,
+        help="read again what changed this long before the watermark, to find rows committed late",
+    )
     bronze.add_argument(
         "--split", type=_split, action="append", default=[], metavar="TABLE=COLUMN,LOWER,UPPER,PARTITIONS",
         help="read a large table through several connections",
@@ -85,18 +95,27 @@ def parser() -> argparse.ArgumentParser:
     return top
 
 
+def _password(args: argparse.Namespace) -> str:
+    if args.jdbc_password_env:
+        return os.environ[args.jdbc_password_env]
+    if args.jdbc_password_file:
+        return Path(args.jdbc_password_file).read_text().strip()
+    return args.jdbc_password
+
+
 def run(spark: SparkSession, args: argparse.Namespace) -> None:
     if args.job == "bronze":
-        database = jdbc.Database(args.jdbc_url, args.jdbc_user, args.jdbc_password)
+        database = jdbc.Database(args.jdbc_url, args.jdbc_user, _password(args))
         splits = dict(args.split)
         layers.load_raw(
             spark,
-            lambda table, watermark: jdbc.read_table(
-                spark, database, table, watermark, split=splits.get(table)
+            lambda table, watermark, inclusive=False: jdbc.read_table(
+                spark, database, table, watermark, split=splits.get(table), inclusive=inclusive
             ),
             args.bronze_out,
             args.tables,
             Watermarks(spark, args.watermarks),
+            overlap=None if args.overlap_seconds is None else dt.timedelta(seconds=args.overlap_seconds),
             single_partition=args.single_partition,
         )
     elif args.job == "clickstream":

@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cartwheel.functions import text
@@ -31,7 +31,8 @@ def fk_violations(
 ) -> DataFrame:
     """Per reference: how many child rows point at no parent, and at how many missing keys.
 
-    A NULL reference is allowed. Each child table is read once for all its
+    A NULL reference is allowed. Keys may be of any type: numbers written differently agree, and a value that is
+    no number is compared as text, so a malformed reference counts as one to a missing key. Each child table is read once for all its
     references, each parent once for its key.
     """
     checked = [fk for fk in foreign_keys if fk.child in tables and fk.parent in tables]
@@ -42,7 +43,7 @@ def fk_violations(
     parents = [
         tables[fk.parent].select(
             F.lit(fk.parent).alias("parent_table"),
-            F.col(fk.parent_column).cast("bigint").alias("value"),
+            _comparable(F.col(fk.parent_column)).alias("value"),
         )
         for fk in {fk.parent: fk for fk in checked}.values()
     ]
@@ -63,12 +64,16 @@ def fk_violations(
     return dangling.agg(F.array(*lines).alias("report")).select(F.inline("report"))
 
 
+def _comparable(key: Column) -> Column:
+    return F.coalesce(key.try_cast("bigint").cast("string"), F.trim(key.cast("string")))
+
+
 def _references(child: DataFrame, keys: Sequence[ForeignKey]) -> DataFrame:
     entries = [
         F.struct(
             F.lit(fk.name).alias("constraint"),
             F.lit(fk.parent).alias("parent_table"),
-            F.col(fk.column).cast("bigint").alias("value"),
+            _comparable(F.col(fk.column)).alias("value"),
         )
         for fk in keys
     ]
@@ -81,55 +86,47 @@ def key_violations(
     unique_columns: Mapping[str, Sequence[str]] = UNIQUE_COLUMNS,
     required_columns: Mapping[str, Sequence[str]] = REQUIRED_COLUMNS,
 ) -> DataFrame:
-    """Per PRIMARY KEY, UNIQUE and NOT NULL constraint: what breaks it.
+    """Per PRIMARY KEY, UNIQUE and NOT NULL constraint: what breaks it. Each table is read once.
 
     ``null_rows`` lack a value (unique columns may), ``repeated_keys`` are the
     values that occur more than once and ``excess_rows`` their rows beyond the first.
     """
-    reports = [
-        _key_report(tables[table], table, "primary key", key)
-        for table, key in primary_keys.items()
-        if table in tables
-    ]
-    reports += [
-        _key_report(tables[table], table, "unique", (column,))
-        for table, columns in unique_columns.items()
-        if table in tables
-        for column in columns
-    ]
-    reports += [
-        tables[table].agg(
-            F.lit(table).alias("table_name"),
-            F.lit("not null").alias("kind"),
-            F.lit(column).alias("key_columns"),
-            F.count_if(F.col(column).isNull()).alias("null_rows"),
-            F.lit(0).cast("bigint").alias("repeated_keys"),
-            F.lit(0).cast("bigint").alias("excess_rows"),
+    checks: dict[str, list[tuple[str, Sequence[str]]]] = {}
+    for kind, constraints in (("primary key", primary_keys), ("unique", unique_columns), ("not null", required_columns)):
+        for table, columns in constraints.items():
+            for key in [columns] if kind == "primary key" else [(column,) for column in columns]:
+                checks.setdefault(table, []).append((kind, key))
+    return _union([_key_reports(tables[table], table, kinds) for table, kinds in checks.items() if table in tables])
+
+
+def _key_reports(df: DataFrame, table: str, checks: Sequence[tuple[str, Sequence[str]]]) -> DataFrame:
+    """All constraints of a table from one scan: its values are counted per constraint, then summed up."""
+    entries = []
+    for number, (kind, key) in enumerate(checks):
+        incomplete = reduce(lambda a, b: a | b, [F.col(column).isNull() for column in key])
+        # whether a required column is filled is all that is counted of it
+        values = [F.col(column).cast("string") for column in key] if kind != "not null" else [F.lit("")]
+        entries.append(
+            F.struct(
+                F.lit(number).alias("number"),
+                F.when(~incomplete, F.array(*values)).alias("value"),
+            )
         )
-        for table, columns in required_columns.items()
-        if table in tables
-        for column in columns
-    ]
-    return _union(reports)
-
-
-def _key_report(df: DataFrame, table: str, kind: str, key: Sequence[str]) -> DataFrame:
-    incomplete = reduce(lambda a, b: a | b, [F.col(column).isNull() for column in key])
-    repeated = (F.col("copies") > 1) & ~F.col("incomplete")
-    return (
-        df.select(*key)
-        .groupBy(*key)
-        .agg(F.count("*").alias("copies"))
-        .withColumn("incomplete", incomplete)
-        .agg(
-            F.lit(table).alias("table_name"),
-            F.lit(kind).alias("kind"),
-            F.lit(",".join(key)).alias("key_columns"),
-            F.coalesce(F.sum(F.when(F.col("incomplete"), F.col("copies"))), F.lit(0)).alias("null_rows"),
-            F.count_if(repeated).alias("repeated_keys"),
-            F.coalesce(F.sum(F.when(repeated, F.col("copies") - 1)), F.lit(0)).alias("excess_rows"),
+    copies = df.select(F.inline(F.array(*entries))).groupBy("number", "value").agg(F.count("*").alias("copies"))
+    reports = []
+    for number, (kind, key) in enumerate(checks):
+        own, repeated = F.col("number") == number, F.col("value").isNotNull() & (F.col("copies") > 1) & F.lit(kind != "not null")
+        reports.append(
+            F.struct(
+                F.lit(table).alias("table_name"),
+                F.lit(kind).alias("kind"),
+                F.lit(",".join(key)).alias("key_columns"),
+                F.coalesce(F.sum(F.when(own & F.col("value").isNull(), F.col("copies"))), F.lit(0)).alias("null_rows"),
+                F.count_if(own & repeated).alias("repeated_keys"),
+                F.coalesce(F.sum(F.when(own & repeated, F.col("copies") - 1)), F.lit(0)).alias("excess_rows"),
+            )
         )
-    )
+    return copies.agg(F.array(*reports).alias("report")).select(F.inline("report"))
 
 
 def email_phone_quality(users: DataFrame) -> DataFrame:

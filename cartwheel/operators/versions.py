@@ -8,16 +8,13 @@ row per key, so a key with very many versions does not overload a task.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cartwheel.model import STAMP, STAMP_DATE, VERSION
-from cartwheel.session import scratch
-
-# How many repeated keys may be broadcast; at some tens of bytes each, well below 100 MB.
-BROADCAST_KEYS = 500_000
 
 _UNORDERED = (T.MapType, T.VariantType)
 
@@ -28,8 +25,7 @@ def newest_per_key(
     """One row per key, the first in the given order.
 
     With ``settle_ties`` the remaining columns complete the order, so the result
-    does not depend on how rows are spread over tasks. Leave it off where the
-    given order is known to be total: the plan then reads fewer columns.
+    does not depend on how rows are spread over tasks.
     """
     order = list(newest_first)
     if settle_ties:
@@ -71,31 +67,18 @@ def dedup_rare(
     *,
     version: str | None = VERSION,
     stamp: str | None = STAMP,
-    settle_ties: bool = True,
-    broadcast_keys: int = BROADCAST_KEYS,
-    folder: str | None = None,
 ) -> DataFrame:
-    """What ``dedup`` returns, for a large table in which few keys repeat.
+    """What ``dedup`` returns, with a ranking of the repeated keys alone.
 
-    The repeated keys are found first, from the key columns alone, and written to
-    ``folder``, by default a new one in the scratch folder. If they are few enough
-    to broadcast, only their rows are shuffled and ranked, and all others pass
-    straight through; otherwise every row is ranked. Runs a job when called.
+    The repeated keys are counted from the key columns; rows of other keys are not ranked. Spark
+    chooses how to join the two, by the sizes it measures.
     """
-    spark, keys = df.sparkSession, list(keys)
+    keys = list(keys)
     complete = df.dropna(subset=keys)
-    path = folder or scratch(spark, "repeated-keys")
-    complete.groupBy(*keys).agg(F.count("*").alias("_copies")).where("_copies > 1").select(
-        *keys, F.lit(True).alias("_repeats")
-    ).write.parquet(path)
-    repeated = spark.read.parquet(path)
-    order = _by_age(df, version, stamp)
-    if repeated.count() > broadcast_keys:
-        return newest_per_key(complete, keys, order, settle_ties=settle_ties)
-    marked = complete.join(F.broadcast(repeated), keys, "left")
-    single = marked.where(F.col("_repeats").isNull()).select(*df.columns)
-    several = marked.where(F.col("_repeats")).select(*df.columns)
-    return single.unionByName(newest_per_key(several, keys, order, settle_ties=settle_ties))
+    repeated = complete.groupBy(*keys).agg(F.count("*").alias("_copies")).where("_copies > 1").select(*keys)
+    single = complete.join(repeated, keys, "left_anti").select(*df.columns)
+    several = complete.join(repeated, keys, "left_semi").select(*df.columns)
+    return single.unionByName(newest_per_key(several, keys, _by_age(df, version, stamp)))
 
 
 def restamp(df: DataFrame, stamp: str) -> DataFrame:
@@ -114,13 +97,12 @@ def current_snapshot(
 ) -> DataFrame:
     """The latest row per key over all batches of a trusted table.
 
-    A batch holds each key once, and batches have distinct stamps, so version and
-    stamp already order the rows of a key fully. No other column enters the
-    ranking, and a reader that needs few columns scans only those.
+    Two batches may carry the same stamp, so the remaining columns settle ties. Select the
+    columns that are needed before, and the ranking reads no others.
     """
     if not keys:
         return history.dropDuplicates()
-    return newest_per_key(history, keys, _by_age(history, version, stamp), settle_ties=False)
+    return newest_per_key(history, keys, _by_age(history, version, stamp))
 
 
 def upsert_latest(
@@ -129,12 +111,12 @@ def upsert_latest(
     """``base`` with the rows of ``incoming`` put in place of those with the same key.
 
     Incoming rows win whatever their version; the version only picks among
-    incoming rows of one key. ``base`` is expected to hold a key once. The base is
-    filtered by an anti join on the keys, so it is not shuffled while the
-    incoming side is small enough to broadcast.
+    incoming rows of one key. ``base`` is expected to hold a key once. It is
+    filtered by the incoming keys, which are not ranked for that, so it is not shuffled
+    while those are small enough to broadcast.
     """
+    kept = base.join(incoming.select(*keys), list(keys), "left_anti")
     fresh = dedup(incoming, keys, version=version, stamp=None)
-    kept = base.join(fresh.select(*keys), list(keys), "left_anti")
     return kept.unionByName(fresh.select(*base.columns))
 
 
@@ -150,9 +132,15 @@ def absent(
 ) -> DataFrame:
     """The rows of ``incoming`` whose key ``base`` lacks, one per key.
 
-    The base keys are first cut down to the incoming ones, where the incoming
-    side can be broadcast; only the matches meet the anti join.
+    The base keys are first cut down to the incoming ones, which are not ranked for
+    that and can be broadcast; only the matches meet the anti join.
     """
-    fresh = dedup(incoming, keys, version=version, stamp=None)
-    known = base.select(*keys).join(fresh.select(*keys), list(keys), "left_semi")
-    return fresh.join(known, list(keys), "left_anti")
+    known = base.select(*keys).join(incoming.select(*keys), list(keys), "left_semi")
+    return dedup(incoming.join(known, list(keys), "left_anti"), keys, version=version, stamp=None)
+
+
+def new_rows(known: DataFrame, incoming: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The distinct rows of ``incoming`` that ``known`` does not hold, compared in ``columns`` with NULL equal to NULL."""
+    left, right = incoming.dropDuplicates(list(columns)).alias("incoming"), known.select(*columns).alias("known")
+    same = [F.col(f"incoming.`{name}`").eqNullSafe(F.col(f"known.`{name}`")) for name in columns]
+    return left.join(right, reduce(lambda a, b: a & b, same), "left_anti")

@@ -19,22 +19,23 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from cartwheel import storage
-from cartwheel.model import PRIMARY_KEYS, STAMP, STAMP_DATE, TRACKED_TABLES, VERSION
+from cartwheel.model import PRIMARY_KEYS, STAMP, STAMP_DATE, TRACKED_TABLES, VERSION, table_schema
 from cartwheel.operators.clean import clean
-from cartwheel.operators.versions import current_snapshot, dedup, dedup_rare, restamp
+from cartwheel.operators.versions import current_snapshot, dedup, restamp
 from cartwheel.plans import attribution, dims, facts, funnel, inventory, promotions, rfm
 from cartwheel.session import scratch
 from cartwheel.sinks import tables
 from cartwheel.sinks.watermarks import START, Watermarks
 from cartwheel.sources import files
+from cartwheel.sources.jdbc import click_table_as_files
 from cartwheel.streaming import clickstream
 
-# A source gives the rows of a table changed after a watermark, or all rows where it is None.
-Source = Callable[[str, str | None], DataFrame]
+# A source gives the rows of a table changed after a watermark, or all rows where it is None;
+# with an overlap it is also asked, by ``inclusive=True``, for the rows changed at the watermark.
+Source = Callable[..., DataFrame]
 Result = TypeVar("Result")
 
 PEOPLE_TABLES = frozenset({"users"})
-RARELY_REPEATED = frozenset({"clickstream"})
 AT_A_TIME = 4
 
 
@@ -49,10 +50,16 @@ def join_path(root: str, *parts: str) -> str:
 def _each(
     spark: SparkSession, names: Iterable[str], job: Callable[[str], Result], at_a_time: int
 ) -> dict[str, Result]:
-    """Run a job for every name, some at a time; the first error is raised."""
-    names = list(names)
+    """Run a job for every name, some at a time. A failing one does not stop the others; its error is raised at the end."""
+    names, run = list(names), inheritable_thread_target(spark)(job)
     with ThreadPoolExecutor(max_workers=at_a_time) as pool:
-        return dict(zip(names, pool.map(inheritable_thread_target(spark)(job), names), strict=True))
+        running = {name: pool.submit(run, name) for name in names}
+    errors = {name: error for name, future in running.items() if (error := future.exception())}
+    if errors:
+        first = next(iter(errors.values()))
+        first.add_note(f"failed: {', '.join(errors)}")
+        raise first
+    return {name: future.result() for name, future in running.items()}
 
 
 @contextmanager
@@ -69,6 +76,11 @@ def _run_folder(spark: SparkSession, layer: str) -> Iterator[str]:
 # Raw layer.
 
 
+def earlier(watermark: str, by: dt.timedelta) -> str:
+    """A watermark moved back in time."""
+    return (dt.datetime.fromisoformat(watermark) - by).isoformat(sep=" ")
+
+
 def stamped(df: DataFrame, stamp: str) -> DataFrame:
     return df.withColumn(STAMP, F.lit(stamp).cast("timestamp"))
 
@@ -81,6 +93,7 @@ def load_raw(
     watermarks: Watermarks,
     *,
     stamp: str | None = None,
+    overlap: dt.timedelta | None = None,
     single_partition: bool = False,
     at_a_time: int = AT_A_TIME,
 ) -> list[str]:
@@ -88,13 +101,25 @@ def load_raw(
 
     The next run starts after the highest change time written here, which is
     observed during the write and costs no further pass.
+
+    A row committed late, with a change time at or before that of rows already read, is only found with
+    an ``overlap``: rows are then read from the watermark less the overlap on, that instant included. Choose it longer than
+    the longest transaction. What is read twice does no harm, as the trusted layer keeps the
+    latest row per key.
     """
     stamp = stamp or utc_stamp()
     known = watermarks.of_layer("raw")
 
+    def changed(table: str) -> DataFrame:
+        if table not in TRACKED_TABLES:
+            return source(table, None)
+        if overlap is None or table not in known:
+            return source(table, known.get(table, START))
+        return source(table, earlier(known[table], overlap), inclusive=True)
+
     def load(table: str) -> bool:
         tracked = table in TRACKED_TABLES
-        rows = source(table, known.get(table, START) if tracked else None)
+        rows = changed(table)
         if rows.isEmpty():
             return False
         out = stamped(rows, stamp).withColumn(STAMP_DATE, F.lit(stamp[:10]))
@@ -104,8 +129,9 @@ def load_raw(
             seen = Observation(f"raw {table}")
             marked = out.observe(seen, F.max(VERSION).cast("string").alias("highest"))
             tables.append(marked, path, **layout)
-            if seen.get["highest"] is not None:
-                watermarks.put("raw", table, seen.get["highest"])
+            highest = seen.get["highest"]
+            if highest is not None:
+                watermarks.put("raw", table, max(highest, known.get(table, START)))
         else:
             tables.replace(out, path, **layout)
         return True
@@ -117,16 +143,10 @@ def load_raw(
 # Trusted layer.
 
 
-def refine(raw: DataFrame, table: str, stamp: str, *, repeats_folder: str | None = None) -> DataFrame:
-    """Clean a raw batch, keep the latest row per key and stamp it.
-
-    With a ``repeats_folder``, the keys that repeat are found and written there first.
-    """
+def refine(raw: DataFrame, table: str, stamp: str) -> DataFrame:
+    """Clean a raw batch, keep the latest row per key and stamp it."""
     cleaned = clean(raw.drop(STAMP_DATE), people=table in PEOPLE_TABLES)
-    key = PRIMARY_KEYS.get(table, ())
-    if key and repeats_folder:
-        return restamp(dedup_rare(cleaned, key, folder=repeats_folder), stamp)
-    return restamp(dedup(cleaned, key), stamp)
+    return restamp(dedup(cleaned, PRIMARY_KEYS.get(table, ())), stamp)
 
 
 def refine_since(raw: DataFrame, table: str, watermark: str, stamp: str) -> DataFrame:
@@ -141,19 +161,14 @@ def load_trusted(
     watermarks: Watermarks,
     *,
     stamp: str | None = None,
-    rarely_repeated: Iterable[str] = RARELY_REPEATED,
     single_partition: bool = False,
     at_a_time: int = AT_A_TIME,
 ) -> list[str]:
-    """Refine what arrived in the raw layer since the last run; returns the tables written.
-
-    ``rarely_repeated`` names large tables whose batches seldom hold a key twice.
-    """
+    """Refine what arrived in the raw layer since the last run; returns the tables written."""
     stamp = stamp or utc_stamp()
     known = watermarks.of_layer("trusted")
-    rarely_repeated = frozenset(rarely_repeated)
 
-    def load(table: str, folder: str) -> bool:
+    def load(table: str) -> bool:
         raw = files.parquet_if_any(spark, join_path(raw_path, table))
         if raw is None:
             return False
@@ -162,7 +177,7 @@ def load_trusted(
         if highest is None:
             return False
         tables.append(
-            refine(batch, table, stamp, repeats_folder=f"{folder}/{table}" if table in rarely_repeated else None),
+            refine(batch, table, stamp),
             join_path(trusted_path, table),
             partition_by=(STAMP_DATE,),
             single_partition=single_partition,
@@ -170,8 +185,7 @@ def load_trusted(
         watermarks.put("trusted", table, highest)
         return True
 
-    with _run_folder(spark, "trusted") as folder:
-        done = _each(spark, table_names, lambda table: load(table, folder), at_a_time)
+    done = _each(spark, table_names, load, at_a_time)
     return [table for table, written in done.items() if written]
 
 
@@ -192,6 +206,14 @@ CURATED_COLUMNS: dict[str, tuple[str, ...]] = {
 }
 
 
+def no_rows(spark: SparkSession, table: str) -> DataFrame:
+    """The trusted form of a table without rows."""
+    raw = spark.createDataFrame([], table_schema(table))
+    if table == "clickstream":
+        raw = click_table_as_files(raw)
+    return refine(raw.withColumn(STAMP, F.current_timestamp()), table, START)
+
+
 def current(
     spark: SparkSession,
     trusted_path: str,
@@ -199,32 +221,25 @@ def current(
     folder: str,
     *,
     append_only: Iterable[str] = (),
-    rarely_repeated: Iterable[str] = RARELY_REPEATED,
     at_a_time: int = AT_A_TIME,
 ) -> dict[str, DataFrame]:
     """The latest state of trusted tables, of the widest only the curated columns.
 
-    A table that arrived in one batch holds each key once and is read as it is, and
-    so is one said to be ``append_only``. Where several batches exist, their latest
+    A table said to be ``append_only`` is read as it is. Of the others the latest
     rows are written below ``folder`` once, since most tables feed several outputs.
+    A table that nothing has been written to yet is empty, with the columns of the data model.
     """
-    append_only, rarely_repeated = frozenset(append_only), frozenset(rarely_repeated)
+    append_only = frozenset(append_only)
 
     def latest(table: str) -> DataFrame:
-        history = files.parquet(spark, join_path(trusted_path, table))
+        history = files.parquet_if_any(spark, join_path(trusted_path, table))
+        if history is None:
+            return no_rows(spark, table)
         if table in append_only:
             return history
-        first, last = history.agg(F.min(STAMP), F.max(STAMP)).first()
-        if first == last:
-            return history
         wanted = {*CURATED_COLUMNS.get(table, history.columns), *PRIMARY_KEYS[table], VERSION, STAMP}
         narrow = history.select(*(name for name in history.columns if name in wanted))
-        if table in rarely_repeated:
-            snapshot = dedup_rare(
-                narrow, PRIMARY_KEYS[table], settle_ties=False, folder=f"{folder}/{table}-repeats"
-            )
-        else:
-            snapshot = current_snapshot(narrow, PRIMARY_KEYS[table])
+        snapshot = current_snapshot(narrow, PRIMARY_KEYS[table])
         path = f"{folder}/{table}"
         tables.write(snapshot, path, "errorifexists")
         return files.parquet(spark, path)

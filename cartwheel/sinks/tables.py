@@ -41,13 +41,19 @@ def append(df: DataFrame, path: str, **options) -> None:
 def replace(df: DataFrame, path: str, **options) -> None:
     """Put new content in place of a table, keeping the old one until the new one is complete.
 
-    The rows are written beside the table and moved in; an error while moving
-    restores the old content and is raised.
+    The rows are written beside the table and moved in. An error while writing removes what
+    was written, and one while moving restores the old content; both are raised. Between the two
+    moves there is no table for a moment; readers that must not meet it read a version folder of their own.
     """
     spark = df.sparkSession
     run = uuid.uuid4().hex
     staged, retired = f"{path}.staged-{run}", f"{path}.retired-{run}"
-    write(df, staged, "errorifexists", **options)
+    try:
+        write(df, staged, "errorifexists", **options)
+    except Exception:
+        if storage.exists(spark, staged):
+            storage.delete(spark, staged)
+        raise
     had_content = storage.exists(spark, path)
     if had_content:
         storage.rename(spark, path, retired)
@@ -56,6 +62,7 @@ def replace(df: DataFrame, path: str, **options) -> None:
     except Exception:
         if had_content:
             storage.rename(spark, retired, path)
+        storage.delete(spark, staged)
         raise
     if had_content:
         storage.delete(spark, retired)

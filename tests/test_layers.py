@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cartwheel import storage
-from cartwheel.model import STAMP, STAMP_DATE
+from cartwheel.model import PRIMARY_KEYS, STAMP, STAMP_DATE
 from cartwheel.operators.versions import restamp
 from cartwheel.plans import layers
 from cartwheel.session import scratch
@@ -90,16 +90,15 @@ def test_trusted_takes_new_batches_and_snapshot_takes_latest_rows(spark, databas
     once = {(row.category_id, row.category_name) for row in parquet(spark, f"{trusted}/categories").collect()}
     assert once == {(1, "one, later"), (2, None)}
     single = layers.current(spark, trusted, ["categories"], f"{folder}/run1")["categories"]
-    assert single.inputFiles()[0].startswith(f"file://{trusted}")
+    assert names(single.dropna()) == ["one, later"]
 
     assert run(first, "2024-02-02 10:00:00", "2024-02-02 11:00:00") == []
     assert run([(2, "two", DAY[3])], "2024-02-03 10:00:00", "2024-02-03 11:00:00") == ["categories"]
     history = parquet(spark, f"{trusted}/categories")
     assert history.count() == 3
     assert {str(row[STAMP_DATE]) for row in history.select(STAMP_DATE).distinct().collect()} == {"2024-02-01", "2024-02-03"}
-    for run_folder, options in (("run2", {}), ("run3", {"rarely_repeated": ["categories"]})):
-        latest = layers.current(spark, trusted, ["categories"], f"{folder}/{run_folder}", **options)["categories"]
-        assert names(latest) == ["one, later", "two"]
+    latest = layers.current(spark, trusted, ["categories"], f"{folder}/run2")["categories"]
+    assert names(latest) == ["one, later", "two"]
     untouched = layers.current(spark, trusted, ["categories"], "", append_only=["categories"])["categories"]
     assert untouched.count() == 3
 
@@ -216,13 +215,73 @@ def test_curated_groups_and_rerun(spark, folder):
     assert not list(Path(spark.conf.get("spark.checkpoint.dir")).glob("curated-*"))
 
 
-def test_rarely_repeated_tables_refine_alike(spark, folder):
-    clicks = spark.createDataFrame(
-        [(1, "a", DAY[0]), (1, "b", DAY[1]), (2, "c", DAY[0]), (None, "d", DAY[0])],
-        f"event_id BIGINT, event_type STRING, {STAMP} TIMESTAMP",
+def test_late_commits_are_found_with_an_overlap(spark, watermarks, folder):
+    raw, trusted = f"{folder}/raw", f"{folder}/trusted"
+    first = [(1, "one", DAY[2]), (2, "two", DAY[1])]
+    late = [*first, (3, "same time", DAY[2]), (4, "older", DAY[1]), (2, "two, later", DAY[3])]
+    schema = "category_id INT, category_name STRING, updated_at TIMESTAMP"
+
+    def load(rows, stamp, **options):
+        def source(table, watermark, inclusive=False):
+            return changed_since(spark.createDataFrame(rows, schema), "updated_at", watermark, inclusive=inclusive)
+
+        layers.load_raw(spark, source, raw, ["categories"], watermarks, stamp=stamp, **options)
+        layers.load_trusted(spark, raw, trusted, ["categories"], watermarks, stamp=stamp)
+
+    load(first, "2024-02-01 10:00:00")
+    load(late, "2024-02-02 10:00:00", overlap=dt.timedelta(days=2))
+    load(late, "2024-02-03 10:00:00", overlap=dt.timedelta(days=2))
+    latest = layers.current(spark, trusted, ["categories"], f"{folder}/run")["categories"]
+    found = sorted((row.category_id, row.category_name) for row in latest.collect())
+    assert found == [(1, "one"), (2, "two, later"), (3, "same time"), (4, "older")]
+    assert watermarks.get("raw", "categories") == str(DAY[3])
+
+
+def test_trusted_loads_with_one_stamp_leave_each_key_once(spark, database, watermarks, folder):
+    raw, trusted = f"{folder}/raw", f"{folder}/trusted"
+    for name, day, raw_stamp in (("old", DAY[0], "2024-02-01 10:00:00"), ("new", DAY[1], "2024-02-02 10:00:00")):
+        database.rows = [(1, name, day)]
+        layers.load_raw(spark, database, raw, ["categories"], watermarks, stamp=raw_stamp)
+        layers.load_trusted(spark, raw, trusted, ["categories"], watermarks, stamp="2024-02-05 00:00:00")
+    assert parquet(spark, f"{trusted}/categories").count() == 2
+    assert names(layers.current(spark, trusted, ["categories"], f"{folder}/run")["categories"]) == ["new"]
+
+
+def test_missing_tables_are_empty_and_stop_no_output(spark, folder):
+    orders = spark.createDataFrame(
+        [(1, 1, "Paid", dt.datetime(2024, 1, 1), Decimal(10))],
+        "order_id INT, user_id INT, status STRING, order_date TIMESTAMP, total_amount DECIMAL(15,2)",
+    )
+    tables.append(restamp(orders, "2024-02-01 00:00:00"), f"{folder}/t/orders", partition_by=(STAMP_DATE,))
+    done = layers.load_curated(spark, f"{folder}/t", f"{folder}/c", groups=["q1", "q2", "q5"], as_of="2024-01-11")
+    assert done == ["gold_q1_conversion_funnel", "gold_q2_rfm_segmentation", "gold_q5_attribution"]
+    (row,) = parquet(spark, f"{folder}/c/gold_q2_rfm_segmentation").collect()
+    assert (row.user_id, row.full_name) == (1, None)
+    assert parquet(spark, f"{folder}/c/gold_q5_attribution").count() == 0
+    for table in PRIMARY_KEYS:
+        assert layers.no_rows(spark, table).count() == 0
+
+
+def test_failing_output_stops_no_other_and_is_raised(spark, folder):
+    users = spark.createDataFrame([(1, "A")], "user_id INT, unexpected STRING")
+    orders = spark.createDataFrame([(1, 1, Decimal(1))], "order_id INT, user_id INT, total_amount DECIMAL(15,2)")
+    promos = spark.createDataFrame([(1, "p")], "promo_id INT, promo_code STRING")
+    channels = spark.createDataFrame(
+        [(1, "c", "t", "p", "s", "m")],
+        "channel_id INT, channel_name STRING, channel_type STRING, platform STRING, utm_source STRING, utm_medium STRING",
     )
-    plain = layers.refine(clicks, "clickstream", "2024-02-01 00:00:00")
-    rare = layers.refine(clicks, "clickstream", "2024-02-01 00:00:00", repeats_folder=f"{folder}/repeats")
-    assert rare.columns == plain.columns
-    assert sorted(rare.collect()) == sorted(plain.collect())
-    assert {row.event_type for row in rare.collect()} == {"b", "c"}
+    for table, df in (("users", users), ("orders", orders), ("promotions", promos), ("marketing_channels", channels)):
+        tables.append(restamp(df, "2024-02-01 00:00:00"), f"{folder}/t/{table}", partition_by=(STAMP_DATE,))
+    with pytest.raises(Exception) as raised:
+        layers.load_curated(spark, f"{folder}/t", f"{folder}/c", groups=["dims"])
+    assert any("dim_users" in note for note in raised.value.__notes__)
+    assert parquet(spark, f"{folder}/c/dim_marketing_channels").count() == 1
+
+
+def test_failed_write_leaves_nothing_beside_the_table(spark, folder):
+    path = f"{folder}/t"
+    tables.replace(spark.range(3), path)
+    with pytest.raises(Exception):
+        tables.replace(spark.range(3).select(F.raise_error(F.lit("broken")).alias("id")), path)
+    assert [p.name for p in Path(folder).iterdir()] == ["t"]
+    assert parquet(spark, path).count() == 3

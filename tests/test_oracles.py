@@ -4,6 +4,8 @@ import pytest
 
 import __spark_entry__ as contract
 from verification.compare import connect, difference
+from verification.oracles import ORACLES
+from verification.queries import QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -12,14 +14,15 @@ def duck(sf_dir):
 
 
 def test_every_query_has_sql():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert QUERIES.items() <= contract.queries().items() and ORACLES.items() <= contract.oracle_sql().items()
 
 
 def test_entry(spark):
     assert contract.entry(spark).count() > 0
 
 
-@pytest.mark.parametrize("name", list(contract.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query_equals_sql(spark, sf_dir, duck, name):
-    found = contract.queries()[name](spark, sf_dir)
-    assert difference(found, duck, contract.oracle_sql()[name]) is None
+    found = QUERIES[name](spark, sf_dir)
+    assert difference(found, duck, ORACLES[name]) is None

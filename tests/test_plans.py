@@ -6,14 +6,17 @@ from contextlib import contextmanager
 import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__ as contract
 from cartwheel.plans.facts import fact_order_items
 from cartwheel.plans.funnel import conversion_funnel
 from cartwheel.plans.inventory import inventory_analysis
 from cartwheel.plans.promotions import promo_comparison
 from cartwheel.plans.transactions import user_transactions
+from verification.queries import QUERIES
 
-JOBS = {"clickstream_ingest", "pipeline_run", "silver_dedup_rare"}  # these run while the query is built
+JOBS = {  # these run while the query is built
+    "clickstream_ingest", "clickstream_batch", "clickstream_continuous", "pipeline_run", "transactions_csv",
+    "bronze_incremental_overlap", "raw_refresh",
+}
 
 
 @contextmanager
@@ -34,15 +37,15 @@ def plan(df, *, final=False):
     return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
 
 
-@pytest.mark.parametrize("name", [name for name in contract.queries() if name not in JOBS])
+@pytest.mark.parametrize("name", [name for name in QUERIES if name not in JOBS])
 def test_no_query_joins_without_keys_or_leaves_the_jvm(spark, sf_dir, name):
-    text = plan(contract.queries()[name](spark, sf_dir))
+    text = plan(QUERIES[name](spark, sf_dir))
     for operator in ("CartesianProduct", "BroadcastNestedLoopJoin", "Python", "InPandas"):
         assert operator not in text
 
 
 def test_scans_read_needed_columns_only(spark, sf_dir):
-    text = plan(contract.queries()["q1_conversion_funnel"](spark, sf_dir))
+    text = plan(QUERIES["q1_conversion_funnel"](spark, sf_dir))
     schemas = re.findall(r"ReadSchema: struct<([^>]*)>", text)
     assert sorted(schemas) == ["event_id:bigint,user_id:bigint,event_type:string", "n_nationkey:int,n_name:string"]
 
@@ -82,7 +85,7 @@ NO_BROADCAST = {
 )
 def test_shuffles_without_any_broadcast(spark, sf_dir, name, shuffles):
     with settings(spark, NO_BROADCAST):
-        text = plan(contract.queries()[name](spark, sf_dir))
+        text = plan(QUERIES[name](spark, sf_dir))
     assert text.count("Exchange hashpartitioning") == shuffles
 
 

@@ -8,6 +8,7 @@ from cartwheel.operators.versions import (
     dedup,
     dedup_rare,
     insert_if_absent,
+    new_rows,
     restamp,
     upsert_latest,
 )
@@ -84,33 +85,45 @@ def test_many_versions_of_one_key_are_cut_before_the_shuffle(spark):
     assert latest.count() == 133_334
 
 
-def test_snapshot_reads_only_needed_columns(spark, folder):
+def test_snapshot_reads_only_selected_columns(spark, folder):
     wide = spark.range(100).select(
         F.col("id").alias("k"), F.lit("x").alias("wide"), F.lit(1).alias("n"),
         F.lit("2024-01-01").cast("timestamp").alias("_ingestion_ts"),
     )
     wide.write.parquet(f"{folder}/t")
-    counted = current_snapshot(spark.read.parquet(f"{folder}/t"), ("k",)).groupBy("n").count()
-    plan = counted._jdf.queryExecution().executedPlan().toString()
+    narrow = spark.read.parquet(f"{folder}/t").select("k", "n", "_ingestion_ts")
+    plan = current_snapshot(narrow, ("k",))._jdf.queryExecution().executedPlan().toString()
     assert "wide" not in plan.split("ReadSchema")[1]
 
 
+def test_snapshot_of_batches_with_equal_stamps_holds_each_key_once(spark):
+    batches = [spark.createDataFrame([(1, value, DAY[0])], "k INT, v STRING, updated_at TIMESTAMP") for value in ("old", "new")]
+    for order in (batches, batches[::-1]):
+        history = restamp(order[0], "2024-02-01 00:00:00").unionByName(restamp(order[1], "2024-02-01 00:00:00"))
+        assert rows(current_snapshot(history, ("k",)).select("k", "v")) == [(1, "old")]
+
+
 def test_dedup_rare_equals_dedup(spark, sf_dir):
     lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
     lines = lines.withColumn("l_linenumber", F.expr("IF(l_partkey % 10 = 0, NULL, l_linenumber)"))
-    keys, expected = ("l_orderkey", "l_linenumber"), None
-    for limit in (0, 1_000_000):
-        found = dedup_rare(lines, keys, version="l_shipdate", stamp=None, broadcast_keys=limit)
-        expected = expected or rows(dedup(lines, keys, version="l_shipdate", stamp=None))
-        assert found.columns == lines.columns
-        assert rows(found) == expected
-
-
-def test_dedup_rare_ranks_only_repeated_keys(spark):
-    df = spark.range(100_000).selectExpr("IF(id % 3 = 0, 1, id) AS k", "id AS updated_at")
-    found = dedup_rare(df, ("k",))
-    found.collect()
-    plan = found._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
-    assert "BroadcastHashJoin" in plan and plan.count("Exchange hashpartitioning") == 1
-    assert found.count() == df.select("k").distinct().count()
-    assert found.where("k = 1").first().updated_at == 99_999
+    keys = ("l_orderkey", "l_linenumber")
+    found = dedup_rare(lines, keys, version="l_shipdate", stamp=None)
+    assert found.columns == lines.columns
+    assert rows(found) == rows(dedup(lines, keys, version="l_shipdate", stamp=None))
+
+
+def test_dedup_rare_runs_no_job_while_it_is_built(spark):
+    jobs = spark.sparkContext.statusTracker().getJobIdsForGroup
+    spark.sparkContext.setJobGroup("rare", "")
+    try:
+        found = dedup_rare(spark.range(1000).selectExpr("IF(id % 3 = 0, 1, id) AS k", "id AS updated_at"), ("k",))
+        assert not jobs("rare")
+    finally:
+        spark.sparkContext.setJobGroup("", "")
+    assert found.count() == 667 and found.where("k = 1").first().updated_at == 999
+
+
+def test_new_rows_compare_nulls(spark):
+    known = spark.createDataFrame([(1, None), (None, "a")], "k INT, v STRING")
+    incoming = spark.createDataFrame([(1, None), (1, None), (1, "x"), (None, "a"), (None, "b"), (None, "b")], "k INT, v STRING")
+    assert sorted(map(repr, new_rows(known, incoming, ("k", "v")).collect())) == ["Row(k=1, v='x')", "Row(k=None, v='b')"]

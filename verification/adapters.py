@@ -67,12 +67,13 @@ VIEWS: dict[str, str] = {
                l_suppkey AS supplier_key, l_shipdate AS created_at, l_shipdate AS updated_at
         FROM {lineitem}""",
     "c_order_promotions": """
-        SELECT l_orderkey AS order_id, CAST(round(l_discount * 100) AS INT) AS promo_id,
+        SELECT l_orderkey AS order_id,
+               CASE WHEN l_orderkey % 41 = 0 THEN 99 ELSE CAST(round(l_discount * 100) AS INT) END AS promo_id,
                CAST(sum(CAST(l_extendedprice AS DECIMAL(15,2)) * CAST(l_discount AS DECIMAL(5,2)))
                     AS DECIMAL(15,2)) AS applied_amount,
                min(l_shipdate) AS created_at, max(l_shipdate) AS updated_at
         FROM {lineitem} WHERE l_discount > 0
-        GROUP BY l_orderkey, CAST(round(l_discount * 100) AS INT)""",
+        GROUP BY l_orderkey, CASE WHEN l_orderkey % 41 = 0 THEN 99 ELSE CAST(round(l_discount * 100) AS INT) END""",
     "c_promotions": """
         SELECT promo_id, 'PROMO' || CAST(promo_id AS STRING) AS promo_code,
                CASE WHEN promo_id % 4 <> 0 THEN CAST(promo_id AS DECIMAL(5,2)) END AS discount_percent,
@@ -85,8 +86,7 @@ VIEWS: dict[str, str] = {
         FROM (SELECT CAST(round(l_discount * 100) AS INT) AS promo_id,
                      min(l_shipdate) AS first_used, max(l_shipdate) AS last_used
               FROM {lineitem} WHERE l_discount > 0
-              GROUP BY CAST(round(l_discount * 100) AS INT)) AS used
-        WHERE promo_id <> 9""",
+              GROUP BY CAST(round(l_discount * 100) AS INT)) AS used""",
     "c_warehouses": """
         SELECT s_suppkey AS warehouse_id, s_name AS warehouse_name,
                CAST('1995-01-01' AS TIMESTAMP) AS updated_at
@@ -99,7 +99,7 @@ VIEWS: dict[str, str] = {
                CAST(10 + (3 * product_id + warehouse_id) % 41 AS INT) AS reorder_level,
                last_moved AS updated_at
         FROM (SELECT l_partkey AS product_id, l_suppkey AS warehouse_id, max(l_shipdate) AS last_moved
-              FROM {lineitem} WHERE l_partkey % 10 = l_suppkey % 10
+              FROM {lineitem}
               GROUP BY l_partkey, l_suppkey) AS stocked""",
     "c_marketing_channels": """
         SELECT channel_id, 'channel-' || CAST(channel_id AS STRING) AS channel_name,
@@ -109,14 +109,13 @@ VIEWS: dict[str, str] = {
                CASE channel_id % 2 WHEN 0 THEN 'cpc' ELSE 'email' END AS utm_medium,
                first_seen AS updated_at
         FROM (SELECT 1 + event_id % 10 AS channel_id, min(ts) AS first_seen
-              FROM {events} GROUP BY 1 + event_id % 10) AS seen
-        WHERE channel_id <> 9""",
+              FROM {events} GROUP BY 1 + event_id % 10) AS seen""",
     "c_clickstream": """
         SELECT event_id, user_id, 'session-' || CAST(event_id % 1000 AS STRING) AS session_id,
                CASE event_type WHEN 'click' THEN 'add_to_cart' ELSE event_type END AS event_type,
                event_id % 2100 AS product_id,
                CASE WHEN event_id % 13 = 0 THEN NULL ELSE CAST(event_id % 27 AS INT) END AS category_id,
-               CASE WHEN event_id % 11 <> 0 THEN 1 + event_id % 9 END AS channel_id,
+               CASE WHEN event_id % 31 = 0 THEN 77 WHEN event_id % 11 <> 0 THEN 1 + event_id % 9 END AS channel_id,
                ts AS event_time, value AS price
         FROM {events}""",
 }

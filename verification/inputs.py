@@ -35,9 +35,10 @@ LINES = """
            l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate
     FROM {lineitem}"""
 
+# Every order is in the base, in the incoming rows, or in both.
 BASE_ORDERS = f"""
     SELECT order_id, user_id, total_amount, status, updated_at
-    FROM ({VIEWS['c_orders']}) AS o WHERE order_date < CAST('1999-01-01' AS TIMESTAMP)"""
+    FROM ({VIEWS['c_orders']}) AS o WHERE order_date < CAST('1999-01-01' AS TIMESTAMP) OR order_id % 3 <> 0"""
 
 INCOMING_ORDERS = f"""
     SELECT order_id, user_id, total_amount, 'Refunded' AS status, updated_at
@@ -64,3 +65,19 @@ CLICK_ROWS = """
            CASE event_id % 4 WHEN 0 THEN 'True' WHEN 1 THEN 'False' WHEN 2 THEN 'TRUE' END AS is_returning,
            CASE event_id % 4 WHEN 0 THEN 'null' WHEN 1 THEN '2024-02-01 00:00:00' WHEN 2 THEN 'NULL' END AS is_read
     FROM {events}"""
+
+# References as text: some point at no user, some are no number at all, and others are written with blanks.
+TEXT_KEY_ORDERS = f"""
+    SELECT order_id,
+           CASE WHEN order_id % 50 = 1 THEN 'u-' || CAST(user_id AS STRING)
+                WHEN order_id % 50 = 2 THEN CAST(-user_id AS STRING)
+                WHEN order_id % 50 = 3 THEN ' ' || CAST(user_id AS STRING)
+                ELSE CAST(user_id AS STRING) END AS user_id
+    FROM ({VIEWS['c_orders']}) AS o"""
+
+TEXT_KEY_USERS = f"""
+    SELECT CAST(user_id AS STRING) AS user_id FROM ({VIEWS['c_users']}) AS u"""
+
+# Whole rows, most of them twice or more.
+REPEATED_LINES = """
+    SELECT l_orderkey, l_returnflag, l_linestatus, CAST(l_linenumber % 2 AS BIGINT) AS parity FROM {lineitem}"""

@@ -337,13 +337,69 @@ def pipeline() -> str:
     counts["gold", "gold_q3_promo_detail"] = "SELECT count(DISTINCT promo_id) FROM c_order_promotions"
     counts["gold", "gold_q4_inventory_analysis"] = "SELECT count(*) FROM c_products"
     counts["gold", "gold_q5_attribution"] = "SELECT count(*) FROM c_marketing_channels"
-    body = " UNION ALL ".join(
-        f"SELECT '{layer}' AS layer, '{table}' AS table_name, ({count}) AS row_count"
+    rows = " UNION ALL ".join(
+        f"SELECT '{layer}' AS layer, '{table}' AS table_name, '*' AS column_name, ({count}) AS filled, "
+        "0 AS total, 0 AS letters"
         for (layer, table), count in counts.items()
     )
-    return oracle("layer table_name row_count:bigint", body, click_rows=inputs.CLICK_ROWS)
+    totals = [_column_totals(name, text) for name, text in _curated().items()]
+    body = oracle("layer table_name column_name filled:bigint total:double letters:bigint", rows, click_rows=inputs.CLICK_ROWS)
+    return " UNION ALL ".join([f"SELECT * FROM ({body})", *totals])
 
 
+def _column_totals(table: str, text: str) -> str:
+    """Filled values, sum of the numbers and sum over the digests of other values, for each column of a result."""
+    return f"""
+        SELECT 'gold' AS layer, '{table}' AS table_name, column_name, count(value) AS filled,
+               round(coalesce(sum(TRY_CAST(value AS DOUBLE)), 0), 1) AS total,
+               CAST(coalesce(sum(CAST('0x' || substr(md5(value), 1, 8) AS BIGINT))
+                    FILTER (TRY_CAST(value AS DOUBLE) IS NULL), 0) AS BIGINT) AS letters
+        FROM (SELECT CAST(COLUMNS(*) AS VARCHAR) FROM ({text}))
+             UNPIVOT INCLUDE NULLS (value FOR column_name IN (COLUMNS(*)))
+        GROUP BY column_name"""
+
+
+# What the trusted layer holds in place of the tables of the direct queries: ingested clicks, one row per order line.
+TRUSTED_VIEWS = {
+    "c_clickstream": f"""
+        SELECT event_id, CAST(user_id AS BIGINT) AS user_id, event_type, category_id, channel_id,
+               TRY_CAST(event_time AS TIMESTAMP) AS event_time
+        FROM ({inputs.CLICK_ROWS}) AS click_rows
+        WHERE is_read IS NULL OR trim(is_read) = '' OR lower(is_read) = 'null'""",
+    "c_order_items": f"""
+        SELECT * EXCLUDE (place)
+        FROM (SELECT *, row_number() OVER (
+                  PARTITION BY order_item_id
+                  ORDER BY updated_at DESC, order_id DESC, product_id DESC, quantity DESC, unit_price DESC,
+                           discount_amount DESC, tax_amount DESC, line_total DESC, supplier_key DESC) AS place
+              FROM ({VIEWS['c_order_items']}) AS lines) AS ranked
+        WHERE place = 1""",
+}
+
+
+def _curated() -> dict[str, str]:
+    """The curated tables as direct queries on what the trusted layer holds."""
+    marts = (
+        "q1_conversion_funnel", "q2_rfm_segmentation", "q3_promo_comparison", "q3_promo_detail",
+        "q4_inventory_analysis", "q5_attribution",
+    )
+    plain = ("dim_users", "dim_products", "dim_promotions", "dim_marketing_channels", "fact_orders", "fact_order_items")
+    tables = {name: ORACLES[name] for name in plain} | {f"gold_{name}": ORACLES[name] for name in marts}
+    for view, text in TRUSTED_VIEWS.items():
+        tables = {name: sql.replace(as_sql(VIEWS[view]), as_sql(text)) for name, sql in tables.items()}
+    return tables
+
+
+CLICKS = oracle(
+    "event_id:bigint user_id:bigint session_id event_type product_id:bigint category_id:bigint "
+    "channel_id:bigint event_time page_url referrer_url campaign_name device_type browser os country city "
+    "price discount is_returning is_read",
+    """SELECT * REPLACE (TRY_CAST(event_time AS TIMESTAMP) AS event_time,
+                         coalesce(lower(is_returning) = 'true', false) AS is_returning)
+       FROM click_rows WHERE is_read IS NULL OR lower(is_read) = 'null'""",
+    click_rows=inputs.CLICK_ROWS,
+)
+
 ORACLES: dict[str, str] = {
     "user_transactions": oracle(
         "region user_id:bigint name transaction_count:bigint total_amount:double avg_amount:double",
@@ -358,14 +414,32 @@ ORACLES: dict[str, str] = {
         """SELECT *, TIMESTAMP '2001-08-02 00:00:00.000001' AS _ingestion_ts
            FROM c_orders WHERE updated_at > TIMESTAMP '2000-01-01 00:00:00'""",
     ),
-    "clickstream_ingest": oracle(
-        "event_id:bigint user_id:bigint session_id event_type product_id:bigint category_id:bigint "
-        "channel_id:bigint event_time page_url referrer_url campaign_name device_type browser os country city "
-        "price discount is_returning is_read",
-        """SELECT * REPLACE (TRY_CAST(event_time AS TIMESTAMP) AS event_time,
-                             coalesce(lower(is_returning) = 'true', false) AS is_returning)
-           FROM click_rows WHERE is_read IS NULL OR lower(is_read) = 'null'""",
-        click_rows=inputs.CLICK_ROWS,
+    "clickstream_ingest": CLICKS,
+    "bronze_incremental_overlap": oracle(ORDERS, "SELECT * FROM c_orders"),
+    "raw_refresh": oracle("warehouse_id:bigint warehouse_name updated_at", "SELECT * FROM c_warehouses"),
+    "clickstream_batch": CLICKS,
+    "clickstream_continuous": oracle(
+        "batch_rows:bigint", "SELECT count(*) AS batch_rows FROM click_rows GROUP BY event_id % 3", click_rows=inputs.CLICK_ROWS
+    ),
+    "transactions_csv": oracle(
+        "region user_id:bigint name transaction_count:bigint total_amount:double avg_amount:double row_count:bigint",
+        f"""
+            SELECT country AS region, u.user_id, full_name AS name, count(order_id) AS transaction_count,
+                   sum(total_amount) AS total_amount, {half_up('sum(total_amount) / count(total_amount)', 2)} AS avg_amount,
+                   count(*) OVER () AS row_count
+            FROM c_users AS u JOIN c_orders AS o ON o.user_id = u.user_id
+            GROUP BY country, u.user_id, full_name""",
+    ),
+    "silver_distinct_rows": oracle(
+        "l_orderkey:bigint l_returnflag l_linestatus parity:bigint", "SELECT DISTINCT * FROM lines", lines=inputs.REPEATED_LINES
+    ),
+    "fk_violations_text_keys": oracle(
+        '"constraint" parent_table violations:bigint missing_keys:bigint',
+        """SELECT 'orders.user_id' AS "constraint", 'users' AS parent_table, count(*) AS violations,
+                  count(DISTINCT trim(user_id)) AS missing_keys
+           FROM text_orders WHERE user_id IS NOT NULL AND trim(user_id) NOT IN (SELECT user_id FROM text_users)""",
+        text_orders=inputs.TEXT_KEY_ORDERS,
+        text_users=inputs.TEXT_KEY_USERS,
     ),
     "silver_clean": SILVER_CLEAN,
     "silver_dedup": SILVER_DEDUP,
@@ -446,5 +520,5 @@ ORACLES: dict[str, str] = {
     "fk_violations": fk_report(),
     "key_violations": key_report(),
     "email_phone_quality": EMAIL_PHONE_QUALITY,
-    "pipeline_run": pipeline(),
 }
+ORACLES["pipeline_run"] = pipeline()

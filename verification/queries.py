@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import datetime as dt
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cartwheel import storage
 from cartwheel.model import PRIMARY_KEYS, STAMP, STAMP_DATE, VERSION
 from cartwheel.operators.clean import clean
 from cartwheel.operators.quality import email_phone_quality, fk_violations, key_violations
@@ -24,13 +28,14 @@ from cartwheel.plans import dims, facts
 from cartwheel.plans.attribution import channel_attribution
 from cartwheel.plans.funnel import conversion_funnel
 from cartwheel.plans.inventory import inventory_analysis
-from cartwheel.plans.layers import refine_since, run_pipeline, stamped
+from cartwheel.plans.layers import GROUPS, load_raw, refine_since, run_pipeline, stamped
 from cartwheel.plans.promotions import promo_comparison, promo_detail
 from cartwheel.plans.rfm import RfmRules, rfm_segmentation
 from cartwheel.plans.transactions import user_transactions
 from cartwheel.session import scratch
-from cartwheel.sources.files import changed_since, parquet
-from cartwheel.streaming.clickstream import ingest_once
+from cartwheel.sinks.watermarks import Watermarks
+from cartwheel.sources.files import changed_since, csv_with_header, parquet
+from cartwheel.streaming import clickstream
 from verification import inputs
 from verification.adapters import run, view
 
@@ -48,6 +53,7 @@ FIRST_STAMP, SECOND_STAMP, THIRD_STAMP = (
     "2001-08-04 00:00:00.000003",
 )
 RAW_WATERMARK = "2000-01-01 00:00:00"
+LATE_FROM, LATE_DAYS = "2001-05-01 00:00:00", 180
 LINE_KEYS = ("l_orderkey", "l_linenumber")
 
 
@@ -67,6 +73,24 @@ def plain(df: DataFrame) -> DataFrame:
     return df.select([column(field) for field in df.schema.fields])
 
 
+@contextmanager
+def scratch_folder(spark: SparkSession, purpose: str) -> Iterator[str]:
+    """A scratch folder for the tables of one query, removed when the query is built."""
+    folder = scratch(spark, purpose)
+    try:
+        yield folder
+    finally:
+        if storage.exists(spark, folder):
+            storage.delete(spark, folder)
+
+
+def kept(df: DataFrame, purpose: str) -> DataFrame:
+    """The rows written to a folder that stays, for a result whose inputs are removed."""
+    path = scratch(df.sparkSession, f"result-{purpose}")
+    df.write.parquet(path)
+    return parquet(df.sparkSession, path)
+
+
 def on(build: Callable[..., DataFrame], *names: str, **options) -> Query:
     """A query that builds its result from commerce tables."""
 
@@ -91,11 +115,81 @@ def _bronze_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain(stamped(changed_since(orders, VERSION, RAW_WATERMARK), FIRST_STAMP))
 
 
+def _bronze_incremental_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders loaded in two runs, of which some are committed only after later ones were read."""
+    orders = view(spark, sf_dir, "c_orders")
+    late = (F.col("order_id") % 7 == 0) & (F.col("updated_at") > F.lit(LATE_FROM).cast("timestamp_ntz"))
+    with scratch_folder(spark, "overlap") as folder:
+        watermarks = Watermarks(spark, f"{folder}/watermarks")
+        for committed, stamp in ((orders.where(~late), FIRST_STAMP), (orders, SECOND_STAMP)):
+
+            def source(table: str, watermark: str, inclusive: bool = False, rows: DataFrame = committed) -> DataFrame:
+                return changed_since(rows, VERSION, watermark, inclusive=inclusive)
+
+            load_raw(
+                spark, source, f"{folder}/raw", ["orders"], watermarks, stamp=stamp, overlap=dt.timedelta(days=LATE_DAYS)
+            )
+        latest = dedup(parquet(spark, f"{folder}/raw/orders"), ("order_id",))
+        return plain(kept(latest.select(orders.columns), "orders"))
+
+
+def _raw_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table without a change time, loaded whole each time."""
+    rows = view(spark, sf_dir, "c_warehouses")
+    with scratch_folder(spark, "refresh") as folder:
+        watermarks = Watermarks(spark, f"{folder}/watermarks")
+        for part in (rows.where("warehouse_id % 2 = 0"), rows):
+            load_raw(spark, lambda table, watermark, part=part: part, f"{folder}/raw", ["depots"], watermarks)
+        return plain(kept(parquet(spark, f"{folder}/raw/depots").drop(STAMP, STAMP_DATE), "depots"))
+
+
 def _clickstream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    folder = scratch(spark, "clicks")
-    run(spark, sf_dir, inputs.CLICK_ROWS).write.csv(f"{folder}/landing")
-    ingest_once(spark, f"{folder}/landing", f"{folder}/raw", f"{folder}/checkpoint")
-    return plain(parquet(spark, f"{folder}/raw").drop(STAMP, STAMP_DATE))
+    with scratch_folder(spark, "clicks") as folder:
+        run(spark, sf_dir, inputs.CLICK_ROWS).write.csv(f"{folder}/landing")
+        clickstream.ingest_once(spark, f"{folder}/landing", f"{folder}/raw", f"{folder}/checkpoint")
+        return plain(kept(parquet(spark, f"{folder}/raw").drop(STAMP, STAMP_DATE), "clicks"))
+
+
+def _clickstream_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files read twice as a batch, the second time with more rows, some of which were there before."""
+    rows = run(spark, sf_dir, inputs.CLICK_ROWS)
+    with scratch_folder(spark, "clicks") as folder:
+        for part in ("event_id % 2 = 0", "event_id % 2 = 1 OR event_id % 10 = 0"):
+            rows.where(part).write.mode("append").csv(f"{folder}/landing")
+            clickstream.ingest_batch(spark, f"{folder}/landing", f"{folder}/raw")
+        return plain(kept(parquet(spark, f"{folder}/raw").drop(STAMP, STAMP_DATE), "clicks"))
+
+
+def _clickstream_continuous(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows that each trigger of a processing-time stream takes, at one file a trigger."""
+    rows = run(spark, sf_dir, inputs.CLICK_ROWS)
+    with scratch_folder(spark, "clicks") as folder:
+        for part in range(3):
+            rows.where(f"event_id % 3 = {part}").coalesce(1).write.mode("append").csv(f"{folder}/landing")
+        query = clickstream.start(
+            spark, f"{folder}/landing", f"{folder}/raw", f"{folder}/checkpoint", continuous=True, interval="0 seconds"
+        )
+        try:
+            query.processAllAvailable()
+            taken = [(progress["numInputRows"],) for progress in query.recentProgress if progress["numInputRows"]]
+        finally:
+            query.stop()
+            query.awaitTermination()
+    return spark.createDataFrame(taken, "batch_rows bigint")
+
+
+def _transactions_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sums per user from files with a header, whose types are inferred, with the number of all users."""
+    orders = view(spark, sf_dir, "c_orders").selectExpr("order_id AS transaction_id", "user_id", "total_amount AS amount")
+    users = view(spark, sf_dir, "c_users").selectExpr("user_id", "country AS region", "full_name AS name")
+    with scratch_folder(spark, "csv") as folder:
+        for name, rows in (("orders", orders), ("users", users)):
+            rows.write.option("header", True).csv(f"{folder}/{name}")
+        read = [csv_with_header(spark, f"{folder}/{name}") for name in ("users", "orders")]
+        summed = kept(user_transactions(*read), "sums")
+    total = F.round("total_amount", 2)  # inferred amounts are doubles
+    cents = {"total_amount": total, "avg_amount": F.round(total / F.col("transaction_count"), 2)}
+    return plain(summed.withColumns(cents | {"row_count": F.lit(summed.count())}))
 
 
 def _silver_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -120,7 +214,7 @@ def _silver_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _current_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = run(spark, sf_dir, inputs.LINES)
-    early = F.col("l_shipdate") < F.lit("1998-07-01").cast("timestamp_ntz")
+    early = F.coalesce(F.col("l_shipdate") < F.lit("1998-07-01").cast("timestamp_ntz"), F.lit(False))
     batches = [
         restamp(dedup(lines.where(part), LINE_KEYS, version="l_shipdate", stamp=None), stamp)
         for part, stamp in ((early, FIRST_STAMP), (~early, SECOND_STAMP))
@@ -145,28 +239,67 @@ def _report(operator: Callable[..., DataFrame]) -> Query:
     return query
 
 
+def _fk_violations_text_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tables = {"orders": inputs.TEXT_KEY_ORDERS, "users": inputs.TEXT_KEY_USERS}
+    return plain(fk_violations({name: run(spark, sf_dir, text) for name, text in tables.items()}))
+
+
+def _silver_distinct_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return plain(dedup(run(spark, sf_dir, inputs.REPEATED_LINES), ()))
+
+
 def _email_phone_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain(email_phone_quality(run(spark, sf_dir, inputs.DIRTY_USERS)))
 
 
+def column_totals(df: DataFrame, table: str) -> DataFrame:
+    """For each column of a curated table: its filled values, the sum of numbers, and a sum over the digests of other values."""
+    texts = df.select([F.col(name).cast("string").alias(name) for name in df.columns])
+    number = F.col("value").try_cast("double")
+    digest = F.conv(F.substring(F.md5("value"), 1, 8), 16, 10).cast("bigint")
+    return (
+        texts.unpivot([], texts.columns, "column_name", "value")
+        .groupBy("column_name")
+        .agg(
+            F.count("value").alias("filled"),
+            F.round(F.coalesce(F.sum(number), F.lit(0.0)), 1).alias("total"),
+            F.coalesce(F.sum(F.when(number.isNull(), digest)), F.lit(0)).alias("letters"),
+        )
+        .select(F.lit("gold").alias("layer"), F.lit(table).alias("table_name"), "column_name", "filled", "total", "letters")
+    )
+
+
 def _pipeline_run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    root = scratch(spark, "pipeline")
-    run(spark, sf_dir, inputs.CLICK_ROWS).write.csv(f"{root}/landing")
+    """Row counts of all layers, and the content of the curated tables as totals of their columns."""
 
     def source(table: str, watermark: str | None) -> DataFrame:
         rows = view(spark, sf_dir, f"c_{table}")
         return rows if watermark is None else changed_since(rows, VERSION, watermark)
 
-    return plain(run_pipeline(spark, source, root, click_path=f"{root}/landing", as_of=AS_OF))
+    with scratch_folder(spark, "pipeline") as root:
+        run(spark, sf_dir, inputs.CLICK_ROWS).write.csv(f"{root}/landing")
+        counts = run_pipeline(spark, source, root, click_path=f"{root}/landing", as_of=AS_OF)
+        rows = counts.select("layer", "table_name", F.lit("*").alias("column_name"), F.col("row_count").alias("filled"))
+        totals = [column_totals(parquet(spark, f"{root}/gold/{name}"), name) for group in GROUPS.values() for name in group]
+        whole = reduce(
+            DataFrame.unionByName, totals, rows.withColumns({"total": F.lit(0.0), "letters": F.lit(0).cast("bigint")})
+        )
+        return plain(kept(whole, "report"))
 
 
 QUERIES: dict[str, Query] = {
     "user_transactions": _user_transactions,
+    "transactions_csv": _transactions_csv,
     "bronze_incremental": _bronze_incremental,
+    "bronze_incremental_overlap": _bronze_incremental_overlap,
+    "raw_refresh": _raw_refresh,
     "clickstream_ingest": _clickstream_ingest,
+    "clickstream_batch": _clickstream_batch,
+    "clickstream_continuous": _clickstream_continuous,
     "silver_clean": _silver_clean,
     "silver_dedup": _silver_dedup(dedup),
     "silver_dedup_rare": _silver_dedup(dedup_rare),
+    "silver_distinct_rows": _silver_distinct_rows,
     "silver_incremental": _silver_incremental,
     "current_snapshot": _current_snapshot,
     "dim_users": on(dims.dim_users, "users"),
@@ -190,6 +323,7 @@ QUERIES: dict[str, Query] = {
     "upsert_latest": _merge(upsert_latest),
     "insert_if_absent": _merge(insert_if_absent),
     "fk_violations": _report(fk_violations),
+    "fk_violations_text_keys": _fk_violations_text_keys,
     "key_violations": _report(key_violations),
     "email_phone_quality": _email_phone_quality,
     "pipeline_run": _pipeline_run,
