@@ -38,6 +38,7 @@ LOOKBACK_DAYS = 30
 
 SLOT_KEY = ("user_id", "day", "slot")
 BEFORE = (Window.unboundedPreceding, -1)
+WEIGHT = "decimal(30,15)"
 
 
 def _slot(clickstream: DataFrame, time: str, minutes: int) -> Column:
@@ -94,7 +95,14 @@ def _seen_before_slot(points: DataFrame, lookback_days: int) -> DataFrame:
         F.max(_touch("last_event")).alias("last"),
     )
     earlier = Window.partitionBy("user_id", "day").orderBy("slot").rowsBetween(*BEFORE)
-    days_before = Window.partitionBy("user_id").orderBy("day").rangeBetween(-lookback_days, -1)
+    # Frames that only grow are kept up to date row by row. So the days of the look-back are a difference of two
+    # totals, and their first and last touch are those from its first day on and up to yesterday.
+    by_day = Window.partitionBy("user_id").orderBy("day")
+    to_yesterday = by_day.rangeBetween(*BEFORE)
+    to_look_back = by_day.rangeBetween(Window.unboundedPreceding, -lookback_days - 1)
+    from_look_back = (
+        Window.partitionBy("user_id").orderBy(F.desc("day")).rangeBetween(Window.unboundedPreceding, lookback_days)
+    )
     in_day = slots.repartition("user_id").withColumns(
         {
             "day_seen": F.sum("touches").over(earlier),
@@ -102,22 +110,37 @@ def _seen_before_slot(points: DataFrame, lookback_days: int) -> DataFrame:
             "day_last": F.max("last").over(earlier),
         }
     )
-    return in_day.select(
+    days = in_day.withColumns(
+        {
+            "days_seen": _plus(F.sum("touches").over(to_yesterday)) - _plus(F.sum("touches").over(to_look_back)),
+            "days_first": F.min("first").over(from_look_back),
+            "days_last": F.max("last").over(to_yesterday),
+        }
+    )
+    return days.select(
         *SLOT_KEY,
-        _plus(F.sum("touches").over(days_before), F.col("day_seen")).alias("seen"),
-        F.coalesce(F.min("first").over(days_before), "day_first").alias("first"),
-        F.coalesce("day_last", F.max("last").over(days_before)).alias("last"),
+        _plus(F.col("days_seen"), F.col("day_seen")).alias("seen"),
+        F.coalesce(F.when(_day_of("days_first") < F.col("day"), F.col("days_first")), "day_first").alias("first"),
+        F.coalesce("day_last", F.when(_day_of("days_last") >= F.col("day") - lookback_days, F.col("days_last"))).alias("last"),
     )
 
 
+def _day_of(touch: str) -> Column:
+    return F.unix_date(F.to_date(F.col(touch)["at"]))
+
+
 def _add_later_weights(per_slot: DataFrame, lookback_days: int) -> DataFrame:
     """Per slot and channel: what its touches earn from later slots of the day and the days after."""
     later = Window.partitionBy("user_id", "day").orderBy(F.desc("slot")).rangeBetween(*BEFORE)
-    days_after = Window.partitionBy("user_id").orderBy("day").rangeBetween(1, lookback_days)
+    backwards = Window.partitionBy("user_id").orderBy(F.desc("day"))
+    from_tomorrow = backwards.rangeBetween(*BEFORE)
+    beyond = backwards.rangeBetween(Window.unboundedPreceding, -lookback_days - 1)
+    exact = F.col("weight").cast(WEIGHT)  # a difference of sums of doubles would keep their rounding
+    days_due = _plus(F.sum(exact).over(from_tomorrow)) - _plus(F.sum(exact).over(beyond))
     return (
         per_slot.repartition("user_id")
         .withColumn("day_due", F.sum("weight").over(later))
-        .withColumn("due", _plus(F.col("day_due"), F.sum("weight").over(days_after)))
+        .withColumn("due", _plus(F.col("day_due"), days_due.cast("double")))
         .withColumn("linear", F.col("linear") + F.col("touches") * F.col("due"))
     )
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+# The output columns of the dimensions are those below.
+
 
 def dim_users(users: DataFrame) -> DataFrame:
     return users.select(

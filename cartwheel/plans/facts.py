@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+# The output columns of the facts are those below.
+
 
 def fact_orders(orders: DataFrame, order_items: DataFrame, order_promotions: DataFrame) -> DataFrame:
     """One row per order with its line and promotion totals; 0 where it has none.

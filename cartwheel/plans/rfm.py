@@ -51,6 +51,7 @@ def rfm_segmentation(
             "m_score": at_least(F.col("monetary"), rules.monetary, 1),
         }
     ).withColumn("rfm_score", F.col("r_score") + F.col("f_score") + F.col("m_score"))
+    # Segment names, the bounds 2 and 3 of lapsed customers, the output columns.
     total, lapsed = F.col("rfm_score"), F.col("r_score") <= 2
     segment = first_match(
         [
