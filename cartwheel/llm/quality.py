@@ -5,7 +5,8 @@ vector over hashed text features is shared by all grades, and ordered thresholds
 
     P(grade > k) = sigmoid(weights . features - threshold[k]),   threshold[0] < threshold[1]
 
-From these come the expected grade and the tail probability P(grade = 2) that selects documents.
+From these come the expected grade and the tail probability P(grade = 2), which selects documents: it must reach
+``KEEP``, or less where the model is so weak that good documents of the sample would be lost.
 Features are the distinct words of the whole text, their beginnings and endings, and how often words
 repeat, hashed to ``DIMENSIONS`` places. A place has a weight if at least ``MIN_DOCS`` sample documents have it
 and its share in a lower grade exceeds that in the top grade by ``MIN_Z`` standard errors: what speaks against
@@ -22,7 +23,7 @@ with a null id or a null grade is not used; of several labels of a document the
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -42,6 +43,7 @@ SCALE = 0.5  # of a feature's value, which keeps the score of a long text in ran
 RIDGE = 1e-5
 STEPS, RATE = 150, 0.1
 KEEP = 0.8  # least probability of the top grade; clean texts lie well above it
+LOSS = 0.005  # share of the sample's good documents that the selection may lose; a weak model keeps more
 
 SCORES = "score double, expected_grade double, p_top double"
 
@@ -92,6 +94,7 @@ def _telling(features: list[np.ndarray], grades: np.ndarray) -> np.ndarray:
 class OrdinalModel:
     weights: np.ndarray
     thresholds: np.ndarray
+    keep: float = KEEP  # least probability of the top grade that selects a document
 
     def score(self, column: pa.Array) -> np.ndarray:
         features = text_features(column, self.weights != 0)
@@ -142,7 +145,11 @@ def fit(features: list[np.ndarray], grades: np.ndarray) -> OrdinalModel:
         theta -= RATE * (moment / (1 - 0.9**step)) / (np.sqrt(square / (1 - 0.999**step)) + 1e-8)
     weights = np.zeros(DIMENSIONS)
     weights[used] = theta[: len(used)]
-    return OrdinalModel(weights, _thresholds(theta[len(used) :]))
+    model = OrdinalModel(weights, _thresholds(theta[len(used) :]))
+    good = [row for row, grade in zip(features, grades) if grade == steps]
+    scores = np.array([SCALE * weights[row].sum() for row in good])
+    least = float(np.quantile(model.tails(scores)[:, -1], LOSS)) if good else 0.0
+    return replace(model, keep=min(KEEP, least))
 
 
 def _thresholds(theta: np.ndarray) -> np.ndarray:
@@ -199,13 +206,13 @@ def quality_model(spark: SparkSession, docs: DataFrame, sf_dir: str) -> OrdinalM
 
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    scored = score_quality(docs, quality_model(spark, docs, sf_dir))
-    return scored.select(
-        "doc.doc_id", "score", "expected_grade", "p_top", (F.col("p_top") >= KEEP).alias("keep")
+    model = quality_model(spark, docs, sf_dir)
+    return score_quality(docs, model).select(
+        "doc.doc_id", "score", "expected_grade", "p_top", (F.col("p_top") >= model.keep).alias("keep")
     )
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that are probably of the top grade."""
-    scored = score_quality(docs, quality_model(spark, docs, sf_dir))
-    return scored.where(F.col("p_top") >= KEEP).select("doc.*")
+    model = quality_model(spark, docs, sf_dir)
+    return score_quality(docs, model).where(F.col("p_top") >= model.keep).select("doc.*")

@@ -16,7 +16,7 @@ def test_held_out_documents_are_graded(spark):
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     model = Q.fit(*Q.sample_features(docs, labels.where("doc_id % 4 <> 0")))
     rows = Q.score_quality(docs.join(labels.where("doc_id % 4 = 0"), "doc_id"), model).collect()
-    kept = lambda test: np.mean([r.p_top >= Q.KEEP for r in rows if test(r.doc)])
+    kept = lambda test: np.mean([r.p_top >= model.keep for r in rows if test(r.doc)])
     assert kept(lambda d: d.quality == 1 and d.toxic == 0) > 0.97
     assert kept(lambda d: d.toxic == 1) < 0.25
     assert kept(lambda d: d.quality == 0) < 0.15
@@ -41,7 +41,10 @@ def test_thresholds_are_ordered_and_grades_follow_the_score():
 def test_query_scores_every_document(spark, sf_dir):
     rows = QUERIES["op6_quality"](spark, sf_dir).collect()
     assert len(rows) == table(spark, sf_dir, "documents").count()
-    assert all(0 <= r.p_top <= 1 and 0 <= r.expected_grade <= 2 and r.keep == (r.p_top >= Q.KEEP) for r in rows)
+    assert all(0 <= r.p_top <= 1 and 0 <= r.expected_grade <= 2 for r in rows)
+    # a model fitted on a few dozen labels still keeps the good documents
+    good = {r.doc_id for r in table(spark, sf_dir, "labels").where("quality = 1 and toxic = 0").collect()}
+    assert sum(r.keep for r in rows if r.doc_id in good) >= 0.97 * len(good)
 
 
 def test_sample_is_bounded(spark, sf_dir):
@@ -55,7 +58,7 @@ def test_without_usable_labels_all_stay(spark, odd_docs, rows):
     model = Q.fit(*Q.sample_features(odd_docs, labels))
     scored = Q.score_quality(odd_docs, model).collect()
     assert len(scored) == odd_docs.count()
-    assert {r.p_top for r in scored} == {scored[0].p_top} and scored[0].p_top >= Q.KEEP
+    assert {r.p_top for r in scored} == {scored[0].p_top} and scored[0].p_top >= model.keep
     assert set(scored[0].doc.asDict()) == set(odd_docs.columns)
 
 
