@@ -129,19 +129,20 @@ def chained(words: np.ndarray, count: int) -> np.ndarray:
     return mix(value)
 
 
-def shingle_set(words: np.ndarray, size: int) -> np.ndarray:
-    """The distinct shingles of one text, sorted; a shorter text is one shingle, an empty one has none."""
-    if not len(words):
-        return np.zeros(0, np.uint64)
-    return np.unique(chained(words, min(size, len(words))))
+def distinct(hashed: np.ndarray) -> np.ndarray:
+    """The distinct values, sorted."""
+    ordered = np.sort(hashed)
+    return ordered[np.concatenate([[True], ordered[1:] != ordered[:-1]])] if len(ordered) else ordered
 
 
 def shingle_sets(column: pa.Array, size: int) -> Iterator[np.ndarray]:
-    """The shingle set of each text of a column, in order."""
+    """The distinct shingles of each text, sorted; a shorter text is one shingle, one without words has none."""
     blank = separators(BLANKS)
     for begin, end in slices(column):
         data, offsets = text_bytes(column.slice(begin, end - begin))
         starts, stops, before = spans(data, offsets, blank)
         words = hashes(data, starts, stops, fold=True)
+        runs = chained(words, size)
         for row in range(end - begin):
-            yield shingle_set(words[before[row] : before[row + 1]], size)
+            low, high = int(before[row]), int(before[row + 1])
+            yield distinct(runs[low : high - size + 1] if high - low >= size else chained(words[low:high], max(high - low, 1)))
