@@ -75,8 +75,9 @@ def templates(spark: SparkSession, phrases: dict[str, str], notices: dict[str, s
         if places < 1:
             raise ValueError(f"a template has fewer than {GRAM} words: {text}")
         rows += [(*words[place : place + GRAM], number, place, places, label, whole) for place in range(places)]
-    schema = "w0 string, w1 string, w2 string, template int, place int, places int, label string, whole boolean"
-    return spark.createDataFrame(rows, schema)
+    names = ("w0", "w1", "w2", "template", "place", "places", "label", "whole")
+    fixed = [F.struct(*[F.lit(value).alias(name) for name, value in zip(names, row)]) for row in rows]
+    return spark.range(1, numPartitions=1).select(F.inline(F.array(*fixed)))
 
 
 def scan(
@@ -91,7 +92,8 @@ def scan(
     tail = F.when((F.size("words") > 1) & (F.get("words", F.size("words") - 1) == ""), 1).otherwise(0)
     rows = rows.withColumn("lead", lead).withColumn("n_words", F.size("words") - F.col("lead") - tail)
     # place -1 stands for the document itself
-    places = rows.select("row", "doc_id", "n_words", "lead", "words", F.explode(F.sequence(F.lit(-1), F.greatest(F.col("n_words") - GRAM, F.lit(-1)))).alias("at"))
+    last = F.greatest(F.col("n_words") - GRAM, F.lit(-1))
+    places = rows.select("row", "doc_id", "n_words", "lead", "words", F.explode(F.sequence(F.lit(-1), last)).alias("at"))
     grams = places.select(
         "row",
         "doc_id",
@@ -101,7 +103,9 @@ def scan(
     )
     words = [f"w{k}" for k in range(GRAM)]
     hashed = F.xxhash64(*words).alias("gram")
-    known = templates(spark, phrases, notices).select(hashed, *[F.col(w).alias(f"t{w}") for w in words], "template", "place", "places", "label", "whole")
+    known = templates(spark, phrases, notices).select(
+        hashed, *[F.col(w).alias(f"t{w}") for w in words], "template", "place", "places", "label", "whole"
+    )
     same = [F.col(w) == F.col(f"t{w}") for w in words]
     votes = grams.withColumn("gram", hashed).join(F.broadcast(known), "gram").where(same[0] & same[1] & same[2])
     return _spans(votes)
@@ -161,7 +165,8 @@ def _merge(state: Column, diagonal: Column) -> Column:
         F.least(span["first_at"], diagonal["first_at"]).alias("first_at"),
         F.greatest(span["last_at"], diagonal["last_at"]).alias("last_at"),
     ).cast(_SPAN)
-    fresh = F.struct(F.when(state.isNull(), F.array().cast(_DONE)).otherwise(_closed(state)).alias("done"), diagonal.cast(_SPAN).alias("span"))
+    done = F.when(state.isNull(), F.array().cast(_DONE)).otherwise(_closed(state))
+    fresh = F.struct(done.alias("done"), diagonal.cast(_SPAN).alias("span"))
     return F.when(near, F.struct(state["done"].alias("done"), joined.alias("span"))).otherwise(fresh).cast(_MERGED)
 
 

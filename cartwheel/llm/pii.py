@@ -354,7 +354,10 @@ def pseudonyms(docs: DataFrame, *, text: str = "text", key: str = KEY) -> DataFr
     rows = docs.select(*[F.col(f"`{name}`").alias(mark) for mark, name in own.items()], F.col(f"`{text}`").cast("string").alias("text"))
     values = F.when(whole.rlike(MAYBE), F.regexp_extract_all("text", F.lit(ANY), F.lit(0)))
     typed = F.transform("values", lambda value: F.struct(_kind(value).alias("kind"), value.alias("value")))
-    finds = F.transform("typed", lambda find: F.struct(find["kind"].alias("kind"), find["value"].alias("value"), _new(find, key).alias("new")))
+    finds = F.transform(
+        "typed",
+        lambda find: F.struct(find["kind"].alias("kind"), find["value"].alias("value"), _new(find, key).alias("new")),
+    )
     found = F.size("values") > 0
     rows = _once(rows, "values", values)
     rows = _once(rows, "typed", F.when(found, typed))

@@ -167,7 +167,15 @@ def _written(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     return _batches(records(), _schema("record string"))
 
 
-def write_archives(pages: DataFrame, folder: str, *, id: str = "page_id", url: str = "url", html: str = "html", least_bytes: int = LEAST_BYTES) -> None:
+def write_archives(
+    pages: DataFrame,
+    folder: str,
+    *,
+    id: str = "page_id",
+    url: str = "url",
+    html: str = "html",
+    least_bytes: int = LEAST_BYTES,
+) -> None:
     """Writes all pages to gzipped archives in ``folder``."""
     text = F.coalesce(F.col(f"`{html}`").cast("string"), F.lit(""))
     rows = pages.select(
@@ -309,7 +317,12 @@ def resolved(records: DataFrame) -> DataFrame:
         "verified",
     )
     return responses.select(
-        "page_id", "payload_bytes", "payload_digest", F.col("type").alias("record_type"), F.lit(None).cast("bigint").alias("refers_to"), "verified"
+        "page_id",
+        "payload_bytes",
+        "payload_digest",
+        F.col("type").alias("record_type"),
+        F.lit(None).cast("bigint").alias("refers_to"),
+        "verified",
     ).unionByName(
         revisits.join(origin, "refers_to", "left").select(
             "page_id",
