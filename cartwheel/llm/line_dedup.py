@@ -203,7 +203,7 @@ def dedup_lines(docs: DataFrame, *, text: str = "text", id: str = "doc_id") -> D
     )
     number = runs.agg(F.sum(F.size("runs") + 1)).first()[0] or 0
     # two numbers a run; beyond that Spark joins both sides
-    whole = rows.join(F.broadcast(runs) if number <= ROW_IDS // 2 else runs, "row", "left").select("doc", "text", "runs")
+    whole = rows.join(F.broadcast(runs) if number <= ROW_IDS // 8 else runs, "row", "left").select("doc", "text", "runs")
     doc = docs.select(F.struct(*others).alias("doc")).schema["doc"].dataType.simpleString()
     return in_arrow(whole, _cleaned, f"doc {doc}, text string, n_removed bigint, words_removed bigint")
 
