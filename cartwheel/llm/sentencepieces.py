@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from cartwheel.llm import words
 from cartwheel.llm.tables import in_arrow, table
-from cartwheel.llm.units import Units
+from cartwheel.llm.units import SLICE, Units
 
 MODEL = "piece_bpe_32k.model"
 BLANK = "▁"
@@ -251,24 +251,26 @@ def units(path: str, dropout: float) -> Units:
 
 def encoded(column: pa.Array, ids: pa.Array, path: str, *, dropout: float, seed: int, variants: int = VARIANTS) -> Iterator[np.ndarray]:
     """The pieces of each text."""
-    column = column.cast(pa.large_string())
-    led = pc.binary_join_element_wise(pa.scalar(" ", pa.large_string()), column, pa.scalar("", pa.large_string()))
-    column = pc.if_else(pc.fill_null(pc.greater(pc.binary_length(column), 0), False), led, pa.scalar("", pa.large_string()))
     own = words.mix(pc.fill_null(ids, NULL_ID).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64) ^ np.uint64(seed * 2 + 1))
     salt = words.mix(np.uint64(seed) * np.uint64(2) + np.arange(variants, dtype=np.uint64) * words.STEP)
 
-    def keyed(hashed: np.ndarray, before: np.ndarray, first: int) -> np.ndarray:
+    def keyed(begin: int, hashed: np.ndarray, before: np.ndarray, first: int) -> np.ndarray:
         if not dropout:
             return hashed
         counts = np.diff(before)
         place = np.arange(len(hashed)) - np.repeat(before[:-1], counts)
-        chosen = words.mix(np.repeat(own[first : first + len(counts)], counts) + place.astype(np.uint64)) % np.uint64(variants)
+        chosen = words.mix(np.repeat(own[begin + first : begin + first + len(counts)], counts) + place.astype(np.uint64)) % np.uint64(variants)
         return words.mix(hashed ^ salt[chosen.astype(np.int64)])
 
-    return units(path, dropout).texts(column, keyed)
+    known = units(path, dropout)
+    for begin, end in words.slices(column, SLICE):  # texts are copied, so a few at a time
+        part = column.slice(begin, end - begin).cast(pa.large_string())
+        led = pc.binary_join_element_wise(pa.scalar(" ", pa.large_string()), part, pa.scalar("", pa.large_string()))
+        filled = pc.fill_null(pc.greater(pc.binary_length(part), 0), False)
+        yield from known.texts(pc.if_else(filled, led, pa.scalar("", pa.large_string())), lambda *at: keyed(begin, *at))
 
 
-def _packed_batches(columns: list[pa.Array], values: Iterator[np.ndarray], names: list[str], limit: int = 16 << 20) -> Iterator[pa.RecordBatch]:
+def _packed_batches(columns: list[pa.Array], values: Iterator[np.ndarray], names: list[str], limit: int = 8 << 20) -> Iterator[pa.RecordBatch]:
     """Rows with a binary column, in batches of bounded size."""
     begin, held, size = 0, [], 0
 

@@ -13,8 +13,8 @@ import pyarrow as pa
 
 from cartwheel.llm import words
 
-CACHED = 600_000  # units a worker remembers; then it starts afresh
-SLICE = 4 << 20
+CACHED = 400_000  # units a worker remembers; then it starts afresh
+SLICE = 2 << 20
 
 #: Units and their keys to all ids, and how many each unit has.
 Encode = Callable[[Sequence[bytes], np.ndarray], tuple[np.ndarray, np.ndarray]]
