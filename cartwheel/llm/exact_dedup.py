@@ -109,6 +109,7 @@ class ExactDedup:
         groups = maybe.groupBy("__sha").agg(
             F.count(F.lit(1)).alias("group_size"), F.max(F.struct("doc_id", "__row")).alias("keep")
         )
+        groups = saved(groups, "groups")  # written, so that a group of many copies can be split in the join
         grouped = maybe.join(groups, "__sha").select(
             "doc_id",
             F.col("keep.doc_id").alias("keep_id"),
