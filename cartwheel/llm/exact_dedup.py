@@ -11,12 +11,14 @@ The second filter holds two bytes per repeated text. It is broadcast while that
 
 Defined results: null text counts as empty; of equal texts the row with the largest id stays, a null id
 being the smallest; among rows of that id, one stays (the last in reading order). Columns of any name may
-be present, as they are never mixed with working columns. ``docs`` must read the same rows
-in the same partitions each time, as a table does. Built of DataFrame functions only.
+be present, as they are never mixed with working columns. Rows are written once with their numbers.
+Built of DataFrame functions only.
 """
 
 from __future__ import annotations
 
+from functools import cached_property
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -98,13 +100,19 @@ class ExactDedup:
     """Decisions on all rows of ``docs``, and the rows that stay."""
 
     def __init__(self, docs: DataFrame, *, text: str = "text", id: str = "doc_id"):
-        self.docs, self.text = docs, text
-        self.hashed = saved(_hashed(docs, text, [F.col(id).alias("doc_id")]), "hashed")
-        self.filter = RepeatFilter(self.hashed.select("__sha"), "__sha")
+        self.docs, self.text, self.id = docs, text, id
+
+    @cached_property
+    def hashed(self) -> DataFrame:
+        return saved(_hashed(self.docs, self.text, [F.col(self.id).alias("doc_id")]), "hashed")
+
+    @cached_property
+    def filter(self) -> RepeatFilter:
+        return RepeatFilter(self.hashed.select("__sha"), "__sha")
 
-    def _decisions(self) -> tuple[DataFrame, DataFrame]:
+    def _decisions(self, hashed: DataFrame, filter: RepeatFilter) -> tuple[DataFrame, DataFrame]:
         """Decisions on rows that travelled, and on those that passed straight through."""
-        probed = self.filter.probe(self.hashed, "__sha", "__maybe")
+        probed = filter.probe(hashed, "__sha", "__maybe")
         maybe = probed.where("__maybe")
         groups = maybe.groupBy("__sha").agg(
             F.count(F.lit(1)).alias("group_size"), F.max(F.struct("doc_id", "__row")).alias("keep")
@@ -130,14 +138,15 @@ class ExactDedup:
 
     def decisions(self) -> DataFrame:
         """A row for each document: doc_id, keep_id, group_size, kept, text_sha256."""
-        grouped, straight = self._decisions()
+        grouped, straight = self._decisions(self.hashed, self.filter)
         return grouped.unionByName(straight).select(*OUTPUT)
 
     def kept_rows(self) -> DataFrame:
         """The rows that stay, with all their columns. Rows the filter clears are not shuffled."""
-        whole = _hashed(self.docs, self.text, [F.struct("*").alias("__doc")])
-        probed = self.filter.probe(whole, "__sha", "__maybe")
-        dropped = self._decisions()[0].where("not kept").select("__row")
+        whole = saved(_hashed(self.docs, self.text, [F.col(self.id).alias("doc_id"), F.struct("*").alias("__doc")]), "numbered")
+        filter = RepeatFilter(whole.select("__sha"), "__sha")
+        probed = filter.probe(whole, "__sha", "__maybe")
+        dropped = self._decisions(whole.drop("__doc"), filter)[0].where("not kept").select("__row")
         rest = probed.where("__maybe").join(dropped, "__row", "left_anti")
         return probed.where("not __maybe").select("__doc.*").unionByName(rest.select("__doc.*"))
 

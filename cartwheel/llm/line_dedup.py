@@ -14,8 +14,8 @@ can stay. Runs of less than ``GRAM_WORDS`` words, such as a license line, are ne
 
 Documents are ordered by id, then by reading order; a null id comes last. Lines are equal when the same after blanks at
 both ends are cut off; lines of blanks alone are not compared and stay. Defined results: null text stays null with no
-lines, an empty text has none; repeated rows are later documents like others. ``docs`` must read the same
-rows in the same partitions each time, as a table does.
+lines, an empty text has none; repeated rows are later documents like others. Rows are
+written once with their numbers.
 """
 
 from __future__ import annotations
@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cartwheel.llm import words
-from cartwheel.llm.tables import ROW_IDS, in_arrow, saved, table
+from cartwheel.llm.tables import ROW_IDS, in_arrow, numbered, saved, table
 
 GRAM_WORDS = 25
 RUN_WORDS = 50
@@ -166,11 +166,13 @@ def _cleaned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def dedup_lines(docs: DataFrame, *, text: str = "text", id: str = "doc_id") -> DataFrame:
     """The columns of ``docs`` but the text as a struct ``doc``, with the text that is left, n_removed and words_removed."""
     others = [F.col(f"`{name}`") for name in docs.columns if name != text]
-    rows = docs.select(
-        F.monotonically_increasing_id().alias("row"),
-        F.col(f"`{id}`").cast("bigint").alias("doc_id"),
-        F.col(f"`{text}`").cast("string").alias("text"),
-        F.struct(*others).alias("doc"),
+    rows = numbered(
+        docs.select(
+            F.col(f"`{id}`").cast("bigint").alias("doc_id"),
+            F.col(f"`{text}`").cast("string").alias("text"),
+            F.struct(*others).alias("doc"),
+        ),
+        "numbered",
     )
     described = "row bigint, doc_id bigint, n_lines bigint, lines binary, places array<bigint>, hashes array<bigint>"
     lines = saved(in_arrow(rows.select("row", "doc_id", "text"), _described, described), "lines")

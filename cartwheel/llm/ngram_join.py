@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 
 from cartwheel.llm import words
 from cartwheel.llm.components import components
-from cartwheel.llm.tables import in_arrow, rows_in, saved, ship, table
+from cartwheel.llm.tables import in_arrow, numbered, rows_in, saved, ship, table
 
 SHINGLE = 5
 THRESHOLD = (75, 100)  # least intersection / union
@@ -165,14 +165,14 @@ def _block_links(left: pa.Table, right: pa.Table) -> pa.Table:
 
 
 class SimilarDocuments:
-    """Components of ``docs``; ``docs`` must read the same rows in the same partitions each time, as a table does."""
+    """Components of ``docs``, whose rows are written once with their numbers."""
 
     def __init__(self, docs: DataFrame, *, text: str = "text", id: str = "doc_id"):
         self.docs = docs
-        self.texts = docs.select(
-            F.monotonically_increasing_id().alias("row"),
-            F.col(id).cast("bigint").alias("doc_id"),
-            F.col(text).cast("string").alias("text"),
+        doc = F.col("doc")
+        self.whole = numbered(docs.select(F.struct("*").alias("doc")), "numbered")
+        self.texts = self.whole.select(
+            "row", doc.getField(id).cast("bigint").alias("doc_id"), doc.getField(text).cast("string").alias("text")
         )
         self.sets = saved(
             in_arrow(self.texts, _described, "row bigint, doc_id bigint, n bigint, m bigint, signature binary"), "sets"
@@ -352,12 +352,11 @@ class SimilarDocuments:
         order = F.struct(F.col("doc_id").isNull().alias("null"), "doc_id", "row")
         stay = saved(rows.groupBy("root").agg(F.min(order).getField("row").alias("stay")), "stay")
         dropped = saved(rows.join(stay, "root").where("row <> stay").select("row"), "dropped")
-        whole = self.docs.select(F.struct("*").alias("doc"), F.monotonically_increasing_id().alias("row"))
-        return rows_in(whole, dropped, keep=False).select("doc.*")
+        return rows_in(self.whole, dropped, keep=False).select("doc.*")
 
 
 def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return SimilarDocuments(table(spark, sf_dir, "documents")).components()
+    return SimilarDocuments(table(spark, sf_dir, "documents").select("doc_id", "text")).components()
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -47,6 +47,15 @@ def saved(df: DataFrame, purpose: str, *partition_by: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
+def numbered(rows: DataFrame, purpose: str, column: str = "row") -> DataFrame:
+    """``rows`` with a row number, written once with it.
+
+    How a scan is cut into partitions depends on the cores registered when it is planned, so a number computed
+    twice need not be the same; these are only ever read.
+    """
+    return saved(rows.select("*", F.monotonically_increasing_id().alias(column)), purpose)
+
+
 ROW_IDS = 2_000_000  # long row numbers, of 16 bytes in a hash table, that may be broadcast
 
 

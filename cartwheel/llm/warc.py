@@ -14,8 +14,8 @@ compared with the declared one. Revisits take their payload's size and digest fr
 
 Defined results: a null page is an empty payload, which is a payload like any other; a null id is written
 as a record without an id and is the smallest of its group; of equal ids the last in reading order is the response. Control characters
-and blanks in an address are percent-encoded; a null address is ``about:blank``. ``pages`` must read the same rows in the
-same partitions each time, as a table does.
+and blanks in an address are percent-encoded; a null address is ``about:blank``. Pages are written
+once with their row numbers.
 """
 
 from __future__ import annotations
@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartwheel.llm.tables import ROW_IDS, in_arrow, saved, table
+from cartwheel.llm.tables import ROW_IDS, in_arrow, numbered, saved, table
 from cartwheel.session import scratch
 
 SEGMENT = 16 << 10  # bytes of a block in one record
@@ -178,12 +178,10 @@ def write_archives(
 ) -> None:
     """Writes all pages to gzipped archives in ``folder``."""
     text = F.coalesce(F.col(f"`{html}`").cast("string"), F.lit(""))
-    rows = pages.select(
-        F.monotonically_increasing_id().alias("row"),
-        F.col(f"`{id}`").cast("bigint").alias("page_id"),
-        F.col(f"`{url}`").cast("string").alias("url"),
-        text.alias("html"),
-    )
+    rows = numbered(
+        pages.select(F.col(f"`{id}`").cast("bigint").alias("page_id"), F.col(f"`{url}`").cast("string").alias("url"), text.alias("html")),
+        "numbered",
+    ).select("row", "page_id", "url", "html")
     hashed = saved(rows.select("row", "page_id", F.sha1("html").alias("sha"), F.octet_length("html").alias("bytes")), "payloads")
     same = hashed.where(F.col("bytes") >= least_bytes).groupBy("sha", "bytes").agg(
         F.max(F.struct("page_id", "row")).alias("first"), F.count(F.lit(1)).alias("pages")
