@@ -28,6 +28,7 @@ import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import tiktoken
+import tokenizers
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -48,6 +49,7 @@ PIECES = (
 )
 
 _encoders: dict[str, tiktoken.Encoding] = {}
+_slow_encoders: dict[str, tokenizers.Tokenizer] = {}
 
 
 def _byte_values() -> dict[str, int]:
@@ -79,6 +81,16 @@ def encoder(path: str) -> tiktoken.Encoding:
     return _encoders[path]
 
 
+def encoded(path: str, text: str) -> list[int]:
+    """The ids of a text; of one with a run of blanks too long for the pattern in ``tiktoken``, by ``tokenizers``."""
+    try:
+        return encoder(path).encode(text, allowed_special="all")
+    except ValueError:
+        if path not in _slow_encoders:
+            _slow_encoders[path] = tokenizers.Tokenizer.from_file(path)
+        return list(_slow_encoders[path].encode(text).ids)
+
+
 @dataclass
 class Piece:
     doc: int  # place in the buffer
@@ -235,10 +247,9 @@ def pack_documents(
         def _batch(rows: list[dict]) -> pa.RecordBatch:
             return pa.RecordBatch.from_pylist(rows, schema=schema)
 
-        encode = encoder(path).encode
         for batch in batches:
             for doc, text in zip(batch.column(0), batch.column(1)):
-                found = encode(text.as_py() or "", allowed_special="all")
+                found = encoded(path, text.as_py() or "")
                 found.append(end)
                 ids.append(doc.as_py())
                 tokens.append(np.array(found, dtype="<u4"))

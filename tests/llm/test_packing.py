@@ -113,3 +113,14 @@ def test_odd_documents(odd_docs, no_docs, tokenizer):
     assert sum(r.length for r in rows) == sum(totals)
     assert sorted(r.doc_tokens for r in rows if r.start == 0) == totals
     assert P.pack_documents(no_docs).collect() == []
+
+
+def test_very_long_blank_runs(spark, tokenizer):
+    texts = [" " * 1_500_000 + "end", "a" + "\n" * 1_500_000, "<pad> short"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").coalesce(1)
+    ids = defaultdict(dict)
+    for row in P.pack_documents(docs).collect():
+        ids[row.doc_id][row.start] = np.frombuffer(row.ids, dtype="<u4").tolist()
+    for doc, text in enumerate(texts):
+        found = [number for _, own in sorted(ids[doc].items()) for number in own]
+        assert found == [*tokenizer.encode(text).ids, P.END_TOKEN]
