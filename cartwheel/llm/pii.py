@@ -6,7 +6,11 @@ What is found and validated is replaced, in its own format, by another value of
   numbers, IPv4 addresses (octets up to 255)
 * dates that exist, of 1900 to 2099, as YYYY-MM-DD, DD/MM/YYYY, DD.MM.YYYY or DD-MM-YYYY
 * e-mail addresses (the last label of the domain stays)
-* keys: AKIA... access key ids, 32 to 64 hexadecimal digits in quotes, and hexadecimal passwords
+* keys: AKIA... access key ids, 32 to 64 hexadecimal digits of either case in quotes, and hexadecimal passwords
+
+Area codes in brackets may begin with any digit, without brackets with 2 to 9. Of digit groups in a row that are no card as a
+whole, those that make one are found, such as a card before its check code. What looks like an account, has
+hexadecimal digits only and fails modulo 97 is taken as a key.
 
 A Feistel network is a permutation whatever its round function is, so different values get different
 pseudonyms, and under one key a value gets the same one in every document. The characters that may change
@@ -36,7 +40,7 @@ ROUNDS = 8
 
 DIGITS, UPPER, LOWER = "0123456789", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 HEX = "0123456789abcdef"
-LEADING = "23456789"  # first digits of area and exchange codes
+LEADING, OTHER = "23456789", "01"  # first digits of area and exchange codes in use, and of others
 
 FIRST_DAY = "1900-01-01"
 DAYS = (250, 292)  # 73,000 days, up to 2099-11-12
@@ -46,14 +50,15 @@ OCTET = r"(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 PATTERNS = {
     "email": r"(?<![A-Za-z0-9._%+\-])[A-Za-z0-9][A-Za-z0-9._%+\-]{0,63}+@[A-Za-z0-9\-]{1,63}+(?:\.[A-Za-z0-9\-]{1,63}+){0,8}\.[A-Za-z]{2,24}(?![A-Za-z0-9])",
     "key": r"(?<![A-Za-z0-9])AKIA[0-9A-Z]{16}(?![A-Za-z0-9])",
-    "hex": r"(?<=[\"'])[0-9a-f]{32,64}(?=[\"'])|(?<=password=)[0-9a-f]{8,64}(?![A-Za-z0-9])",
+    "hex": r"(?<=[\"'])[0-9a-fA-F]{32,64}(?=[\"'])|(?<=password=)[0-9a-fA-F]{8,64}(?![A-Za-z0-9])",
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}[0-9A-Z]{11,30}(?![A-Za-z0-9])",
     "date": r"(?<![0-9])(?:(?:19|20)[0-9]{2}-[0-9]{2}-[0-9]{2}|[0-9]{2}([/.\-])[0-9]{2}\1(?:19|20)[0-9]{2})(?![0-9])",
     "ip": rf"(?<![0-9.])(?:{OCTET}\.){{3}}{OCTET}(?![0-9]|\.[0-9])",
     "ssn": r"(?<![0-9\-])(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}(?![0-9\-])",
-    "phone": r"(?:(?<![0-9A-Za-z])\+[0-9]{1,3}[ .\-]?)?(?<![0-9])(?:\([2-9][0-9]{2}\) ?|[2-9][0-9]{2}[ .\-])[2-9][0-9]{2}[ .\-][0-9]{4}(?![0-9])"
+    "phone": r"(?:(?<![0-9A-Za-z])\+[0-9]{1,3}[ .\-]?)?(?<![0-9])(?:\([0-9]{3}\) ?[0-9]{3}|[2-9][0-9]{2}[ .\-][2-9][0-9]{2})[ .\-][0-9]{4}(?![0-9])"
     r"|(?<![0-9A-Za-z])\+[0-9]{1,3}(?:[ .\-][0-9]{2,4}){2,5}(?![0-9])",
-    "card": r"(?<![0-9A-Za-z])[3-6][0-9]{3}(?:[ \-]?[0-9]{2,4}){2,4}[0-9](?![0-9A-Za-z])",
+    # a fifth group only where it is not the beginning of another number
+    "card": r"(?<![0-9A-Za-z])[3-6][0-9]{3}(?:(?:[ \-]?[0-9]{2,4}){4}[0-9](?![0-9A-Za-z]|[ /.\-][0-9])|(?:[ \-]?[0-9]{2,4}){2,3}[0-9](?![0-9A-Za-z])|(?:[ \-]?[0-9]{2,4}){4}[0-9](?![0-9A-Za-z]))",
 }
 
 
@@ -64,7 +69,7 @@ def _either(patterns: dict[str, str]) -> str:
 
 ANY = _either(PATTERNS)
 # A part that every find has, which is quicker to look for.
-MAYBE = r"[0-9]{3}|@|[0-9][ .\-][0-9]|AKIA|password=|[\"'][0-9a-f]{8}|[A-Z]{2}[0-9]{2}"
+MAYBE = r"[0-9]{3}|@|[0-9][ .\-][0-9]|AKIA|password=|[\"'][0-9a-fA-F]{8}|[A-Z]{2}[0-9]{2}"
 
 
 def _let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -213,7 +218,40 @@ def _mod_97(text: Column) -> Column:
     return F.aggregate(_letters(text), F.lit(0), step)
 
 
+def _card_within(value: Column) -> Column:
+    """Begin and end of the first whole groups, the longest of them, that make a valid card; null if there are none."""
+    size = F.length(value)
+
+    def ends(begin: Column) -> Column:
+        last = F.sequence(size, F.least(size, begin + 12), F.lit(-1))
+        return F.transform(last, lambda end: F.struct(begin.alias("begin"), end.alias("end")))
+
+    def digit(at: Column) -> Column:
+        return F.substring(value, at, F.lit(1)).rlike("[0-9]")
+
+    def valid(span: Column) -> Column:
+        begin, end = span["begin"], span["end"]
+        alone = ((begin == 1) | ~digit(begin - 1)) & ((end == size) | ~digit(end + 1)) & digit(end)
+        part = F.substring(value, begin, end - begin + 1)
+        digits = _digits(part)
+        fits = part.rlike("^[3-6][0-9]{3}") & F.length(digits).between(13, 19)
+        return F.when(alone, F.when(fits, _luhn(digits, 1) % 10 == 0).otherwise(False)).otherwise(False)
+
+    return F.get(F.filter(F.flatten(F.transform(F.sequence(F.lit(1), size), ends)), valid), F.lit(0))
+
+
 def _card(value: Column, key: str) -> Column:
+    """The card in the find; what stands beside it, such as its check code, stays."""
+
+    def put(span: Column) -> Column:
+        part = F.substring(value, span["begin"], span["end"] - span["begin"] + 1)
+        before = F.substring(value, F.lit(1), span["begin"] - 1)
+        return _let(part, lambda own: F.concat(before, _whole_card(own, key), F.substring(value, span["end"] + 1, F.length(value))))
+
+    return _let(_card_within(value), lambda span: F.when(span.isNotNull(), put(span)))
+
+
+def _whole_card(value: Column, key: str) -> Column:
     """All digits but the first and the check digit are permuted."""
     letters, digits = _letters(value), _digits(value)
     last = F.length(value) - 1
@@ -226,11 +264,15 @@ def _card(value: Column, key: str) -> Column:
     return F.when(valid, _let(F.substring(body, F.lit(1), last), checked))
 
 
+def _valid_iban(value: Column) -> Column:
+    return _mod_97(F.concat(F.substring(value, F.lit(5), F.length(value)), F.substring(value, 1, 4))) == 1
+
+
 def _iban(value: Column, key: str) -> Column:
     country, account = F.substring(value, 1, 2), F.substring(value, F.lit(5), F.length(value))
     letters = _letters(account)
     alphabets = F.transform(letters, lambda letter: F.when(letter.between("0", "9"), DIGITS).otherwise(UPPER))
-    valid = _mod_97(F.concat(account, F.substring(value, 1, 4))) == 1
+    valid = _valid_iban(value)
 
     def checked(new: Column) -> Column:
         check = F.lpad((98 - _mod_97(F.concat(new, country, F.lit("00")))).cast("string"), 2, "0")
@@ -269,16 +311,17 @@ def _date(value: Column, key: str) -> Column:
 
 
 def _phone(value: Column, key: str) -> Column:
-    """National digits are permuted; the country code stays, and codes that begin with 2 to 9 go on doing so."""
+    """National digits are permuted; the country code stays, and codes that begin with 2 to 9, or with 0 or 1, go on doing so."""
     letters = _letters(value)
     code = F.length(F.regexp_extract(value, r"^\+[0-9]{1,3}(?=[ .\-(])", 0))
-    american = value.rlike(r"(?:\([2-9][0-9]{2}\) ?|[2-9][0-9]{2}[ .\-])[2-9][0-9]{2}[ .\-][0-9]{4}$")
+    american = value.rlike(r"(?:\([0-9]{3}\) ?[0-9]{3}|[2-9][0-9]{2}[ .\-][2-9][0-9]{2})[ .\-][0-9]{4}$")
     size = F.length(value)
-    area = F.when(value.rlike(r"\) ?[2-9][0-9]{2}[ .\-][0-9]{4}$"), F.instr(value, "(")).otherwise(size - 12)
+    area = F.when(value.rlike(r"\) ?[0-9]{3}[ .\-][0-9]{4}$"), F.instr(value, "(")).otherwise(size - 12)
 
     def alphabet(letter: Column, at: Column) -> Column:
         leading = american & ((at == area) | (at == size - 8))
-        return F.when((at < code) | ~letter.between("0", "9"), "").when(leading, LEADING).otherwise(DIGITS)
+        first = F.when(letter >= "2", LEADING).otherwise(OTHER)
+        return F.when((at < code) | ~letter.between("0", "9"), "").when(leading, first).otherwise(DIGITS)
 
     return _permuted_text(letters, F.transform(letters, alphabet), key, "phone")
 
@@ -310,8 +353,15 @@ def _key(value: Column, key: str) -> Column:
 
 
 def _hex(value: Column, key: str) -> Column:
-    letters = _letters(value)
-    return _permuted_text(letters, _only(letters, HEX), key, "hex")
+    """Digits of either case are one number; the new ones take the old ones' case, or that of all letters."""
+    letters = _letters(F.lower(value))
+    small, capitals = value == F.lower(value), value == F.upper(value)
+
+    def cased(new: Column) -> Column:
+        mixed = F.zip_with(_letters(new), _letters(value), lambda digit, old: F.when(old.between("A", "F"), F.upper(digit)).otherwise(digit))
+        return F.when(small, new).when(capitals, F.upper(new)).otherwise(F.array_join(mixed, ""))
+
+    return _let(_permuted_text(letters, _only(letters, HEX), key, "hex"), cased)
 
 
 KINDS = {
@@ -332,7 +382,9 @@ def _kind(value: Column) -> Column:
     chosen = F.when(F.instr(value, "@") > 0, "email")
     for kind, pattern in PATTERNS.items():
         if kind not in ("email", "hex"):
-            chosen = chosen.when(value.rlike(f"^(?:{pattern})$"), kind)
+            fits = value.rlike(f"^(?:{pattern})$")
+            # hexadecimal digits may look like an account
+            chosen = chosen.when(fits & (~value.rlike("^[0-9A-F]+$") | _valid_iban(value)) if kind == "iban" else fits, kind)
     return chosen.otherwise("hex")
 
 

@@ -132,3 +132,53 @@ def test_odd_documents_and_columns(spark, odd_docs, no_docs):
 def test_plan_is_native(spark, sf_dir):
     plan = QUERIES["op5_pii"](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Exchange" not in plan
+
+
+def test_any_area_code(masked):
+    values = ["+1 (017) 555-7713", "(132) 555-1352", "(017) 555-7713", "(988) 055-2485"]
+    rows = masked([f"call {value}." for value in values])
+    for value, (text, finds) in zip(values, rows):
+        assert [(k, v) for k, v, _ in finds] == [("phone", value)] and value not in text and shape(finds[0][2]) == shape(value)
+        first = [re.sub(r".*\(", "", v)[0] in "01" for v in (value, finds[0][2])]
+        assert first[0] == first[1]
+    assert rows[0][1][0][2] == "+1 " + rows[2][1][0][2]
+
+
+def test_tokens_of_both_cases(masked):
+    token = "ab12c" * 8
+    small, capital, mixed, account, password = masked(
+        [f"t='{token}'", f't="{token.upper()}"', f"t='{token[:20].upper()}{token[20:]}'", "t='AB12" + "0F" * 14 + "'", "password=AB12CD34EF56A78B"]
+    )
+    for text, finds in (small, capital, mixed, account, password):
+        assert [k for k, _, _ in finds] == ["hex"] and finds[0][1] not in text and len(finds[0][1]) == len(finds[0][2])
+    assert capital[1][0][2] == small[1][0][2].upper() and mixed[1][0][2].lower() == small[1][0][2]
+    assert password[1][0][2] == password[1][0][2].upper()
+
+
+CARDS = [
+    ("4111 1111 1111 1111 123", "4111 1111 1111 1111", ["card"]),
+    ("3512 4111-1111-1111-1111", "4111-1111-1111-1111", ["card"]),
+    ("4111 1111 1111 1111 274-555-2202", "4111 1111 1111 1111", ["card", "phone"]),
+    ("4111 1111 1111 1111 01/02/2003", "4111 1111 1111 1111", ["card", "date"]),
+    ("4111 1111 1111 1111 5500 0000 0000 0004", "5500 0000 0000 0004", ["card", "card"]),
+    ("3782 822463 10005 1234", "3782 822463 10005", ["card"]),
+    ("4111 1111 1111 1111 110", "4111 1111 1111 1111 110", ["card"]),  # valid as a whole
+    ("4111111111111111110 12", "4111111111111111110", ["card"]),
+]
+
+
+def test_cards_beside_other_digits(masked):
+    rows = masked([text for text, _, _ in CARDS] + [card for _, card, _ in CARDS])
+    for (text, card, kinds), (new, finds), (alone, _) in zip(CARDS, rows, rows[len(CARDS) :]):
+        assert [k for k, _, _ in finds] == kinds
+        assert card not in new and alone in new and shape(new) == shape(text)
+
+
+def test_no_phone_or_token_of_the_documents_stays(spark):
+    sf_dir = "/root/testdata/sf0.1"
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", F.col("text").alias("before"))
+    phone = r"(?<![0-9])\([0-9]{3}\) ?[0-9]{3}[ .\-][0-9]{4}(?![0-9])"
+    token = r"[\"'][0-9a-fA-F]{40}[\"']"
+    rows = QUERIES["op5_pii"](spark, sf_dir).join(docs, "doc_id").where(F.col("before").rlike(f"{phone}|{token}")).collect()
+    values = [(r, value) for r in rows for value in re.findall(f"{phone}|{token}", r.before)]
+    assert len(values) > 100 and not [value for r, value in values if value in r.text]
