@@ -16,6 +16,7 @@ from cartwheel.llm import (
     pii,
     quality,
     sentencepieces,
+    spelling,
     warc,
 )
 
@@ -30,6 +31,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_sentencepiece": sentencepieces.op8_sentencepiece,
     "op9_warc": warc.op9_warc,
     "op10_license_scan": license_scan.op10_license_scan,
+    "op11_spelling": spelling.op11_spelling,
 }
 
 ORACLES: dict[str, str] = {

@@ -1,0 +1,139 @@
+"""Spelling variants against all pairs of words."""
+
+import random
+import re
+import zlib
+from collections import Counter
+
+import pytest
+
+from cartwheel.llm import spelling
+from cartwheel.llm.spelling import GramIndex, changed_words, frequent_words, near_pairs, variant_groups
+
+
+def counted(rows) -> dict[str, int]:
+    """Words and counts as the contract says, one occurrence after another."""
+    lower = {code: code + 32 for code in range(ord("A"), ord("Z") + 1)}
+    counts = Counter()
+    for key, text in rows:
+        for run in re.findall("[A-Za-zÀ-ÿ]+", text or ""):
+            run = run.translate(lower)
+            h = zlib.crc32(f"{'' if key is None else key}:{run}".encode())
+            if h % 199 == 0:
+                run = run[: h % len(run)] + run[h % len(run) + 1 :]
+            counts[run] += 1
+    return {word: n for word, n in counts.items() if len(word) >= 6 and n >= 5}
+
+
+def one_edit(a: str, b: str) -> bool:
+    if a == b or abs(len(a) - len(b)) > 1:
+        return False
+    same = 0
+    while same < min(len(a), len(b)) and a[same] == b[same]:
+        same += 1
+    shift = (len(a) > len(b), len(b) > len(a)) if len(a) != len(b) else (1, 1)
+    return a[same + shift[0] :] == b[same + shift[1] :]
+
+
+def grouped(words: dict[str, int]) -> set[tuple]:
+    """Every word against every other one."""
+    near = {word: [other for other in words if one_edit(word, other)] for word in words}
+    form = {}
+    for word, others in near.items():
+        best = min(others, key=lambda other: (-words[other], other), default=None)
+        form[word] = best if best and words[best] >= 5 * words[word] else None
+    rows = set()
+    for word in words:
+        root = word
+        while form[root]:
+            root = form[root]
+        rows.add((word, form[word], root, words[word], len(near[word]), words.get(form[word])))
+    return rows
+
+
+def found(frame) -> set[tuple]:
+    rows = [(r.word, r.form, r.root, r.n, r.n_near, r.form_n) for r in frame.collect()]
+    assert len(rows) == len(set(rows))
+    return set(rows)
+
+
+def made_words(seed: int, count: int, letters: str) -> dict[str, int]:
+    """Words close to each other: each is an earlier one with up to two edits, or new."""
+    draw, words = random.Random(seed), {}
+    while len(words) < count:
+        word = draw.choice(list(words)) if words and draw.random() < 0.7 else "".join(draw.choices(letters, k=draw.randint(6, 14)))
+        for _ in range(draw.randint(0, 2)):
+            at, kind = draw.randrange(len(word)), draw.randrange(3)
+            word = word[:at] + ("" if kind == 0 else draw.choice(letters)) + word[at + (kind != 1) :]
+        if len(word) >= 6:
+            words[word] = 5 * 5 ** draw.randrange(5)
+    return words
+
+
+@pytest.mark.parametrize("letters", ["ab", "abcde", "abcdefghijklmnopqrstuvwxyzéÿ"])
+def test_groups_are_those_of_all_pairs(spark, letters):
+    words = made_words(3, 400, letters)
+    frame = spark.createDataFrame(list(words.items()), "word string, n bigint").repartition(5)
+    assert found(variant_groups(frame)) == grouped(words)
+
+
+@pytest.mark.parametrize("letters", ["ab", "abcd", "abcdefghij"])
+@pytest.mark.parametrize("share", [0.0, 0.02, 0.5])
+def test_near_words_share_a_list(monkeypatch, letters, share):
+    """The bounds hold whatever grams are common, also where the words that share none are joined by halves."""
+    monkeypatch.setattr(spelling, "LONGEST", 5)
+    words = list(made_words(5, 250, letters))
+    counts = Counter(
+        f"\x02{word}\x03"[at : at + size] for word in words for size in range(2, 6) for at in range(len(word) + 3 - size)
+    )
+    index = GramIndex.of({gram: n for gram, n in counts.items() if n > share * len(words)})
+    lists = {word: set(spelling._entries(index, word)) for word in words}
+    for word in words:
+        for other in words:
+            if one_edit(word, other):
+                assert lists[word] & lists[other], (word, other)
+
+
+def test_grams_are_long_where_they_are_common():
+    index = GramIndex.of({"ti": 100, "tio": 50, "on": 70})
+    framed = "\x02nation\x03"
+    assert [framed[b:e] for b, e in index.grams(framed)] == ["\x02n", "na", "at", "tion", "on\x03"]
+    assert index.bound(framed, index.grams(framed)) >= 2
+
+
+def test_a_list_longer_than_any_other_is_joined_whole(spark):
+    """All words share their first letters, and a third of them the last ones."""
+    words = {f"common{a}{b}{'ending' if a < 3 else 'zz'}": 5 + a for a in range(9) for b in "qwertyuiopasdfgh"}
+    frame = spark.createDataFrame(list(words.items()), "word string, n bigint")
+    pairs = {(r.word, r.other) for r in near_pairs(frame).collect()}
+    assert pairs == {(a, b) for a in words for b in words if a < b and one_edit(a, b)}
+
+
+def test_chains_of_forms_end_at_the_last(spark):
+    words = {"aaaaaa": 5**9, "aaaaab": 5**8, "aaaabb": 5**7, "aaabbb": 5**6, "aabbbb": 5**5, "abbbbb": 5**4, "bbbbbb": 5**3}
+    rows = found(variant_groups(spark.createDataFrame(list(words.items()), "word string, n bigint")))
+    assert rows == grouped(words) and {row[2] for row in rows} == {"aaaaaa"}
+
+
+def test_words_of_documents(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    expected = counted([(r.doc_id, r.text) for r in docs.collect()])
+    rows = found(spelling.op11_spelling(spark, sf_dir))
+    assert {(row[0], row[3]) for row in rows} == set(expected.items())
+    assert rows == grouped(expected)
+
+
+def test_odd_documents(spark, odd_docs, odd_texts, no_docs):
+    rows = [(r.doc_id, r.text) for r in odd_docs.collect()]
+    words = frequent_words(changed_words(odd_docs))
+    assert {r.word: r.n for r in words.collect()} == counted(rows)
+    assert found(variant_groups(words)) == grouped(counted(rows))
+    clashing = odd_docs.selectExpr("doc_id", "text", "1 AS n", "'x' AS word", "2 AS run", "3 AS h", "4 AS key", "5 AS side")
+    assert {r.word: r.n for r in frequent_words(changed_words(clashing)).collect()} == counted(rows)
+    assert found(variant_groups(frequent_words(changed_words(no_docs)))) == set()
+
+
+def test_deleted_letters_are_those_of_the_hash(spark):
+    rows = [(at % 50, f"Größenwahn Straßen{'abcdefghij'[at % 10]}fest ×÷×÷×÷") for at in range(3000)]
+    words = frequent_words(changed_words(spark.createDataFrame(rows, "doc_id bigint, text string")))
+    assert {r.word: r.n for r in words.collect()} == counted(rows)
