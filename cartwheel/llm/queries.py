@@ -12,6 +12,7 @@ from cartwheel.llm import (
     line_dedup,
     neighbours,
     ngram_join,
+    outliers,
     packing,
     pii,
     quality,
@@ -32,6 +33,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_warc": warc.op9_warc,
     "op10_license_scan": license_scan.op10_license_scan,
     "op11_spelling": spelling.op11_spelling,
+    "op13_quality_rules": outliers.op13_quality_rules,
 }
 
 ORACLES: dict[str, str] = {
