@@ -12,7 +12,8 @@ a gram of the dictionary). The most over all places is the word's bound. Two nea
 either one's bound, on the same side of the edit. So in any one order of the grams, rare ones first, both have a shared
 gram among their first bound + 1: only that many lists of a word are merged, its shortest. As a shared gram
 lies wholly before or wholly behind the edit, two entries of a list match only if the letters before, or
-those behind, are the same as well, and a list is cut by these letters and by the word's length. Matches are verified by edit distance.
+those behind, are the same as well, and a list is cut by these letters. Of those, pairs are dropped whose lengths, letters or
+neighbouring letters differ by more than one edit can change, which bit counts tell; the rest is verified by edit distance.
 A word with no more grams than its bound may share none with another such word; those are joined by their halves.
 
 Lists are joined, not collected: their entries are rows of a Spark join that splits a long list. Common grams number at
@@ -34,7 +35,7 @@ from collections.abc import Iterator, Mapping
 from dataclasses import dataclass
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cartwheel.llm.tables import in_arrow, saved, table
@@ -48,9 +49,10 @@ RATIO = 5  # between the counts of a form and its variant, at least
 SHORTEST, LONGEST = 2, 4  # letters of a gram
 COMMON = 20_000  # common grams of one length, at most
 RARE = 8  # places that hold a gram of the dictionary that is not extended, at least
+BITS = 63  # of a word's letters and neighbouring letters
 BEGIN, END = "\x02", "\x03"  # around a word, so that its ends have grams of their own
 
-ENTRIES = "word string, n bigint, letters int, side string, shared string"
+ENTRIES = "word string, n bigint, letters int, odd_letters bigint, odd_pairs bigint, side string, shared string"
 
 
 def changed_words(docs: DataFrame, *, text: str = "text", key: str = "doc_id") -> DataFrame:
@@ -167,8 +169,24 @@ def _entries(index: GramIndex, word: str) -> Iterator[tuple[str, str]]:
             yield f"last half of {shorter}", word[len(word) - half :]
 
 
+def odd_letters(word: str) -> int:
+    """A bit for every place in a table of letters that an odd number of the word's letters fall on; an edit turns two at most."""
+    bits = 0
+    for letter in word:
+        bits ^= 1 << ord(letter) % BITS
+    return bits
+
+
+def odd_pairs(word: str) -> int:
+    """The same of neighbouring letters; an edit turns four at most."""
+    bits = 0
+    for before, letter in zip(word, word[1:]):
+        bits ^= 1 << (31 * ord(before) + ord(letter)) % BITS
+    return bits
+
+
 def list_entries(words: DataFrame) -> DataFrame:
-    """A row for each list that a word is in."""
+    """A row for each list that a word is in. Lists are numbered by a hash; should two fall together, verifying tells them apart."""
     context = words.sparkSession.sparkContext
     common = context.broadcast(common_grams(words))
 
@@ -178,29 +196,36 @@ def list_entries(words: DataFrame) -> DataFrame:
             for begin in range(0, len(batch), 4096):
                 part = batch.slice(begin, 4096)
                 rows = [
-                    (word, n, len(word), side, shared)
+                    (*known, side, shared)
                     for word, n in zip(part.column("word").to_pylist(), part.column("n").to_pylist())
+                    for known in [(word, n, len(word), odd_letters(word), odd_pairs(f"{BEGIN}{word}{END}"))]
                     for side, shared in _entries(index, word)
                 ]
-                columns = zip(*rows) if rows else [[]] * 5
-                kinds = (pa.string(), pa.int64(), pa.int32(), pa.string(), pa.string())
+                columns = zip(*rows) if rows else [[]] * 7
+                kinds = (pa.string(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.string(), pa.string())
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(list(column), kind) for column, kind in zip(columns, kinds)],
-                    names=["word", "n", "letters", "side", "shared"],
+                    names=["word", "n", "letters", "odd_letters", "odd_pairs", "side", "shared"],
                 )
 
-    return in_arrow(words.select("word", "n"), entries, ENTRIES)
+    listed = in_arrow(words.select("word", "n"), entries, ENTRIES)
+    return listed.select(F.xxhash64("side", "shared").alias("list"), "word", "n", "letters", "odd_letters", "odd_pairs")
 
 
 def near_pairs(words: DataFrame) -> DataFrame:
     """Each pair of words at one edit from each other, once: word, n, other, other_n."""
     entries = saved(list_entries(words), "gram-lists")
     left, right = entries.alias("left"), entries.alias("right")
+
+    def turned(bits: str) -> Column:
+        return F.bit_count(F.col(f"left.{bits}").bitwiseXOR(F.col(f"right.{bits}")))
+
     near = (
-        (F.col("left.side") == F.col("right.side"))
-        & (F.col("left.shared") == F.col("right.shared"))
-        & (F.col("left.word") < F.col("right.word"))
+        (F.col("left.list") == F.col("right.list"))
         & (F.abs(F.col("left.letters") - F.col("right.letters")) <= 1)
+        & (turned("odd_letters") <= 2)
+        & (turned("odd_pairs") <= 4)
+        & (F.col("left.word") < F.col("right.word"))
         & (F.levenshtein(F.col("left.word"), F.col("right.word"), 1) == 1)
     )
     pairs = left.join(right, near).select(

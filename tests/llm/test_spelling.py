@@ -137,3 +137,14 @@ def test_deleted_letters_are_those_of_the_hash(spark):
     rows = [(at % 50, f"Größenwahn Straßen{'abcdefghij'[at % 10]}fest ×÷×÷×÷") for at in range(3000)]
     words = frequent_words(changed_words(spark.createDataFrame(rows, "doc_id bigint, text string")))
     assert {r.word: r.n for r in words.collect()} == counted(rows)
+
+
+def test_an_edit_turns_few_bits():
+    draw = random.Random(8)
+    for _ in range(3000):
+        word = "".join(draw.choices("abcdeéÿz", k=draw.randint(6, 12)))
+        at, kind = draw.randrange(len(word)), draw.randrange(3)
+        other = word[:at] + ("" if kind == 0 else draw.choice("abcdeéÿz")) + word[at + (kind != 1) :]
+        assert (spelling.odd_letters(word) ^ spelling.odd_letters(other)).bit_count() <= 2
+        framed, changed = f"\x02{word}\x03", f"\x02{other}\x03"
+        assert (spelling.odd_pairs(framed) ^ spelling.odd_pairs(changed)).bit_count() <= 4
