@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from cartwheel.llm import (
+    alignment,
     exact_dedup,
     license_scan,
     line_dedup,
@@ -33,6 +34,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_warc": warc.op9_warc,
     "op10_license_scan": license_scan.op10_license_scan,
     "op11_spelling": spelling.op11_spelling,
+    "op12_alignment": alignment.op12_alignment,
     "op13_quality_rules": outliers.op13_quality_rules,
 }
 
