@@ -9,12 +9,14 @@ One edit affects few grams. For each place of an edit, those that may differ aft
 holding the place, those before it that a changed letter may extend (the letters up to the edit are
 a common gram, which the dictionary extends), and those behind it that a changed gram may swallow (the letters from the edit on end
 a gram of the dictionary). The most over all places is the word's bound. Two near words share all grams but at most
-either one's bound, on the same side of the edit. So in any one order of the grams, rare ones first, both have a shared
-gram among their first bound + 1: only that many lists of a word are merged, its shortest. As a shared gram
-lies wholly before or wholly behind the edit, two entries of a list match only if the letters before, or
-those behind, are the same as well, and a list is cut by these letters. Of those, pairs are dropped whose lengths, letters or
+either one's bound: the first ones up to the edit, and the last ones behind it.
+
+The lists of several grams are therefore merged at once. A word with ``need`` grams more than its bound shares, for some k, its first k and
+its last need - k grams with any near word, and all letters before and behind them. For every k it is entered in the list of these
+letters, where any near word is as well. ``need`` is at most ``AT_ONCE``; a word with fewer grams above its bound is entered in the lists of fewer grams too,
+down to its own number, as a near word of that kind may have no more. A word with no more grams than its bound may share none
+with another such word; those are joined by their halves. Of the entries of a list, pairs are dropped whose lengths, letters or
 neighbouring letters differ by more than one edit can change, which bit counts tell; the rest is verified by edit distance.
-A word with no more grams than its bound may share none with another such word; those are joined by their halves.
 
 Lists are joined, not collected: their entries are rows of a Spark join that splits a long list. Common grams number at
 most ``COMMON`` for each length, whatever the corpus, as each holds more than that share of all places; they
@@ -31,7 +33,7 @@ columns are not carried.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator, Mapping
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
@@ -46,7 +48,8 @@ OCCURRENCES = 5  # of a word, at least
 ONE_IN = 199  # of the occurrences is changed
 RATIO = 5  # between the counts of a form and its variant, at least
 
-SHORTEST, LONGEST = 2, 4  # letters of a gram
+SHORTEST, LONGEST = 2, 3  # letters of a gram
+AT_ONCE = 6  # grams whose lists are merged, at most
 COMMON = 20_000  # common grams of one length, at most
 RARE = 8  # places that hold a gram of the dictionary that is not extended, at least
 BITS = 63  # of a word's letters and neighbouring letters
@@ -83,15 +86,15 @@ def frequent_words(words: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class GramIndex:
-    """The common grams, with the number of places that hold them."""
+    """The common grams, which the dictionary extends."""
 
-    common: Mapping[str, int]
+    common: frozenset[str]
     tails: frozenset[str]  # ends of the common grams that are extended, without their first letters
 
     @classmethod
-    def of(cls, common: Mapping[str, int]) -> GramIndex:
-        tails = {gram[at:] for gram in common if len(gram) < LONGEST for at in range(1, len(gram))}
-        return cls(common, frozenset(tails))
+    def of(cls, common: Iterable[str]) -> GramIndex:
+        common = frozenset(common)
+        return cls(common, frozenset(gram[at:] for gram in common for at in range(1, len(gram))))
 
     def grams(self, word: str) -> list[tuple[int, int]]:
         """Begin and end of the word's grams; none lies within another."""
@@ -135,34 +138,30 @@ class GramIndex:
                 return letters
         return 0
 
-    def lists(self, word: str) -> tuple[list[tuple[int, int]], bool]:
-        """The grams whose lists the word has to be sought in, rare ones first, and whether they are sure to find all."""
-        grams = self.grams(word)
-        bound = self.bound(word, grams)
-        grams.sort(key=lambda gram: (self.common.get(word[gram[0] : gram[1]], 0), gram[0] - gram[1], word[gram[0] : gram[1]]))
-        return grams[: bound + 1], len(grams) > bound
-
 
-def common_grams(words: DataFrame) -> dict[str, int]:
+def common_grams(words: DataFrame) -> list[str]:
     """The grams held by more places than the threshold, which at most ``COMMON`` of each length can be."""
     framed = words.select(F.concat(F.lit(BEGIN), "word", F.lit(END)).alias("word"))
     (places,) = framed.agg(F.coalesce(F.sum(F.length("word") - (SHORTEST - 1)), F.lit(0))).first()
     grams = [
         F.transform(F.sequence(F.lit(1), F.length("word") - (size - 1)), lambda at, size=size: F.substr("word", at, F.lit(size)))
-        for size in range(SHORTEST, LONGEST + 1)
+        for size in range(SHORTEST, LONGEST)
     ]
     counted = framed.select(F.explode(F.concat(*grams)).alias("gram")).groupBy("gram").agg(F.count("*").alias("places"))
-    return dict(map(tuple, counted.where(F.col("places") > max(RARE, places / COMMON)).collect()))
+    return [gram for gram, _ in counted.where(F.col("places") > max(RARE, places / COMMON)).collect()]
 
 
 def _entries(index: GramIndex, word: str) -> Iterator[tuple[str, str]]:
-    """The lists of a word: each gram's letters with those before and with those behind it, or the halves."""
+    """The lists of a word: by some of its first and last grams with all letters before and behind, or by its halves."""
     framed = f"{BEGIN}{word}{END}"
-    chosen, sure = index.lists(framed)
-    for begin, end in chosen:
-        yield "before", framed[:end]
-        yield "behind", framed[begin:]
-    if not sure:
+    grams = index.grams(framed)
+    surplus = len(grams) - index.bound(framed, grams)
+    for need in range(max(min(surplus, AT_ONCE), 1), min(AT_ONCE, len(grams)) + 1):
+        for first in range(need + 1):
+            before = framed[: grams[first - 1][1]] if first else ""
+            behind = framed[grams[first - need][0] :] if first < need else ""
+            yield f"{first} of {need} grams", f"{before}{END}{behind}"
+    if surplus < 1:
         for shorter in (len(word), len(word) - 1):  # of the two words; halves are those of the shorter one
             half = shorter // 2
             yield f"first half of {shorter}", word[:half]

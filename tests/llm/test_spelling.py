@@ -79,14 +79,15 @@ def test_groups_are_those_of_all_pairs(spark, letters):
 
 @pytest.mark.parametrize("letters", ["ab", "abcd", "abcdefghij"])
 @pytest.mark.parametrize("share", [0.0, 0.02, 0.5])
-def test_near_words_share_a_list(monkeypatch, letters, share):
+@pytest.mark.parametrize("longest", [3, 5])
+def test_near_words_share_a_list(monkeypatch, letters, share, longest):
     """The bounds hold whatever grams are common, also where the words that share none are joined by halves."""
-    monkeypatch.setattr(spelling, "LONGEST", 5)
+    monkeypatch.setattr(spelling, "LONGEST", longest)
     words = list(made_words(5, 250, letters))
     counts = Counter(
         f"\x02{word}\x03"[at : at + size] for word in words for size in range(2, 6) for at in range(len(word) + 3 - size)
     )
-    index = GramIndex.of({gram: n for gram, n in counts.items() if n > share * len(words)})
+    index = GramIndex.of(gram for gram, n in counts.items() if len(gram) < longest and n > share * len(words))
     lists = {word: set(spelling._entries(index, word)) for word in words}
     for word in words:
         for other in words:
@@ -94,8 +95,9 @@ def test_near_words_share_a_list(monkeypatch, letters, share):
                 assert lists[word] & lists[other], (word, other)
 
 
-def test_grams_are_long_where_they_are_common():
-    index = GramIndex.of({"ti": 100, "tio": 50, "on": 70})
+def test_grams_are_long_where_they_are_common(monkeypatch):
+    monkeypatch.setattr(spelling, "LONGEST", 4)
+    index = GramIndex.of(["ti", "tio", "on"])
     framed = "\x02nation\x03"
     assert [framed[b:e] for b, e in index.grams(framed)] == ["\x02n", "na", "at", "tion", "on\x03"]
     assert index.bound(framed, index.grams(framed)) >= 2
