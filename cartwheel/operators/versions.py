@@ -38,7 +38,8 @@ def newest_per_key(
     return df.withColumn("_rank", F.row_number().over(ranked)).where("_rank = 1").drop("_rank")
 
 
-def _by_age(df: DataFrame, version: str | None, stamp: str | None) -> list[Column]:
+def by_age(df: DataFrame, version: str | None, stamp: str | None) -> list[Column]:
+    """The order of versions, newest first, by those of both columns that there are."""
     return [
         F.col(f"`{name}`").desc_nulls_last() for name in (version, stamp) if name and name in df.columns
     ]
@@ -58,7 +59,7 @@ def dedup(
     """
     if not keys:
         return df.dropDuplicates()
-    return newest_per_key(df.dropna(subset=list(keys)), keys, _by_age(df, version, stamp))
+    return newest_per_key(df.dropna(subset=list(keys)), keys, by_age(df, version, stamp))
 
 
 def dedup_rare(
@@ -78,7 +79,7 @@ def dedup_rare(
     repeated = complete.groupBy(*keys).agg(F.count("*").alias("_copies")).where("_copies > 1").select(*keys)
     single = complete.join(repeated, keys, "left_anti").select(*df.columns)
     several = complete.join(repeated, keys, "left_semi").select(*df.columns)
-    return single.unionByName(newest_per_key(several, keys, _by_age(df, version, stamp)))
+    return single.unionByName(newest_per_key(several, keys, by_age(df, version, stamp)))
 
 
 def restamp(df: DataFrame, stamp: str) -> DataFrame:
@@ -102,7 +103,7 @@ def current_snapshot(
     """
     if not keys:
         return history.dropDuplicates()
-    return newest_per_key(history, keys, _by_age(history, version, stamp))
+    return newest_per_key(history, keys, by_age(history, version, stamp))
 
 
 def upsert_latest(

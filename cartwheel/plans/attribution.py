@@ -222,6 +222,11 @@ def channel_attribution(
         .groupBy("channel_id")
         .agg(*(F.sum(name).alias(name) for name in ("first", "last", "linear")))
     )
+    return credited(channels, per_channel)
+
+
+def credited(channels: DataFrame, per_channel: DataFrame) -> DataFrame:
+    """All channels with what they earned, from sums per ``channel_id``."""
     return channels.select("channel_id", "channel_name", "channel_type").join(
         per_channel, "channel_id", "left"
     ).select(

@@ -32,6 +32,11 @@ def conversion_funnel(clickstream: DataFrame, categories: DataFrame) -> DataFram
         F.count_if(known_user & (F.col("views") > 0)).alias("unique_viewers"),
         F.count_if(known_user & (F.col("purchases") > 0)).alias("unique_purchasers"),
     )
+    return rates(funnel, categories)
+
+
+def rates(funnel: DataFrame, categories: DataFrame) -> DataFrame:
+    """The funnel from each category's counts of events and users."""
     views, carts, purchases = F.col("views"), F.col("add_to_carts"), F.col("purchases")
     return funnel.join(categories.select("category_id", "category_name"), "category_id", "left").select(
         "category_id", "category_name", "views", "add_to_carts", "purchases",

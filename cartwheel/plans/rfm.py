@@ -25,6 +25,11 @@ class RfmRules:
     potential: int = 7
 
 
+def settled(orders: DataFrame) -> DataFrame:
+    """The orders that count as spending."""
+    return orders.where(F.col("status").isin(*SETTLED_STATUSES))
+
+
 def rfm_segmentation(
     orders: DataFrame,
     users: DataFrame,
@@ -33,18 +38,24 @@ def rfm_segmentation(
     rules: RfmRules = RfmRules(),
 ) -> DataFrame:
     """Score every customer with a settled order and name their segment."""
-    spending = (
-        orders.where(F.col("status").isin(*SETTLED_STATUSES))
-        .groupBy("user_id")
-        .agg(
-            F.count("order_id").alias("frequency"),
-            F.sum("total_amount").alias("monetary"),
-            F.min("order_date").alias("first_order_date"),
-            F.max("order_date").alias("last_order_date"),
-        )
-        .withColumn("recency_days", F.datediff(day(as_of), F.to_date("last_order_date")))
+    spending = settled(orders).groupBy("user_id").agg(
+        F.count("order_id").alias("frequency"),
+        F.sum("total_amount").alias("monetary"),
+        F.min("order_date").alias("first_order_date"),
+        F.max("order_date").alias("last_order_date"),
     )
-    scored = spending.withColumns(
+    return segments(spending, users, as_of=as_of, rules=rules)
+
+
+def segments(
+    spending: DataFrame,
+    users: DataFrame,
+    *,
+    as_of: dt.date | str | None = None,
+    rules: RfmRules = RfmRules(),
+) -> DataFrame:
+    """Scores and segments from the number, sum, first and last date of each customer's settled orders."""
+    scored = spending.withColumn("recency_days", F.datediff(day(as_of), F.to_date("last_order_date"))).withColumns(
         {
             "r_score": at_most(F.col("recency_days"), rules.recency_days, 1),
             "f_score": at_least(F.col("frequency"), rules.frequency, 1),

@@ -28,6 +28,18 @@ def shape(clicks: DataFrame, stamp: Column | None = None) -> DataFrame:
     )
 
 
+def unique(clicks: DataFrame, within: str) -> DataFrame:
+    """The shaped events of a stream without those that came before, in this or an earlier file, ``within`` that time.
+
+    Events are told apart by their id, those without one by their whole content. The time is that of arrival: no event is ever
+    too late and dropped, and the state holds the ids of that time only. It is in the checkpoint and survives a restart.
+    """
+    content = [F.col(name) for name in clicks.columns if name != STAMP]
+    whole = F.sha2(F.to_json(F.struct(*content)), 256)
+    keyed = clicks.withColumn("_event", F.coalesce(F.col("event_id").cast("string"), whole))
+    return keyed.withWatermark(STAMP, within).dropDuplicatesWithinWatermark(["_event"]).drop("_event")
+
+
 def start(
     spark: SparkSession,
     input_path: str,
@@ -37,9 +49,12 @@ def start(
     continuous: bool = False,
     interval: str = INTERVAL,
     files_per_trigger: int | None = None,
+    unique_within: str | None = None,
 ) -> StreamingQuery:
     """Start the ingest and return its query.
 
+    With ``unique_within`` (such as ``7 days``) an event that is sent again in another file within that time lands once.
+
     By default it takes all ``*.csv`` files not yet taken and ends. With ``continuous`` it
     keeps polling at the interval, one file at a time unless told otherwise. In
     both cases the checkpoint remembers the files, and each is ingested once.
@@ -55,8 +70,9 @@ def start(
     clicks = files.click_file_stream(
         spark, input_path, files_per_trigger=files_per_trigger, glob=None if continuous else "*.csv"
     )
+    events = shape(clicks)
     writer = (
-        shape(clicks)
+        (unique(events, unique_within) if unique_within else events)
         .withColumn(STAMP_DATE, F.to_date(STAMP))
         .writeStream.format("parquet")
         .partitionBy(STAMP_DATE)

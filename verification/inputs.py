@@ -48,6 +48,27 @@ INCOMING_ORDERS = f"""
            updated_at + INTERVAL '1' DAY AS updated_at
     FROM ({VIEWS['c_orders']}) AS o WHERE order_id % 6 = 0"""
 
+# Three loads of orders: late ones and refunds in the second; in the third corrected ones and versions older than those known.
+ORDER_LOADS = f"""
+    SELECT 1 AS load, order_id, user_id, order_date, total_amount, status, updated_at
+    FROM ({VIEWS['c_orders']}) AS o WHERE order_id % 5 <> 0
+    UNION ALL
+    SELECT 2 AS load, order_id, user_id, order_date, total_amount, status, updated_at
+    FROM ({VIEWS['c_orders']}) AS o WHERE order_id % 5 = 0
+    UNION ALL
+    SELECT 2 AS load, order_id, user_id, order_date, total_amount, 'Refunded' AS status,
+           updated_at + INTERVAL '1' DAY AS updated_at
+    FROM ({VIEWS['c_orders']}) AS o WHERE order_id % 7 = 0
+    UNION ALL
+    SELECT 3 AS load, order_id, CASE WHEN order_id % 3 = 0 THEN user_id ELSE user_id + 1 END AS user_id,
+           order_date + INTERVAL '3' DAY AS order_date, total_amount + 5 AS total_amount, 'Paid' AS status,
+           updated_at + INTERVAL '2' DAY AS updated_at
+    FROM ({VIEWS['c_orders']}) AS o WHERE order_id % 11 = 0
+    UNION ALL
+    SELECT 3 AS load, order_id, user_id, order_date, total_amount, 'Cancelled' AS status,
+           updated_at - INTERVAL '1' DAY AS updated_at
+    FROM ({VIEWS['c_orders']}) AS o WHERE order_id % 13 = 0"""
+
 CLICK_ROWS = """
     SELECT event_id, CAST(user_id AS INT) AS user_id,
            'session-' || CAST(event_id % 1000 AS STRING) AS session_id, event_type,

@@ -87,7 +87,7 @@ def funnel() -> str:
     )
 
 
-def rfm(recency: list[int], frequency: list[int], monetary: list[int]) -> str:
+def rfm(recency: list[int], frequency: list[int], monetary: list[int], **tables: str) -> str:
     def score(value: str, sign: str, bounds: list[int]) -> str:
         whens = " ".join(f"WHEN {value} {sign} {bound} THEN {5 - i}" for i, bound in enumerate(bounds))
         return f"CASE {whens} ELSE 1 END"
@@ -114,9 +114,17 @@ def rfm(recency: list[int], frequency: list[int], monetary: list[int]) -> str:
         "r_score:bigint f_score:bigint m_score:bigint rfm_score:bigint customer_segment "
         "first_order_date last_order_date",
         body,
+        **tables,
     )
 
 
+LATEST_ORDERS = f"""
+    SELECT * EXCLUDE (load, place)
+    FROM (SELECT *, row_number() OVER (PARTITION BY order_id ORDER BY updated_at DESC) AS place
+          FROM ({inputs.ORDER_LOADS}) AS loads) AS ranked
+    WHERE place = 1"""
+
+
 def _mean(amount: str) -> str:
     # The mean of a DECIMAL(15,2) has six digits; rounded half up on whole numbers.
     cents = f"CAST(sum(CAST({amount} * 100 AS HUGEINT)) AS HUGEINT)"
@@ -452,6 +460,23 @@ ORACLES: dict[str, str] = {
     "current_snapshot": oracle(
         LINES, latest_lines("2001-08-02 00:00:00.000001", "2001-08-03 00:00:00.000002"), lines=inputs.LINES
     ),
+    "snapshot_incremental": oracle(
+        "order_id:bigint user_id:bigint order_date total_amount:double status updated_at",
+        "SELECT * FROM latest_orders",
+        latest_orders=LATEST_ORDERS,
+    ),
+    "q1_funnel_incremental": funnel(),
+    "q2_rfm_incremental": rfm([30, 60, 90, 180], [10, 5, 3, 2], [1000, 500, 200, 100], c_orders=LATEST_ORDERS),
+    "q5_attribution_incremental": attribution(30),
+    "clickstream_unique": CLICKS,
+    "clickstream_touch_pairs": f"""
+        WITH clicks AS ({CLICKS})
+        SELECT p.user_id, p.event_id AS purchase_event, p.event_time AS purchased_at,
+               t.event_id AS touch_event, t.event_time AS touched_at, t.channel_id
+        FROM clicks AS p JOIN clicks AS t
+          ON t.user_id = p.user_id AND t.event_time < p.event_time
+             AND t.event_time >= date_trunc('day', p.event_time) - INTERVAL 3 DAY
+        WHERE p.event_type = 'purchase' AND t.event_type IN ('view', 'add_to_cart')""",
     "dim_users": oracle(
         "user_id:bigint full_name email phone city state country gender date_of_birth loyalty_segment "
         "registration_source is_active registered_at",

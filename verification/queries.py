@@ -12,6 +12,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cartwheel import storage
+from cartwheel.incremental.attribution import Attribution
+from cartwheel.incremental.funnel import FunnelDays
+from cartwheel.incremental.snapshots import Snapshot
+from cartwheel.incremental.spending import Spending
 from cartwheel.model import PRIMARY_KEYS, STAMP, STAMP_DATE, VERSION
 from cartwheel.operators.clean import clean
 from cartwheel.operators.quality import email_phone_quality, fk_violations, key_violations
@@ -30,12 +34,12 @@ from cartwheel.plans.funnel import conversion_funnel
 from cartwheel.plans.inventory import inventory_analysis
 from cartwheel.plans.layers import GROUPS, load_raw, refine_since, run_pipeline, stamped
 from cartwheel.plans.promotions import promo_comparison, promo_detail
-from cartwheel.plans.rfm import RfmRules, rfm_segmentation
+from cartwheel.plans.rfm import RfmRules, rfm_segmentation, segments
 from cartwheel.plans.transactions import user_transactions
 from cartwheel.session import scratch
 from cartwheel.sinks.watermarks import Watermarks
 from cartwheel.sources.files import changed_since, csv_with_header, parquet
-from cartwheel.streaming import clickstream
+from cartwheel.streaming import clickstream, touches
 from verification import inputs
 from verification.adapters import run, view
 
@@ -223,6 +227,80 @@ def _current_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain(current_snapshot(history, LINE_KEYS, version="l_shipdate"))
 
 
+def _order_loads(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    loads = run(spark, sf_dir, inputs.ORDER_LOADS)
+    return [loads.where(F.col("load") == number).drop("load") for number in (1, 2, 3)]
+
+
+def _snapshot_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A snapshot of orders after three loads, each merged into the buckets it touches."""
+    with scratch_folder(spark, "snapshot") as folder:
+        snapshot = Snapshot(spark, f"{folder}/orders", ("order_id",))
+        for load in _order_loads(spark, sf_dir):
+            snapshot.apply(load)
+        return plain(kept(snapshot.read(), "snapshot"))
+
+
+def _q2_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Segments from sums that follow the changes of three loads of orders."""
+    with scratch_folder(spark, "spending") as folder:
+        snapshot, spending = Snapshot(spark, f"{folder}/orders", ("order_id",)), Spending(spark, f"{folder}/spending")
+        for load in _order_loads(spark, sf_dir):
+            spending.apply(snapshot.apply(load), snapshot.read())
+        return plain(segments(kept(spending.read(), "spending"), view(spark, sf_dir, "c_users"), as_of=AS_OF))
+
+
+def _q1_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The funnel from three arrival days, each counted when it arrived."""
+    clicks, categories = view(spark, sf_dir, "c_clickstream"), view(spark, sf_dir, "c_categories")
+    with scratch_folder(spark, "funnel") as folder:
+        funnel = FunnelDays(spark, f"{folder}/funnel")
+        for number, stamp in enumerate((FIRST_STAMP, SECOND_STAMP, THIRD_STAMP)):
+            arrived = clicks.where(F.col("event_id") % 3 == number).withColumn(STAMP_DATE, F.lit(stamp[:10]).cast("date"))
+            arrived.write.mode("append").partitionBy(STAMP_DATE).parquet(f"{folder}/clicks")
+            funnel.refresh(parquet(spark, f"{folder}/clicks"), STAMP_DATE)
+        return plain(kept(funnel.funnel(categories), "funnel"))
+
+
+def _q5_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Attribution after three batches of events, each with events of all days."""
+    clicks, channels = view(spark, sf_dir, "c_clickstream"), view(spark, sf_dir, "c_marketing_channels")
+    with scratch_folder(spark, "attribution") as folder:
+        attribution = Attribution(spark, folder)
+        late = F.col("event_id") % 9 == 0
+        for number, part in enumerate((~late & (F.col("event_id") % 2 == 0), ~late & (F.col("event_id") % 2 == 1), late)):
+            attribution.add(clicks.where(part), str(number))
+        return plain(kept(attribution.credits_of(channels), "credits"))
+
+
+def _clickstream_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files that repeat events of earlier ones, taken by a stream that is started twice."""
+    rows = run(spark, sf_dir, inputs.CLICK_ROWS)
+    with scratch_folder(spark, "clicks") as folder:
+        for parts in (("event_id % 3 = 0", "event_id % 3 = 1 OR event_id % 6 = 0"), ("event_id % 3 = 2 OR event_id % 5 = 0",)):
+            for part in parts:
+                rows.where(part).coalesce(1).write.mode("append").csv(f"{folder}/landing")
+            clickstream.ingest_once(
+                spark, f"{folder}/landing", f"{folder}/raw", f"{folder}/checkpoint", files_per_trigger=1, unique_within="7 days"
+            )
+        return plain(kept(parquet(spark, f"{folder}/raw").drop(STAMP, STAMP_DATE), "clicks"))
+
+
+def _clickstream_touch_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Purchases joined with their touches as three files come in, one stretch of time each."""
+    rows = run(spark, sf_dir, inputs.CLICK_ROWS).withColumn("_at", F.try_to_timestamp("event_time"))
+    first, last = rows.agg(F.unix_seconds(F.min("_at")), F.unix_seconds(F.max("_at"))).first()
+    third = F.least(F.floor((F.unix_seconds("_at") - first) * 3 / (last - first + 1)), F.lit(2))
+    with scratch_folder(spark, "touches") as folder:
+        for part in range(3):
+            now = F.coalesce(third, F.lit(0)) == part
+            rows.where(now).drop("_at").coalesce(1).write.mode("append").csv(f"{folder}/landing")
+        touches.start(
+            spark, f"{folder}/landing", f"{folder}/pairs", f"{folder}/checkpoint", lookback_days=3, files_per_trigger=1
+        ).awaitTermination()
+        return plain(kept(parquet(spark, f"{folder}/pairs"), "pairs"))
+
+
 def _merge(operator: Callable[..., DataFrame]) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         base = run(spark, sf_dir, inputs.BASE_ORDERS)
@@ -302,6 +380,12 @@ QUERIES: dict[str, Query] = {
     "silver_distinct_rows": _silver_distinct_rows,
     "silver_incremental": _silver_incremental,
     "current_snapshot": _current_snapshot,
+    "snapshot_incremental": _snapshot_incremental,
+    "q1_funnel_incremental": _q1_incremental,
+    "q2_rfm_incremental": _q2_incremental,
+    "q5_attribution_incremental": _q5_incremental,
+    "clickstream_unique": _clickstream_unique,
+    "clickstream_touch_pairs": _clickstream_touch_pairs,
     "dim_users": on(dims.dim_users, "users"),
     "dim_products": on(dims.dim_products, "products", "categories"),
     "dim_promotions": on(dims.dim_promotions, "promotions"),
