@@ -1,0 +1,89 @@
+"""Streams with state: events that are sent again, and purchases joined with their touches."""
+
+import datetime as dt
+
+from pyspark.sql import functions as F
+
+from cartwheel.model import STAMP, STAMP_DATE, click_file_schema
+from cartwheel.sources.files import click_files
+from cartwheel.streaming import clickstream, touches
+
+START = dt.datetime(2024, 3, 1)
+
+
+def click(event, user, kind, time, channel=1):
+    text = None if time is None else str(time)
+    return (event, user, "s", kind, 1, 2, channel, text, *["x"] * 8, 1.0, 0.5, "true", None)
+
+
+def land(spark, folder, name, rows):
+    """One file, in the order it has to be taken."""
+    df = spark.createDataFrame(rows, click_file_schema()).coalesce(1)
+    df.write.mode("append").csv(f"{folder}/{name}")
+
+
+def test_an_event_sent_again_lands_once(spark, folder):
+    """In the same file, in another file, and after the stream was stopped; events without an id are told by their content."""
+    first = [click(at, at, "view", START) for at in range(20)] + [click(3, 3, "view", START), click(None, 1, "view", START)]
+    again = [click(at, at, "view", START) for at in range(10, 30)] + [click(None, 1, "view", START), click(None, 2, "view", None)]
+    late = [click(at, at, "view", START - dt.timedelta(days=400)) for at in range(25, 40)]
+    for rows in (first, again, late):
+        land(spark, folder, "landing", rows)
+        clickstream.ingest_once(spark, f"{folder}/landing", f"{folder}/raw", f"{folder}/cp", unique_within="7 days")
+    clickstream.ingest_once(spark, f"{folder}/landing", f"{folder}/plain", f"{folder}/cp2")
+    landed = spark.read.parquet(f"{folder}/raw")
+    assert landed.where("event_id IS NOT NULL").count() == 40 == landed.select("event_id").distinct().count() - 1
+    assert landed.where("event_id IS NULL").count() == 2
+    whole = spark.read.parquet(f"{folder}/plain").drop(STAMP, STAMP_DATE).where("event_id < 25").distinct()
+    assert sorted(map(repr, landed.where("event_id < 25").drop(STAMP, STAMP_DATE).collect())) == sorted(map(repr, whole.collect()))
+
+
+def held_rows(query):
+    return [sum(part["numRowsTotal"] for part in progress["stateOperators"]) for progress in query.recentProgress]
+
+
+def test_ids_are_forgotten_after_their_time(spark, folder):
+    for part in range(3):
+        land(spark, folder, "landing", [click(part * 100 + at, at, "view", START) for at in range(100)])
+    query = clickstream.start(
+        spark, f"{folder}/landing", f"{folder}/raw", f"{folder}/cp", continuous=True, interval="0 seconds", unique_within="0 seconds"
+    )
+    try:
+        query.processAllAvailable()
+        held = held_rows(query)
+    finally:
+        query.stop()
+    assert spark.read.parquet(f"{folder}/raw").count() == 300
+    assert max(held) < 300  # the ids of earlier files are gone
+
+
+def test_purchases_meet_the_touches_of_their_look_back(spark, folder):
+    """What a stream of several files emits equals the join of all events at once, and old touches leave the state."""
+    rows = []
+    for at in range(600):
+        draw = at * 2654435761 % 2**32
+        time = START + dt.timedelta(hours=at // 5, minutes=draw // 5 % 60)
+        rows.append(click(at, draw // 11 % 6 if draw % 17 else None, ("view", "add_to_cart", "purchase", "other")[draw // 3 % 4], time if draw % 19 else None, draw % 4))
+    for begin in range(0, 600, 100):
+        land(spark, folder, "landing", rows[begin : begin + 100])
+    query = touches.start(
+        spark, f"{folder}/landing", f"{folder}/pairs", f"{folder}/cp", lookback_days=1, late="2 hours", files_per_trigger=1
+    )
+    query.awaitTermination()
+    found = spark.read.parquet(f"{folder}/pairs")
+    expected = touches.touched_purchases(clickstream.shape(click_files(spark, f"{folder}/landing")), lookback_days=1)
+    assert sorted(map(repr, found.select(*expected.columns).collect())) == sorted(map(repr, expected.collect()))
+    midnight = F.date_trunc("day", "purchased_at") - F.expr("INTERVAL 1 DAY")
+    assert found.where((F.col("touched_at") >= F.col("purchased_at")) | (F.col("touched_at") < midnight)).count() == 0
+    assert found.count() > 500
+    held = held_rows(query)
+    assert held[-1] < max(held) and max(held) < 400  # touches and purchases of the first days are gone
+
+
+def test_pairs_survive_a_restart(spark, folder):
+    land(spark, folder, "landing", [click(1, 5, "view", START)])
+    for rows in ([], [click(2, 5, "purchase", START + dt.timedelta(hours=3)), click(3, 6, "purchase", START)]):
+        if rows:
+            land(spark, folder, "landing", rows)
+        touches.start(spark, f"{folder}/landing", f"{folder}/pairs", f"{folder}/cp").awaitTermination()
+    assert [(r.purchase_event, r.touch_event) for r in spark.read.parquet(f"{folder}/pairs").collect()] == [(2, 1)]
