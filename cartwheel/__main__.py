@@ -14,6 +14,7 @@ from cartwheel import storage
 from cartwheel.model import PRIMARY_KEYS
 from cartwheel.plans import layers
 from cartwheel.plans.transactions import user_transactions
+from cartwheel.plans.updates import update_curated
 from cartwheel.session import session
 from cartwheel.sinks import tables
 from cartwheel.sinks.watermarks import Watermarks
@@ -29,9 +30,12 @@ def _yes(text: str) -> bool:
     return text.lower() == "true"
 
 
-def _split(text: str) -> tuple[str, jdbc.Split]:
+def _split(text: str) -> tuple[str, jdbc.Split | jdbc.Depths]:
     table, _, ranges = text.partition("=")
-    column, lower, upper, partitions = ranges.split(",")
+    column, *bounds, partitions = ranges.split(",")
+    if not bounds:
+        return table, jdbc.Depths(column, int(partitions))
+    lower, upper = bounds
     return table, jdbc.Split(column, lower, upper, int(partitions))
 
 
@@ -55,8 +59,8 @@ def parser() -> argparse.ArgumentParser:
         help="read again what changed this long before the watermark, to find rows committed late",
     )
     bronze.add_argument(
-        "--split", type=_split, action="append", default=[], metavar="TABLE=COLUMN,LOWER,UPPER,PARTITIONS",
-        help="read a large table through several connections",
+        "--split", type=_split, action="append", default=[], metavar="TABLE=COLUMN[,LOWER,UPPER],PARTITIONS",
+        help="read a large table through several connections; without bounds, parts of equal size are found by a sample",
     )
 
     clicks = jobs.add_parser("clickstream", help="ingest click-event files")
@@ -66,6 +70,7 @@ def parser() -> argparse.ArgumentParser:
     clicks.add_argument("--mode", choices=("once", "continuous"), default="once")
     clicks.add_argument("--trigger_interval", default=clickstream.INTERVAL)
     clicks.add_argument("--files_per_trigger", type=int)
+    clicks.add_argument("--unique_within", help="time in which an event that is sent again is left out, such as '7 days'")
 
     silver = jobs.add_parser("silver", help="clean and de-duplicate what is new in the raw layer")
     silver.add_argument("--tables", type=_names, default=list(PRIMARY_KEYS))
@@ -83,6 +88,13 @@ def parser() -> argparse.ArgumentParser:
     for group in layers.GROUPS:
         gold.add_argument(f"--build_{group}", type=_yes, default=True)
 
+    marts = jobs.add_parser("update", help="bring funnel, segments and attribution up to date with what is new in the trusted layer")
+    marts.add_argument("--silver_path", required=True)
+    marts.add_argument("--state_path", required=True)
+    marts.add_argument("--gold_path", required=True)
+    marts.add_argument("--watermarks", required=True)
+    marts.add_argument("--as_of", help="report date, today if not given")
+
     users = jobs.add_parser("transactions", help="sum transactions per user from two CSV files")
     users.add_argument("--users", required=True)
     users.add_argument("--transactions", required=True)
@@ -132,6 +144,7 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
                 continuous=continuous,
                 interval=args.trigger_interval,
                 files_per_trigger=args.files_per_trigger,
+                unique_within=args.unique_within,
             ).awaitTermination()
     elif args.job == "silver":
         layers.load_trusted(
@@ -154,6 +167,11 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
             single_partition=args.single_partition,
             preview_rows=args.preview_rows,
         )
+    elif args.job == "update":
+        written = update_curated(
+            spark, args.silver_path, args.state_path, args.gold_path, Watermarks(spark, args.watermarks), as_of=args.as_of
+        )
+        print(f"written: {', '.join(written)}")
     else:
         summed = user_transactions(
             files.csv_with_header(spark, args.users), files.csv_with_header(spark, args.transactions)

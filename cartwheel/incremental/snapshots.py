@@ -44,30 +44,51 @@ class Snapshot:
     def _newest(self, rows: DataFrame) -> DataFrame:
         return newest_per_key(rows, [BUCKET, *self.keys], by_age(rows, self.version, self.stamp))
 
-    def apply(self, batch: DataFrame) -> DataFrame:
-        """Merge a batch; returns the keys whose row it changed, with the row ``before`` (NULL if new) and ``after``.
+    def _held(self, like: DataFrame, numbers: list[int]) -> DataFrame:
+        """The rows of these buckets, with the columns of ``like``."""
+        held = self.state.read()
+        if held is None or not numbers:
+            return self.spark.createDataFrame([], like.schema)
+        return held.where(F.col(BUCKET).isin(numbers)).select(*like.columns)
+
+    def changes(self, batch: DataFrame) -> DataFrame:
+        """The keys whose row a batch changes, with the row ``before`` (NULL if new) and ``after``; the table stays as it is.
 
-        Rows without a full key are left out. Applying a batch again changes nothing.
+        Rows without a full key are left out.
         """
-        columns = batch.columns
+        columns, key = batch.columns, [BUCKET, *self.keys]
         complete = batch.dropna(subset=self.keys).withColumn(BUCKET, bucket_of(self.keys, self.buckets))
         fresh = written_once(self._newest(complete), "batch")
-        numbers = [number for (number,) in touched(fresh, BUCKET)]
-        held = self.state.read()
-        if held is None:
-            held = self.spark.createDataFrame([], fresh.schema)
-        held = held.select(*columns, BUCKET).where(F.col(BUCKET).isin(numbers)) if numbers else held.where("false")
-
-        key = [BUCKET, *self.keys]
-        before = written_once(held.join(fresh.select(*key), key, "left_semi").select(*columns, BUCKET), "before")
-        after = written_once(self._newest(before.unionByName(fresh)), "after")
+        held = self._held(fresh, [number for (number,) in touched(fresh, BUCKET)])
+        before = written_once(held.join(fresh.select(*key), key, "left_semi").select(*fresh.columns), "before")
+        after = self._newest(before.unionByName(fresh))
         old = before.select(*key, F.struct(*columns).alias("before"))
         new = after.select(*key, F.struct(*columns).alias("after"))
         changed = new.join(old, key, "left").where(~F.col("before").eqNullSafe(F.col("after")))
-        changes = written_once(changed.select(*self.keys, "before", "after"), "changes")
+        return written_once(changed.select(*self.keys, "before", "after"), "changes")
+
+    def _merged(self, changes: DataFrame, numbers: list[int] | None = None) -> DataFrame:
+        after = changes.select("after.*").withColumn(BUCKET, bucket_of(self.keys, self.buckets))
+        if numbers is None:
+            numbers = list(range(self.buckets))
+        key = [BUCKET, *self.keys]
+        same = self._held(after, numbers).join(after.select(*key), key, "left_anti")
+        return same.select(*after.columns).unionByName(after)
+
+    def preview(self, changes: DataFrame) -> DataFrame:
+        """The table as it will be after the changes."""
+        return self._merged(changes).drop(BUCKET)
+
+    def merge(self, changes: DataFrame) -> None:
+        """Write the buckets that the changes fall into."""
+        numbers = [number for (number,) in touched(changes.select(bucket_of(self.keys, self.buckets).alias(BUCKET)), BUCKET)]
         if numbers:
-            same = held.join(after.select(*key), key, "left_anti").select(*columns, BUCKET)
-            self.state.replace(same.unionByName(after.select(*columns, BUCKET)))
+            self.state.replace(self._merged(changes, numbers))
+
+    def apply(self, batch: DataFrame) -> DataFrame:
+        """Merge a batch and return its changes. Applying a batch again changes nothing."""
+        changes = self.changes(batch)
+        self.merge(changes)
         return changes
 
     def rebuild(self, history: DataFrame) -> None:

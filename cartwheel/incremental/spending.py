@@ -7,6 +7,8 @@ those customers alone.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,6 +16,7 @@ from cartwheel.incremental.buckets import BUCKET, PartitionedState, bucket_of, t
 from cartwheel.plans.rfm import settled
 
 CUSTOMER = "user_id"
+BATCH = "batch"  # the last one folded into a row's bucket
 MONEY = "decimal(38,2)"
 COLUMNS = (CUSTOMER, "orders", "amounts", "spent", "first_order_date", "last_order_date")
 
@@ -25,11 +28,13 @@ class Spending:
         self.spark, self.buckets = spark, buckets
         self.state = PartitionedState(spark, path, [BUCKET])
 
-    def apply(self, changes: DataFrame, orders: DataFrame) -> int:
+    def apply(self, changes: DataFrame, orders: DataFrame, batch: str | None = None) -> int:
         """Fold the changes that a ``Snapshot`` of orders reports; ``orders`` is that snapshot after them.
 
+        Given the name of the batch, buckets that hold it already are left alone, so that an update which died may be repeated.
         Returns the number of customers whose first or last date had to be looked up.
         """
+        batch = batch or uuid.uuid4().hex
         versions = changes.select(
             F.inline(F.array(F.struct(F.lit(-1).alias("sign"), F.col("before").alias("it")), F.struct(F.lit(1).alias("sign"), F.col("after").alias("it"))))
         ).where("it IS NOT NULL").select("sign", "it.*")
@@ -54,7 +59,12 @@ class Spending:
             return 0
         held = self.state.read()
         if held is None:
-            held = deltas.select(*COLUMNS, BUCKET).where("false")
+            held = deltas.select(*COLUMNS, BUCKET, F.lit(batch).alias(BATCH)).where("false")
+        done = {number for (number,) in touched(held.where(F.col(BUCKET).isin(numbers) & (F.col(BATCH) == batch)), BUCKET)}
+        numbers = [number for number in numbers if number not in done]
+        if not numbers:
+            return 0
+        deltas = deltas.where(F.col(BUCKET).isin(numbers))
         none = F.lit(None).cast(deltas.schema["first_taken"].dataType)
         old = held.where(F.col(BUCKET).isin(numbers)).select(*COLUMNS, BUCKET, none.alias("first_taken"), none.alias("last_taken"))
         merged = (
@@ -90,7 +100,7 @@ class Spending:
                 "last_order_date": F.when(some, F.when(again, F.col("_last")).otherwise(F.col("last_order_date"))),
             }
         )
-        self.state.replace(dated.select(*COLUMNS, BUCKET))
+        self.state.replace(dated.select(*COLUMNS, F.lit(batch).alias(BATCH), BUCKET))
         return sought.count()
 
     def read(self) -> DataFrame | None:

@@ -43,6 +43,11 @@ def inventory_analysis(
             F.sum("quantity").alias("sold_long"),
         )
     )
+    return against_sales(products, inventory, sales)
+
+
+def against_sales(products: DataFrame, inventory: DataFrame, sales: DataFrame) -> DataFrame:
+    """The report from what was sold of each product in both windows, ``sold_short`` and ``sold_long``."""
     stock = inventory.groupBy("product_id").agg(
         F.sum("stock_on_hand").alias("on_hand"),
         F.sum("reserved_quantity").alias("reserved"),

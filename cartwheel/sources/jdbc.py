@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass, field
+from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cartwheel.model import CLICK_TABLE_RENAMES, TRACKED_TABLES, VERSION
 
@@ -32,6 +35,50 @@ class Split:
         }
 
 
+@dataclass(frozen=True)
+class Depths:
+    """How to read a table in parallel without knowing its bounds: parts of about equal size, found from a sample of a column."""
+
+    column: str
+    partitions: int
+    percent: float = 1.0  # of the table's pages that the sample reads
+
+    def sample(self, table: str) -> str:
+        return f"(SELECT {self.column} FROM {table} TABLESAMPLE SYSTEM ({self.percent})) AS sampled"
+
+    def predicates(self, sample: DataFrame) -> list[str]:
+        """Conditions of which every row of the table meets exactly one, whatever the sample missed."""
+        return parts(self.column, boundaries(sample, self.column, self.partitions))
+
+
+def boundaries(sample: DataFrame, column: str, partitions: int) -> list:
+    """The values at which a column is cut into parts of about equal size; fewer where values repeat so often that parts coincide.
+
+    Only counts per value leave the tasks, and only quantiles reach the driver.
+    """
+    kind = sample.schema[column].dataType
+    if not isinstance(kind, (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType)):
+        raise ValueError(f"{column} is neither a number nor a time")
+    shares = [at / partitions for at in range(1, partitions)]
+    if not shares:
+        return []
+    (found,) = sample.agg(F.percentile_approx(column, shares, 100 * partitions)).first()
+    return sorted(set(found or []))
+
+
+def _literal(value) -> str:
+    return str(value) if isinstance(value, (int, float, Decimal)) else f"'{value}'"
+
+
+def parts(column: str, bounds: Sequence) -> list[str]:
+    """Conditions for the ranges between the bounds, open at both ends, and for rows without a value."""
+    texts = [_literal(bound) for bound in bounds]
+    if not texts:
+        return [f"{column} IS NOT NULL", f"{column} IS NULL"]
+    inner = [f"{column} >= {low} AND {column} < {high}" for low, high in zip(texts, texts[1:])]
+    return [f"{column} < {texts[0]}", *inner, f"{column} >= {texts[-1]}", f"{column} IS NULL"]
+
+
 @dataclass(frozen=True)
 class Database:
     url: str
@@ -66,17 +113,23 @@ def read_table(
     table: str,
     watermark: str | None = None,
     *,
-    split: Split | None = None,
+    split: Split | Depths | None = None,
     inclusive: bool = False,
 ) -> DataFrame:
     """The changed rows of a tracked table, or all rows of any other.
 
     The database evaluates the watermark. A large table needs a ``split``; without
-    one it arrives through a single connection.
+    one it arrives through a single connection. ``Depths`` finds its parts by a sample; as they are open at both ends, rows that come
+    after it are read as well.
     """
-    options = database.options() | (split.options() if split else {})
     dbtable = relation(table, watermark, inclusive=inclusive)
-    rows = spark.read.format("jdbc").options(**options).option("dbtable", dbtable).load()
+    if isinstance(split, Depths):
+        sample = spark.read.format("jdbc").options(**database.options()).option("dbtable", split.sample(table)).load()
+        properties = {name: value for name, value in database.options().items() if name != "url"}
+        rows = spark.read.jdbc(database.url, dbtable, predicates=split.predicates(sample), properties=properties)
+    else:
+        options = database.options() | (split.options() if split else {})
+        rows = spark.read.format("jdbc").options(**options).option("dbtable", dbtable).load()
     return click_table_as_files(rows) if table == "clickstream" else rows
 
 

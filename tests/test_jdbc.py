@@ -1,7 +1,13 @@
 """What is asked of the database; no database is available to read from."""
 
+import datetime as dt
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import functions as F
+
 from cartwheel.sources.files import csv_with_header, in_memory
-from cartwheel.sources.jdbc import Database, Split, click_table_as_files, relation
+from cartwheel.sources.jdbc import Database, Depths, Split, click_table_as_files, relation
 from cartwheel.model import click_file_schema, table_schema
 from cartwheel.streaming.clickstream import shape
 
@@ -48,3 +54,39 @@ def test_csv_with_header(spark, tmp_path):
     assert inferred.dtypes == [("user_id", "int"), ("region", "string"), ("name", "string")]
     declared = csv_with_header(spark, str(tmp_path / "u.csv"), "user_id BIGINT, region STRING, name STRING")
     assert declared.first().user_id == 1
+
+
+KINDS = {
+    "int": [1, 5, 5, 9, 100, None, -3],
+    "bigint": [7] * 50 + [None] * 3,
+    "decimal(10,2)": [Decimal("1.50"), Decimal("-2.25"), Decimal("1.50"), None],
+    "double": [0.5, -1e9, 3.25, 1e12],
+    "date": [dt.date(2024, 1, 1), dt.date(1970, 1, 1), dt.date(2031, 5, 6), None],
+    "timestamp": [dt.datetime(2024, 1, 1, 2, 3, 4, 500000), dt.datetime(2024, 1, 1), None],
+}
+
+
+@pytest.mark.parametrize("partitions", [1, 2, 5])
+@pytest.mark.parametrize("kind", list(KINDS))
+def test_every_row_is_in_one_part(spark, kind, partitions):
+    """With repeated values, gaps, missing values, and rows that the sample does not know."""
+    rows = spark.createDataFrame([(value,) for value in KINDS[kind]], f"k {kind}")
+    for sample in (rows, rows.limit(2), rows.where("false")):
+        conditions = Depths("k", partitions).predicates(sample)
+        assert len(conditions) <= partitions + 1 or len(conditions) == 2
+        met = rows.select([F.coalesce(F.expr(text), F.lit(False)).cast("int").alias(f"p{at}") for at, text in enumerate(conditions)])
+        assert {sum(row) for row in met.collect()} == {1}
+
+
+def test_parts_are_about_equal(spark):
+    """A skewed key is cut by its depth, not by its range."""
+    rows = spark.range(20_000).selectExpr("CAST(pow(id, 3) AS BIGINT) AS k")
+    conditions = Depths("k", 8).predicates(rows.sample(0.2, seed=1))
+    sizes = [rows.where(text).count() for text in conditions]
+    assert len(sizes) == 9 and sum(sizes) == 20_000 and max(sizes) < 3200 and sizes[-1] == 0
+
+
+def test_texts_have_no_depths(spark):
+    with pytest.raises(ValueError):
+        Depths("k", 3).predicates(spark.createDataFrame([("a",)], "k string"))
+    assert Depths("k", 3, 0.5).sample("orders") == "(SELECT k FROM orders TABLESAMPLE SYSTEM (0.5)) AS sampled"

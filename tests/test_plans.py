@@ -15,7 +15,9 @@ from verification.queries import QUERIES
 
 JOBS = {  # these run while the query is built
     "clickstream_ingest", "clickstream_batch", "clickstream_continuous", "pipeline_run", "transactions_csv",
-    "bronze_incremental_overlap", "raw_refresh",
+    "bronze_incremental_overlap", "raw_refresh", "snapshot_incremental", "q1_funnel_incremental", "q2_rfm_incremental",
+    "q4_inventory_incremental", "q5_attribution_incremental", "clickstream_unique", "clickstream_touch_pairs",
+    "fk_violations_by_bitmap", "key_violations_by_bitmap",
 }
 
 

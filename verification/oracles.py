@@ -467,6 +467,7 @@ ORACLES: dict[str, str] = {
     ),
     "q1_funnel_incremental": funnel(),
     "q2_rfm_incremental": rfm([30, 60, 90, 180], [10, 5, 3, 2], [1000, 500, 200, 100], c_orders=LATEST_ORDERS),
+    "q4_inventory_incremental": INVENTORY,
     "q5_attribution_incremental": attribution(30),
     "clickstream_unique": CLICKS,
     "clickstream_touch_pairs": f"""
@@ -544,6 +545,8 @@ ORACLES: dict[str, str] = {
     "insert_if_absent": INSERT,
     "fk_violations": fk_report(),
     "key_violations": key_report(),
+    "fk_violations_by_bitmap": fk_report(),
+    "key_violations_by_bitmap": key_report(),
     "email_phone_quality": EMAIL_PHONE_QUALITY,
 }
 ORACLES["pipeline_run"] = pipeline()

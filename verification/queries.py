@@ -14,10 +14,12 @@ from pyspark.sql import types as T
 from cartwheel import storage
 from cartwheel.incremental.attribution import Attribution
 from cartwheel.incremental.funnel import FunnelDays
+from cartwheel.incremental.sales import MONTH, TrailingSales, dated_lines
 from cartwheel.incremental.snapshots import Snapshot
 from cartwheel.incremental.spending import Spending
 from cartwheel.model import PRIMARY_KEYS, STAMP, STAMP_DATE, VERSION
 from cartwheel.operators.clean import clean
+from cartwheel.operators.key_bitmaps import fk_violations_by_bitmap, key_violations_by_bitmap
 from cartwheel.operators.quality import email_phone_quality, fk_violations, key_violations
 from cartwheel.operators.rollup import order_totals_rollup
 from cartwheel.operators.versions import (
@@ -31,7 +33,7 @@ from cartwheel.operators.versions import (
 from cartwheel.plans import dims, facts
 from cartwheel.plans.attribution import channel_attribution
 from cartwheel.plans.funnel import conversion_funnel
-from cartwheel.plans.inventory import inventory_analysis
+from cartwheel.plans.inventory import against_sales, inventory_analysis
 from cartwheel.plans.layers import GROUPS, load_raw, refine_since, run_pipeline, stamped
 from cartwheel.plans.promotions import promo_comparison, promo_detail
 from cartwheel.plans.rfm import RfmRules, rfm_segmentation, segments
@@ -273,6 +275,22 @@ def _q5_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
         return plain(kept(attribution.credits_of(channels), "credits"))
 
 
+def _q4_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stock against sales whose windows were moved twice, with months of order lines that came later in between."""
+    lines = dated_lines(view(spark, sf_dir, "c_order_items"), view(spark, sf_dir, "c_orders"))
+    with scratch_folder(spark, "sales") as folder:
+        lines.repartition(MONTH).write.partitionBy(MONTH).parquet(f"{folder}/lines")
+        stored = spark.read.schema(lines.schema).parquet(f"{folder}/lines")
+        months = sorted(month for (month,) in stored.select(MONTH).distinct().collect())
+        sales = TrailingSales(spark, f"{folder}/sales")
+        sales.refresh(stored, months[::2])
+        sales.advance("2001-02-14")
+        sales.refresh(stored, months[1::2])
+        sales.advance(AS_OF)
+        sold = kept(sales.read(), "sold")
+    return plain(against_sales(view(spark, sf_dir, "c_products"), view(spark, sf_dir, "c_inventory"), sold))
+
+
 def _clickstream_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Files that repeat events of earlier ones, taken by a stream that is started twice."""
     rows = run(spark, sf_dir, inputs.CLICK_ROWS)
@@ -383,6 +401,7 @@ QUERIES: dict[str, Query] = {
     "snapshot_incremental": _snapshot_incremental,
     "q1_funnel_incremental": _q1_incremental,
     "q2_rfm_incremental": _q2_incremental,
+    "q4_inventory_incremental": _q4_incremental,
     "q5_attribution_incremental": _q5_incremental,
     "clickstream_unique": _clickstream_unique,
     "clickstream_touch_pairs": _clickstream_touch_pairs,
@@ -409,6 +428,8 @@ QUERIES: dict[str, Query] = {
     "fk_violations": _report(fk_violations),
     "fk_violations_text_keys": _fk_violations_text_keys,
     "key_violations": _report(key_violations),
+    "fk_violations_by_bitmap": _report(fk_violations_by_bitmap),
+    "key_violations_by_bitmap": _report(key_violations_by_bitmap),
     "email_phone_quality": _email_phone_quality,
     "pipeline_run": _pipeline_run,
 }
