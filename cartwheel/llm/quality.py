@@ -5,8 +5,9 @@ vector over hashed text features is shared by all grades, and ordered thresholds
 
     P(grade > k) = sigmoid(weights . features - threshold[k]),   threshold[0] < threshold[1]
 
-From these come the expected grade and the tail probability P(grade = 2), which selects documents: it must reach
-``KEEP``, or less where the model is so weak that good documents of the sample would be lost.
+From these come the expected grade and the tail probability P(grade = 2), which selects documents: it must reach ``KEEP``,
+whatever the labels are. A text that nothing speaks against (its score is 0 or more) stays as well, so that few labels, or few good ones among them, do
+not make all documents go.
 Features are the distinct words of the whole text, their beginnings and endings, and how often words
 repeat, hashed to ``DIMENSIONS`` places. A place has a weight if at least ``MIN_DOCS`` sample documents have it
 and its share in a lower grade exceeds that in the top grade by ``MIN_Z`` standard errors: what speaks against
@@ -17,17 +18,17 @@ features are gathered on the driver, which bounds it. Everything else covers all
 
 Defined results: null text counts as empty; a text without words scores 0; without any usable label all
 documents score alike and are kept. Rows are independent, so ties and repeated rows score alike. A label
-with a null id or a null grade is not used; of several labels of a document the lowest grade counts.
+with a null id or a null grade is not used; of several labels of a document the lowest grade counts, and of several rows with its id the first text in order.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass, replace
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cartwheel.llm import words
@@ -42,8 +43,7 @@ HEADS, TAIL = (4, 5), 3  # bytes of a word's beginning and ending
 SCALE = 0.5  # of a feature's value, which keeps the score of a long text in range
 RIDGE = 1e-5
 STEPS, RATE = 150, 0.1
-KEEP = 0.8  # least probability of the top grade; clean texts lie well above it
-LOSS = 0.005  # share of the sample's good documents that the selection may lose; a weak model keeps more
+KEEP = 0.7  # least probability of the top grade; clean texts lie well above it
 
 SCORES = "score double, expected_grade double, p_top double"
 
@@ -94,7 +94,6 @@ def _telling(features: list[np.ndarray], grades: np.ndarray) -> np.ndarray:
 class OrdinalModel:
     weights: np.ndarray
     thresholds: np.ndarray
-    keep: float = KEEP  # least probability of the top grade that selects a document
 
     def score(self, column: pa.Array) -> np.ndarray:
         features = text_features(column, self.weights != 0)
@@ -145,11 +144,7 @@ def fit(features: list[np.ndarray], grades: np.ndarray) -> OrdinalModel:
         theta -= RATE * (moment / (1 - 0.9**step)) / (np.sqrt(square / (1 - 0.999**step)) + 1e-8)
     weights = np.zeros(DIMENSIONS)
     weights[used] = theta[: len(used)]
-    model = OrdinalModel(weights, _thresholds(theta[len(used) :]))
-    good = [row for row, grade in zip(features, grades) if grade == steps]
-    scores = np.array([SCALE * weights[row].sum() for row in good])
-    least = float(np.quantile(model.tails(scores)[:, -1], LOSS)) if good else 0.0
-    return replace(model, keep=min(KEEP, least))
+    return OrdinalModel(weights, _thresholds(theta[len(used) :]))
 
 
 def _thresholds(theta: np.ndarray) -> np.ndarray:
@@ -165,7 +160,8 @@ def sample_features(docs: DataFrame, labels: DataFrame, *, sample: int = SAMPLE)
         .orderBy(F.xxhash64("doc_id"), "doc_id")
         .limit(sample)
     )
-    rows = docs.select("doc_id", "text").join(F.broadcast(rated), "doc_id").select("doc_id", "grade", "text")
+    labelled = docs.select("doc_id", "text").join(F.broadcast(rated), "doc_id")
+    rows = labelled.groupBy("doc_id", "grade").agg(F.min("text").alias("text"))
 
     def featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -200,6 +196,11 @@ def score_quality(docs: DataFrame, model: OrdinalModel, *, text: str = "text") -
     return in_arrow(rows, scored, f"doc {doc}, {SCORES}")
 
 
+def selected() -> Column:
+    """Whether a scored document is kept."""
+    return (F.col("p_top") >= KEEP) | (F.col("score") >= 0)
+
+
 def quality_model(spark: SparkSession, docs: DataFrame, sf_dir: str) -> OrdinalModel:
     return fit(*sample_features(docs, table(spark, sf_dir, "labels")))
 
@@ -208,11 +209,11 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = quality_model(spark, docs, sf_dir)
     return score_quality(docs, model).select(
-        "doc.doc_id", "score", "expected_grade", "p_top", (F.col("p_top") >= model.keep).alias("keep")
+        "doc.doc_id", "score", "expected_grade", "p_top", selected().alias("keep")
     )
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that are probably of the top grade."""
     model = quality_model(spark, docs, sf_dir)
-    return score_quality(docs, model).where(F.col("p_top") >= model.keep).select("doc.*")
+    return score_quality(docs, model).where(selected()).select("doc.*")

@@ -16,12 +16,41 @@ def test_held_out_documents_are_graded(spark):
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     model = Q.fit(*Q.sample_features(docs, labels.where("doc_id % 4 <> 0")))
     rows = Q.score_quality(docs.join(labels.where("doc_id % 4 = 0"), "doc_id"), model).collect()
-    kept = lambda test: np.mean([r.p_top >= model.keep for r in rows if test(r.doc)])
+    kept = lambda test: np.mean([stays(r) for r in rows if test(r.doc)])
     assert kept(lambda d: d.quality == 1 and d.toxic == 0) > 0.97
     assert kept(lambda d: d.toxic == 1) < 0.25
     assert kept(lambda d: d.quality == 0) < 0.15
 
 
+def stays(row) -> bool:
+    return row.p_top >= Q.KEEP or row.score >= 0
+
+
+@pytest.mark.parametrize("wrong", [0.01, 0.02, 0.05])
+def test_wrong_labels_do_not_let_toxic_documents_in(spark, wrong):
+    """Documents of lower grades that are labelled as good, amounting to this share of the good ones."""
+    docs, labels = (table(spark, "/root/testdata/sf0.1", name) for name in ("documents", "labels"))
+    features, grades = Q.sample_features(docs, labels)
+    draw = np.random.default_rng(5)
+    fitted = draw.random(len(grades)) < 0.75
+    given = grades.copy()
+    poor = np.flatnonzero(fitted & (grades < 2))
+    given[draw.choice(poor, int(wrong * (grades == 2).sum()), replace=False)] = 2
+    model = Q.fit([f for f, use in zip(features, fitted) if use], given[fitted])
+    held = np.flatnonzero(~fitted)
+    scores = np.array([Q.SCALE * model.weights[features[at]].sum() for at in held])
+    kept = (model.tails(scores)[:, -1] >= Q.KEEP) | (scores >= 0)
+    assert kept[grades[held] == 2].mean() > 0.97
+    assert kept[grades[held] == 1].mean() < 0.5 and kept[grades[held] == 0].mean() < 0.2
+
+
+def test_repeated_ids_are_gathered_once(spark):
+    docs = spark.range(3000).selectExpr("id % 3 AS doc_id", "concat('text ', id) AS text")
+    labels = spark.createDataFrame([(0, 1, 0), (1, 0, 0)], "doc_id bigint, quality int, toxic int")
+    features, grades = Q.sample_features(docs, labels)
+    assert len(features) == 2 and grades.tolist() == [2, 0]
+
+
 def test_thresholds_are_ordered_and_grades_follow_the_score():
     draw = random.Random(3)
     texts, grades = [], []
@@ -58,7 +87,7 @@ def test_without_usable_labels_all_stay(spark, odd_docs, rows):
     model = Q.fit(*Q.sample_features(odd_docs, labels))
     scored = Q.score_quality(odd_docs, model).collect()
     assert len(scored) == odd_docs.count()
-    assert {r.p_top for r in scored} == {scored[0].p_top} and scored[0].p_top >= model.keep
+    assert {r.p_top for r in scored} == {scored[0].p_top} and stays(scored[0])
     assert set(scored[0].doc.asDict()) == set(odd_docs.columns)
 
 
