@@ -128,34 +128,52 @@ def key_violations_by_bitmap(
         for table, df in tables.items()
         if table in others or table in unique_columns or table in required_columns
     }
-    reports = [_two_passes(tables[table], table, key) for table, key in mapped.items()]
+    reports = _two_passes(tables, mapped)
     if rest:
         reports.append(key_violations(rest, others, unique_columns, required_columns))
     return reduce(DataFrame.unionByName, reports)
 
 
-def _two_passes(df: DataFrame, table: str, key: Sequence[str]) -> DataFrame:
+def _cells(df: DataFrame, number: int, key: Sequence[str]) -> DataFrame:
+    """Each row's word and bit in the bitmap of its table's keys; neither where a column is missing."""
     lead, last = [F.col(column).cast("string") for column in key[:-1]], F.col(key[-1]).cast("bigint")
     whole = reduce(lambda a, b: a & b, [F.col(column).isNotNull() for column in key])
-    cells = df.select(
+    return df.select(
+        F.lit(number).alias("number"),
         whole.alias("whole"),
         F.when(whole, F.array(*lead, _word(last).cast("string"))).alias("cell"),
         F.when(whole, _bit(last)).alias("bit"),
         F.when(whole, last).alias("key"),
     )
-    words = cells.groupBy("whole", "cell").agg(F.count("*").alias("n"), F.bit_or("bit").alias("bits"))
-    marked = written_once(words.where(~F.col("whole") | (F.col("n") > F.bit_count("bits"))).select("whole", "cell", "n"), "repeated-words")
-    (null_rows, suspects) = marked.agg(
+
+
+def _two_passes(tables: Mapping[str, DataFrame], keys: Mapping[str, Sequence[str]]) -> list[DataFrame]:
+    """A report for each table; the first pass takes all tables together."""
+    if not keys:
+        return []
+    cells = [_cells(tables[table], number, key) for number, (table, key) in enumerate(keys.items())]
+    words = reduce(DataFrame.unionByName, cells).groupBy("number", "whole", "cell").agg(F.count("*").alias("n"), F.bit_or("bit").alias("bits"))
+    marked = written_once(
+        words.where(~F.col("whole") | (F.col("n") > F.bit_count("bits"))).select("number", "whole", "cell", "n"), "repeated-words"
+    )
+    found = marked.groupBy("number").agg(
         F.coalesce(F.sum(F.when(~F.col("whole"), F.col("n"))), F.lit(0)), F.count_if("whole")
-    ).first()
-    head = [F.lit(table).alias("table_name"), F.lit("primary key").alias("kind"), F.lit(",".join(key)).alias("key_columns")]
-    null_count = F.lit(null_rows).cast("bigint").alias("null_rows")
-    zero = F.lit(0).cast("bigint")
-    if not suspects:
-        one = marked.sparkSession.range(1)
-        return one.select(*head, null_count, zero.alias("repeated_keys"), zero.alias("excess_rows"))
-    again = cells.where("whole").join(marked.where("whole").select("cell"), "cell", "left_semi")
-    copies = again.groupBy("cell", "key").agg(F.count("*").alias("copies")).where("copies > 1")
-    return copies.agg(F.count("*").alias("repeated_keys"), F.coalesce(F.sum(F.col("copies") - 1), zero).alias("excess_rows")).select(
-        *head, null_count, "repeated_keys", "excess_rows"
     )
+    counts = {number: (null_rows, suspects) for number, null_rows, suspects in found.collect()}
+    zero, reports = F.lit(0).cast("bigint"), []
+    for number, (table, key) in enumerate(keys.items()):
+        null_rows, suspects = counts.get(number, (0, 0))
+        head = [
+            F.lit(table).alias("table_name"), F.lit("primary key").alias("kind"), F.lit(",".join(key)).alias("key_columns"),
+            F.lit(null_rows).cast("bigint").alias("null_rows"),
+        ]
+        if not suspects:
+            one = marked.sparkSession.range(1, numPartitions=1)
+            reports.append(one.select(*head, zero.alias("repeated_keys"), zero.alias("excess_rows")))
+            continue
+        suspicious = marked.where((F.col("number") == number) & F.col("whole")).select("cell")
+        copies = cells[number].where("whole").join(suspicious, "cell", "left_semi").groupBy("cell", "key").agg(F.count("*").alias("copies"))
+        repeated = copies.where("copies > 1")
+        summed = repeated.agg(F.count("*").alias("repeated_keys"), F.coalesce(F.sum(F.col("copies") - 1), zero).alias("excess_rows"))
+        reports.append(summed.select(*head, "repeated_keys", "excess_rows"))
+    return reports

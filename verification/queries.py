@@ -58,6 +58,7 @@ FIRST_STAMP, SECOND_STAMP, THIRD_STAMP = (
     "2001-08-03 00:00:00.000002",
     "2001-08-04 00:00:00.000003",
 )
+BUCKETS = 4  # of states of the test tables, which are small
 RAW_WATERMARK = "2000-01-01 00:00:00"
 LATE_FROM, LATE_DAYS = "2001-05-01 00:00:00", 180
 LINE_KEYS = ("l_orderkey", "l_linenumber")
@@ -237,7 +238,7 @@ def _order_loads(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
 def _snapshot_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A snapshot of orders after three loads, each merged into the buckets it touches."""
     with scratch_folder(spark, "snapshot") as folder:
-        snapshot = Snapshot(spark, f"{folder}/orders", ("order_id",))
+        snapshot = Snapshot(spark, f"{folder}/orders", ("order_id",), buckets=BUCKETS)
         for load in _order_loads(spark, sf_dir):
             snapshot.apply(load)
         return plain(kept(snapshot.read(), "snapshot"))
@@ -246,7 +247,8 @@ def _snapshot_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _q2_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Segments from sums that follow the changes of three loads of orders."""
     with scratch_folder(spark, "spending") as folder:
-        snapshot, spending = Snapshot(spark, f"{folder}/orders", ("order_id",)), Spending(spark, f"{folder}/spending")
+        snapshot = Snapshot(spark, f"{folder}/orders", ("order_id",), buckets=BUCKETS)
+        spending = Spending(spark, f"{folder}/spending", buckets=BUCKETS)
         for load in _order_loads(spark, sf_dir):
             spending.apply(snapshot.apply(load), snapshot.read())
         return plain(segments(kept(spending.read(), "spending"), view(spark, sf_dir, "c_users"), as_of=AS_OF))
@@ -268,7 +270,7 @@ def _q5_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Attribution after three batches of events, each with events of all days."""
     clicks, channels = view(spark, sf_dir, "c_clickstream"), view(spark, sf_dir, "c_marketing_channels")
     with scratch_folder(spark, "attribution") as folder:
-        attribution = Attribution(spark, folder)
+        attribution = Attribution(spark, folder, buckets=BUCKETS // 2)
         late = F.col("event_id") % 9 == 0
         for number, part in enumerate((~late & (F.col("event_id") % 2 == 0), ~late & (F.col("event_id") % 2 == 1), late)):
             attribution.add(clicks.where(part), str(number))
