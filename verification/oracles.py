@@ -359,7 +359,7 @@ def _column_totals(table: str, text: str) -> str:
     """Filled values, sum of the numbers and sum over the digests of other values, for each column of a result."""
     return f"""
         SELECT 'gold' AS layer, '{table}' AS table_name, column_name, count(value) AS filled,
-               round(coalesce(sum(TRY_CAST(value AS DOUBLE)), 0), 1) AS total,
+               CAST(coalesce(sum(CAST(round(TRY_CAST(value AS DOUBLE) * 10000) AS BIGINT)), 0) AS DOUBLE) / 10000 AS total,
                CAST(coalesce(sum(CAST('0x' || substr(md5(value), 1, 8) AS BIGINT))
                     FILTER (TRY_CAST(value AS DOUBLE) IS NULL), 0) AS BIGINT) AS letters
         FROM (SELECT CAST(COLUMNS(*) AS VARCHAR) FROM ({text}))
