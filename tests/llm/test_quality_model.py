@@ -44,13 +44,6 @@ def test_wrong_labels_do_not_let_toxic_documents_in(spark, wrong):
     assert kept[grades[held] == 1].mean() < 0.5 and kept[grades[held] == 0].mean() < 0.2
 
 
-def test_repeated_ids_are_gathered_once(spark):
-    docs = spark.range(3000).selectExpr("id % 3 AS doc_id", "concat('text ', id) AS text")
-    labels = spark.createDataFrame([(0, 1, 0), (1, 0, 0)], "doc_id bigint, quality int, toxic int")
-    features, grades = Q.sample_features(docs, labels)
-    assert len(features) == 2 and grades.tolist() == [2, 0]
-
-
 def test_thresholds_are_ordered_and_grades_follow_the_score():
     draw = random.Random(3)
     texts, grades = [], []
