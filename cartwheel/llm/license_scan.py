@@ -2,13 +2,14 @@
 
 Every run of ``GRAM`` words of every text is hashed and joined with the same runs of the templates, each of
 which knows its place there. A match votes for the diagonal ``place in text - place in template``, that is for
-the word at which the template would begin. Votes are added up by template and diagonal; neighbouring
-diagonals, which inserted or left out words tear apart, are merged into one span; and a span counts when it
+the word at which the template would begin. Votes are added up by template and diagonal; each diagonal is merged
+with its neighbours, as inserted or left out words tear a notice apart; and a span counts when it
 is verified. The templates are fixed text, so their table is broadcast.
 
 * A phrase is verified when one diagonal holds all its k-grams, word by word: it stands there as it is.
-* A notice, a longer text, is verified when at least ``NOTICE_SHARE`` of its k-grams are found within the
-  span, which lies within ``DRIFT`` words of the heaviest diagonal. So a notice with changed words counts as well.
+* A notice, a longer text, is verified when at least ``NOTICE_SHARE`` of its k-grams are found on a diagonal and those
+  within ``DRIFT`` words of it. So a notice with changed words counts as well. Of verified diagonals within
+  ``DRIFT`` words the heaviest (of equals the first) stays and is where the span begins; a stray vote moves nothing.
 
 The score is the largest share of a template's k-grams that a text holds, 1 for a whole phrase.
 
@@ -20,7 +21,7 @@ read the same rows in the same partitions each time, as a table does.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cartwheel.llm.exact_dedup import LOWER, UPPER
@@ -29,6 +30,7 @@ from cartwheel.llm.tables import table
 GRAM = 3
 NOTICE_SHARE = 0.6
 DRIFT = 8  # words inserted or left out within a notice
+SPAN = ("template", "diagonal", "whole", "label", "places", "votes", "found", "first_at", "last_at")
 
 # Phrases and the labels that they prove.
 PHRASES = {
@@ -80,10 +82,10 @@ def templates(spark: SparkSession, phrases: dict[str, str], notices: dict[str, s
     return spark.range(1, numPartitions=1).select(F.inline(F.array(*fixed)))
 
 
-def scan(
+def spans(
     docs: DataFrame, *, text: str = "text", id: str = "doc_id", phrases: dict[str, str] = PHRASES, notices: dict[str, str] = NOTICES
 ) -> DataFrame:
-    """Verified spans, (row, doc_id, n_words) with the span's columns, which are null once for each row."""
+    """A row for each verified span (row, doc_id, n_words and ``SPAN``), and one of each document whose span columns are null."""
     spark = docs.sparkSession
     rows = docs.select(
         F.monotonically_increasing_id().alias("row"), F.col(f"`{id}`").alias("doc_id"), text_words(F.col(f"`{text}`")).alias("words")
@@ -108,96 +110,69 @@ def scan(
     )
     same = [F.col(w) == F.col(f"t{w}") for w in words]
     votes = grams.withColumn("gram", hashed).join(F.broadcast(known), "gram").where(same[0] & same[1] & same[2])
-    return _spans(votes)
+    return _verified(votes)
 
 
-def _spans(votes: DataFrame) -> DataFrame:
-    """Votes to spans: by diagonal, then neighbouring diagonals of a template together."""
+def _verified(votes: DataFrame) -> DataFrame:
+    """Votes to spans: by diagonal, then the diagonals beside each one of a notice."""
     diagonals = votes.groupBy("row", "template", "whole", (F.col("at") - F.col("place")).alias("diagonal")).agg(
         F.first("doc_id").alias("doc_id"),
         F.first("n_words").alias("n_words"),
         F.first("label").alias("label"),
         F.first("places").alias("places"),
-        F.count(F.lit(1)).alias("votes"),
+        F.count(F.lit(1)).alias("votes"),  # each place of a template votes once for a diagonal
         F.collect_set("place").alias("found"),  # at most the places of one template
         F.min("at").alias("first_at"),
         F.max("at").alias("last_at"),
     )
-    # one row for each template of a document, with all its diagonals in order of place
-    gathered = diagonals.groupBy("row").agg(
-        F.first("doc_id").alias("doc_id"),
-        F.first("n_words").alias("n_words"),
-        F.sort_array(
-            F.collect_list(
-                F.when(
-                    F.col("template") >= 0,
-                    F.struct("template", "diagonal", "whole", "label", "places", "votes", "found", "first_at", "last_at"),
-                )
-            )
-        ).alias("diagonals"),  # of one document, no more than its matches
+    # at most 2 * DRIFT + 1 diagonals are in a frame, however many a text has
+    beside = Window.partitionBy("row", "template").orderBy("diagonal").rangeBetween(-DRIFT, DRIFT)
+    alone = F.col("whole")
+    merged = diagonals.select(
+        *("row", "doc_id", "n_words", "template", "diagonal", "whole", "label", "places", "votes"),
+        F.when(alone, F.col("found")).otherwise(F.array_distinct(F.flatten(F.collect_list("found").over(beside)))).alias("found"),
+        F.when(alone, F.col("first_at")).otherwise(F.min("first_at").over(beside)).alias("first_at"),
+        F.when(alone, F.col("last_at")).otherwise(F.max("last_at").over(beside)).alias("last_at"),
+    )
+    needed = F.when(alone, F.col("places")).otherwise(F.ceil(F.col("places") * NOTICE_SHARE))
+    verified = (F.col("template") >= 0) & (F.size("found") >= needed)
+    weight = F.struct(F.col("votes"), -F.col("diagonal"))
+    heaviest = F.max(F.when(F.col("verified"), weight)).over(beside)
+    kept = merged.withColumn("verified", verified).withColumn("heaviest", heaviest)
+    document = F.col("template") < 0
+    return kept.where(document | (F.col("verified") & (alone | (F.col("heaviest") == weight)))).select(
+        "row", "doc_id", "n_words", *[F.when(~document, F.col(name)).alias(name) for name in SPAN]
     )
-    merged = F.aggregate("diagonals", F.lit(None).cast(_MERGED), _merge, _close)
-    return gathered.select("row", "doc_id", "n_words", F.coalesce(merged["done"], F.array().cast(_DONE)).alias("spans"))
-
-
-_SPAN = "struct<template:int,diagonal:int,whole:boolean,label:string,places:int,votes:bigint,found:array<int>,first_at:int,last_at:int>"
-_DONE = f"array<{_SPAN}>"
-_MERGED = f"struct<done:{_DONE},span:{_SPAN}>"
 
 
-def _merge(state: Column, diagonal: Column) -> Column:
-    """The next diagonal of a notice joins the span before it if it is near; a phrase's diagonals stay apart."""
-    span = state["span"]
-    near = (
-        state.isNotNull()
-        & ~diagonal["whole"]
-        & (span["template"] == diagonal["template"])
-        & (diagonal["diagonal"] - span["diagonal"] <= DRIFT)
+def scan(
+    docs: DataFrame, *, text: str = "text", id: str = "doc_id", phrases: dict[str, str] = PHRASES, notices: dict[str, str] = NOTICES
+) -> DataFrame:
+    """(row, doc_id, n_words) of each document with the array of its verified spans, in order of template and place."""
+    span = F.when(F.col("template").isNotNull(), F.struct(*SPAN))
+    return (
+        spans(docs, text=text, id=id, phrases=phrases, notices=notices)
+        .groupBy("row")
+        .agg(F.first("doc_id").alias("doc_id"), F.first("n_words").alias("n_words"), F.sort_array(F.collect_list(span)).alias("spans"))
     )
-    joined = F.struct(
-        span["template"].alias("template"),
-        span["diagonal"].alias("diagonal"),
-        span["whole"].alias("whole"),
-        span["label"].alias("label"),
-        span["places"].alias("places"),
-        (span["votes"] + diagonal["votes"]).alias("votes"),
-        F.array_union(span["found"], diagonal["found"]).alias("found"),
-        F.least(span["first_at"], diagonal["first_at"]).alias("first_at"),
-        F.greatest(span["last_at"], diagonal["last_at"]).alias("last_at"),
-    ).cast(_SPAN)
-    done = F.when(state.isNull(), F.array().cast(_DONE)).otherwise(_closed(state))
-    fresh = F.struct(done.alias("done"), diagonal.cast(_SPAN).alias("span"))
-    return F.when(near, F.struct(state["done"].alias("done"), joined.alias("span"))).otherwise(fresh).cast(_MERGED)
-
-
-def _closed(state: Column) -> Column:
-    """The verified spans, with the open one if it is verified."""
-    span = state["span"]
-    verified = F.size(span["found"]) >= F.when(span["whole"], span["places"]).otherwise(F.ceil(span["places"] * NOTICE_SHARE))
-    return F.concat(state["done"], F.when(verified, F.array(span)).otherwise(F.array().cast(_DONE)))
-
-
-def _close(state: Column) -> Column:
-    closed = F.struct(_closed(state).alias("done"), state["span"].alias("span")).cast(_MERGED)
-    return F.when(state.isNotNull(), closed)
 
 
 def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = scan(table(spark, sf_dir, "documents"))
-    base = F.filter("spans", lambda span: span["whole"])
-    starts = F.transform(base, lambda span: span["diagonal"].cast("bigint"))
+    """A row for each document; of its spans only counts, places and labels are kept, so many spans cost no more than their votes."""
+    found = spans(table(spark, sf_dir, "documents"))
+    start = F.when(F.col("whole"), F.col("diagonal").cast("bigint"))
 
-    def joined(spans: Column) -> Column:
-        return F.array_join(F.array_sort(F.array_distinct(F.transform(spans, lambda span: span["label"]))), ",")
+    def joined(labels: Column) -> Column:
+        return F.array_join(F.array_sort(F.collect_set(labels)), ",")  # at most the labels of all templates
 
-    share = F.transform("spans", lambda span: F.size(span["found"]) / span["places"])
-    return found.select(
-        "doc_id",
-        F.col("n_words").cast("bigint").alias("n_words"),
-        F.size(base).cast("bigint").alias("n_base"),
-        F.array_min(starts).alias("first_word"),
-        F.array_max(starts).alias("last_word"),
-        joined(base).alias("base_labels"),
-        joined(F.col("spans")).alias("labels"),
-        F.coalesce(F.array_max(share), F.lit(0.0)).alias("score"),
+    per_document = found.groupBy("row").agg(
+        F.first("doc_id").alias("doc_id"),
+        F.first("n_words").cast("bigint").alias("n_words"),
+        F.count(start).alias("n_base"),
+        F.min(start).alias("first_word"),
+        F.max(start).alias("last_word"),
+        joined(F.when(F.col("whole"), F.col("label"))).alias("base_labels"),
+        joined(F.col("label")).alias("labels"),
+        F.coalesce(F.max(F.size("found") / F.col("places")), F.lit(0.0)).alias("score"),
     )
+    return per_document.drop("row")
