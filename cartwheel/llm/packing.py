@@ -2,11 +2,12 @@
 
 Documents are routed to tiers by length. Whole windows of the largest size are cut off long documents; what
 remains of each goes to the smallest tier that holds it, and is not cut again unless a gap needs it. Tiers
-are packed from the longest down: a piece opens a window and its gap is filled with the longest waiting
-pieces that fit, first of its own and then of shorter tiers. A window that stays short is filled by cutting
-a waiting piece. At the end of a partition the last window is cut down to windows of smaller powers of two,
-which need no padding. Sequences are then dealt to step groups of similar cost (the sum of squared piece
-lengths, which attention pays): the costliest in turn to the group with the least cost so far.
+are packed from the longest down, each into windows of its own size: a piece opens a window and its gap is filled
+with the longest waiting pieces that fit, first of its own and then of shorter tiers. A window that stays short is
+filled by cutting a waiting piece. Only the last window of a buffer may find none; it is cut down to windows of smaller
+powers of two. So all windows are full, and as each is a power of two long, none is padded. The sequences of a tier are
+then dealt to step groups of about as many tokens and of similar cost (the sum of squared piece lengths, which attention
+pays): the costliest in turn to the group with the least cost so far. What is shorter than any tier goes with the shortest.
 
 Each partition of the input is packed by itself in a stream: a buffer of at most ``BUFFER`` tokens is packed
 whenever it is full, so memory is bounded, no token is shuffled and no group can be too large. Recomputing a partition gives
@@ -40,7 +41,7 @@ END_TOKEN = 1
 WINDOW = 2048
 TIERS = (256, 512, 1024, 2048)
 BUFFER = 1 << 20
-STEP = 32  # sequences of one step group
+STEP = 32  # sequences of one step group of the longest tier; as many tokens of shorter ones
 OUT_ROWS = 2048
 
 PIECES = (
@@ -88,7 +89,7 @@ def encoded(path: str, text: str) -> list[int]:
     except ValueError:
         if path not in _slow_encoders:
             _slow_encoders[path] = tokenizers.Tokenizer.from_file(path)
-        return list(_slow_encoders[path].encode(text).ids)
+        return list(_slow_encoders[path].encode(text, add_special_tokens=False).ids)
 
 
 @dataclass
@@ -145,7 +146,7 @@ def pack(lengths: list[int]) -> list[tuple[int, list[Piece]]]:
     shelves = [Shelf([p for p in rests if low < p.length <= high]) for low, high in zip(bounds, TIERS)]
     for tier in reversed(range(len(TIERS))):
         while shelves[tier]:
-            window, gap = [], WINDOW
+            window, gap = [], TIERS[tier]
             while gap:
                 fitting = (shelves[k].take(gap) for k in range(tier, -1, -1))
                 piece = next((p for p in fitting if p is not None), None)
@@ -159,7 +160,7 @@ def pack(lengths: list[int]) -> list[tuple[int, list[Piece]]]:
                     shelves[next(k for k, size in enumerate(TIERS) if rest.length <= size)].put(rest)
                 window.append(piece)
                 gap -= piece.length
-            sequences += [(WINDOW, window)] if not gap else _powers_of_two(window)
+            sequences += [(TIERS[tier], window)] if not gap else _powers_of_two(window)
     return sequences
 
 
@@ -183,16 +184,20 @@ def _powers_of_two(window: list[Piece]) -> list[tuple[int, list[Piece]]]:
 
 
 def step_groups(sequences: list[tuple[int, list[Piece]]]) -> list[int]:
-    """A step group for each sequence: groups of ``STEP``, of balanced cost."""
-    groups = -(-len(sequences) // STEP)
-    cost = [sum(p.length**2 for p in pieces) for _, pieces in sequences]
-    open_groups = [(0, 0, group) for group in range(groups)]
-    out = [0] * len(sequences)
-    for at in sorted(range(len(sequences)), key=lambda at: (-cost[at], at)):
-        load, held, group = heapq.heappop(open_groups)
-        out[at] = group
-        if held + 1 < STEP:
-            heapq.heappush(open_groups, (load + cost[at], held + 1, group))
+    """A step group for each sequence: of one tier, of ``STEP`` windows' tokens at most, and of balanced cost within the tier."""
+    out, first = [0] * len(sequences), 0
+    for tier, shorter in zip(TIERS, (0, *TIERS)):
+        own = [at for at, (size, _) in enumerate(sequences) if shorter < size <= tier]
+        most = STEP * (WINDOW // tier)
+        groups = -(-len(own) // most)
+        cost = {at: sum(p.length**2 for p in sequences[at][1]) for at in own}
+        open_groups = [(0, 0, first + group) for group in range(groups)]
+        for at in sorted(own, key=lambda at: (-cost[at], at)):
+            load, held, group = heapq.heappop(open_groups)
+            out[at] = group
+            if held + 1 < most:
+                heapq.heappush(open_groups, (load + cost[at], held + 1, group))
+        first += groups
     return out
 
 

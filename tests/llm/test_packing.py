@@ -2,7 +2,7 @@
 
 import random
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
@@ -88,23 +88,44 @@ def test_pack_any_lengths(seed):
 
 
 def test_gaps_are_filled_from_shorter_tiers_before_anything_is_cut():
-    sequences = P.pack([1500, 500, 48, 1000, 1000, 48])
-    assert [sorted((p.doc, p.length) for p in own) for _, own in sequences[:2]] == [
-        [(0, 1500), (1, 500), (2, 48)],
-        [(3, 1000), (4, 1000), (5, 48)],
+    sequences = P.pack([1500, 500, 48, 1000, 24, 1000, 10, 14])
+    assert [(tier, sorted((p.doc, p.length) for p in own)) for tier, own in sequences[:3]] == [
+        (2048, [(0, 1500), (1, 500), (2, 48)]),
+        (1024, [(3, 1000), (4, 24)]),
+        (1024, [(5, 1000), (6, 10), (7, 14)]),
     ]
+    assert len(sequences) == 3
+
+
+def lengths_of_all_tiers():
+    draw, bounds = random.Random(3), (0, *P.TIERS)
+    routed = draw.choices(range(len(P.TIERS)), weights=(12, 4, 2, 1), k=6000)  # gaps of longer windows take many short ones
+    return [draw.randrange(bounds[tier], bounds[tier + 1]) + 1 for tier in routed]
+
+
+def test_each_tier_has_windows_of_its_own_size():
+    sequences = P.pack(lengths_of_all_tiers())
+    windows = Counter(tier for tier, _ in sequences)
+    assert all(windows[tier] > 100 for tier in P.TIERS)
+    assert sum(n for tier, n in windows.items() if tier not in P.TIERS) <= 8  # of the last window
+    for tier, own in sequences:
+        if tier in P.TIERS:
+            assert all(piece.length <= tier for piece in own)
 
 
 def test_steps_are_balanced():
-    draw = random.Random(1)
-    sequences = P.pack([draw.randrange(1, 4000) for _ in range(5000)])
+    sequences = P.pack(lengths_of_all_tiers())
     steps = P.step_groups(sequences)
-    cost, size = defaultdict(int), defaultdict(int)
-    for (_, own), step in zip(sequences, steps):
+    cost, size, tiers = defaultdict(int), defaultdict(int), defaultdict(set)
+    for (tier, own), step in zip(sequences, steps):
         cost[step] += sum(p.length**2 for p in own)
         size[step] += 1
-    assert max(size.values()) <= P.STEP
-    assert max(cost.values()) <= 1.1 * min(cost.values())
+        tiers[step].add(max(tier, P.TIERS[0]))
+    assert all(len(own) == 1 for own in tiers.values())
+    for tier in P.TIERS:
+        groups = [step for step in tiers if tiers[step] == {tier}]
+        assert groups and max(size[step] for step in groups) <= P.STEP * P.WINDOW // tier
+        assert max(cost[step] for step in groups) <= 1.1 * min(cost[step] for step in groups)
 
 
 def test_odd_documents(odd_docs, no_docs, tokenizer):
