@@ -3,14 +3,15 @@
 A BPE vocabulary is applied to a text as SentencePiece does it: a blank is put in front, blanks become a
 letter of their own, and the best-scored pair of neighbouring pieces is merged (the leftmost of equals)
 until no two neighbours make a piece. With dropout, each candidate merge on that agenda is skipped with
-probability ``DROPOUT``, by a hash keyed with the seed, the unit (about a word and the blanks before it), one of
-``VARIANTS`` variants and the places of both pieces. Which variant a unit takes is hashed from the
-seed, the document's id and the unit's place. So segmentations vary within and between documents and from seed to seed, and
-are the same in every run. Without dropout they are SentencePiece's own.
+probability ``DROPOUT``, by a hash keyed with the seed, the document's id, the place of the unit (about a word and the
+blanks before it) in the text and the places of both pieces in it. So every occurrence of a word is cut by decisions of its own,
+which are the same in every run. Without dropout the segmentations are SentencePiece's own.
 
 As the hash decides on a candidate the same way whenever it is looked at, the agenda needs no order of its
-own: the units are worked off together in NumPy, each round merging the best candidate left of every unit.
-Long units go through a heap one by one, with the same result.
+own: units are worked off together in NumPy, each round merging the best candidate left of every unit.
+A worker remembers the merges of each distinct unit. An occurrence whose hashes skip none of them has those
+pieces; where one is skipped, the merges of the unit without that candidate are looked up in the same way. After
+``LEVELS`` skips, and if it is long, a unit is encoded by itself, with the same result.
 
 Letters outside the vocabulary, and the letter that stands for a blank if a text holds it, are written as
 bytes. Decoding joins pieces and bytes and takes the first blank off, which gives back every text exactly.
@@ -33,14 +34,15 @@ from pyspark.sql import functions as F
 
 from cartwheel.llm import words
 from cartwheel.llm.tables import in_arrow, table
-from cartwheel.llm.units import SLICE, Units
+from cartwheel.llm.units import CACHED, SLICE, Units
 
 MODEL = "piece_bpe_32k.model"
 BLANK = "▁"
 DROPOUT = 0.1
-VARIANTS = 4
+LEVELS = 3  # sets of skipped candidates, by size, whose merges a worker remembers
 SEED = 17
 LONG = 48  # letters of a unit that goes through a heap
+FEW = 8  # so do units of a length that no more have
 NULL_ID = 0x7D1F3B9A52C84E61
 
 
@@ -116,53 +118,128 @@ class Vocabulary:
         return self.bytes[shift + np.arange(len(shift))][1:].tobytes()
 
 
-def skipped(keys: np.ndarray, begin: np.ndarray, middle: np.ndarray, end: np.ndarray, dropout: float) -> np.ndarray:
-    """Whether candidates of pieces from ``begin`` to ``middle`` to ``end`` are skipped, under a unit's key."""
-    place = (begin.astype(np.uint64) << np.uint64(42)) | (middle.astype(np.uint64) << np.uint64(21)) | end.astype(np.uint64)
-    return words.mix(keys ^ words.mix(place + np.uint64(1))) < np.uint64(int(dropout * 2**64))
+def places(begin: np.ndarray, middle: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """A hash of the candidates of pieces from ``begin`` to ``middle`` to ``end``."""
+    begin, middle, end = (np.asarray(at).astype(np.uint64) for at in (begin, middle, end))
+    return words.mix(words.mix(begin * words.STEP + middle) + end)
+
+
+def limit(dropout: float) -> np.uint64:
+    return np.uint64(int(dropout * 2**64))
+
+
+def skipped(keys: np.ndarray, places: np.ndarray, dropout: float) -> np.ndarray:
+    """Whether candidates are skipped under the key of an occurrence."""
+    return words.mix(keys ^ places) < limit(dropout)
+
+
+_ALL = 2**64 - 1
+_STEP, _MIX_1, _MIX_2 = (int(value) for value in (words.STEP, words._MIX_1, words._MIX_2))
+
+
+def _mix(value: int) -> int:
+    """``words.mix`` of one integer."""
+    value &= _ALL
+    value = (value ^ (value >> 30)) * _MIX_1 & _ALL
+    value = (value ^ (value >> 27)) * _MIX_2 & _ALL
+    return value ^ (value >> 31)
+
+
+class Dropped:
+    """Candidates that are skipped by hash, under a key for each unit."""
+
+    def __init__(self, keys: np.ndarray, dropout: float):
+        self.keys, self.dropout, self.any = keys, dropout, dropout > 0
+
+    def of(self, units: np.ndarray) -> Dropped:
+        return Dropped(self.keys[units], self.dropout)
+
+    def hold(self, places: np.ndarray) -> np.ndarray:
+        return skipped(self.keys[:, None], places, self.dropout)
+
+    def holds(self, place: int) -> bool:
+        """The same for one place of one unit."""
+        return _mix(int(self.keys[0]) ^ place) < int(limit(self.dropout))
+
+
+class Without:
+    """Candidates that are left out, a row of places for each unit."""
+
+    def __init__(self, places: np.ndarray):
+        self.places, self.any = places, places.shape[1] > 0
+
+    def of(self, units: np.ndarray) -> Without:
+        return Without(self.places[units])
+
+    def hold(self, places: np.ndarray) -> np.ndarray:
+        held = np.zeros(places.shape, dtype=bool)
+        for column in self.places.T:
+            held |= places == column[:, None]
+        return held
+
+    def holds(self, place: int) -> bool:
+        return place in self.places[0].tolist()
 
 
 class Encoder:
-    """Encodes units of letters; equal units under equal keys have equal pieces."""
+    """Encodes units of letters; ``steps`` also tells the merges."""
 
     def __init__(self, vocabulary: Vocabulary, dropout: float):
         self.vocabulary, self.dropout = vocabulary, dropout
 
     def __call__(self, units: Sequence[bytes], keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """All ids, and how many each unit has, under the keys of their occurrences."""
+        ids, lengths, _ = self._encode(units, Dropped(keys, self.dropout))
+        return ids, lengths
+
+    def steps(self, units: Sequence[bytes], without: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """All ids, how many each unit has, the places merged in order, and how many; a row of ``without`` is left out for each unit."""
+        ids, lengths, merged = self._encode(units, Without(without))
+        own, places_ = (np.concatenate([part for part in parts]) for parts in zip(*merged)) if merged else (np.zeros(0, np.int64), np.zeros(0, np.uint64))
+        order = np.argsort(own, kind="stable")
+        return ids, lengths, places_[order], np.bincount(own, minlength=len(units))
+
+    def _encode(self, units: Sequence[bytes], skips: Dropped | Without) -> tuple[np.ndarray, np.ndarray, list[tuple[np.ndarray, np.ndarray]]]:
         texts = [unit.decode("utf-8") for unit in units]
         sizes = np.fromiter(map(len, texts), np.int64, len(texts))
         letters = np.frombuffer("".join(texts).encode("utf-32-le"), dtype=np.uint32).astype(np.int64)
         ends = np.cumsum(sizes)
         pieces = self.vocabulary.letter[letters]
         out: list[np.ndarray | None] = [None] * len(units)
-        for size in np.unique(sizes).tolist():
+        merged: list[tuple[np.ndarray, np.ndarray]] = []
+        distinct, counts = np.unique(sizes, return_counts=True)
+        for size, count in zip(distinct.tolist(), counts.tolist()):
             chosen = np.flatnonzero(sizes == size)
-            if size > LONG:
+            if size > LONG or count <= FEW:
                 for unit in chosen.tolist():
-                    out[unit] = self.by_heap(pieces[ends[unit] - size : ends[unit]], keys[unit])
+                    out[unit], done = self.by_heap(pieces[ends[unit] - size : ends[unit]], skips.of(np.array([unit])))
+                    merged.append((np.full(len(done), unit), done))
                 continue
             at = (ends[chosen] - size)[:, None] + np.arange(size)[None, :]
-            for unit, found in zip(chosen.tolist(), self._together(pieces[at], keys[chosen])):
-                out[unit] = found
+            found, done = self._together(pieces[at], skips.of(chosen))
+            for unit, own in zip(chosen.tolist(), found):
+                out[unit] = own
+            merged += [(chosen[own], at) for own, at in done]
         for unit in np.flatnonzero(np.bincount(np.repeat(np.arange(len(units)), sizes), weights=pieces < 0, minlength=len(units))):
             out[unit] = self._with_bytes(out[unit], texts[unit])
         lengths = np.fromiter(map(len, out), np.int64, len(out))
-        return np.concatenate([np.zeros(0, np.int64), *out]).astype(np.int32), lengths
+        return np.concatenate([np.zeros(0, np.int64), *out]).astype(np.int32), lengths, merged
 
-    def _candidates(self, pieces: np.ndarray, bounds: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    def _candidates(self, pieces: np.ndarray, bounds: np.ndarray, skips: Dropped | Without) -> np.ndarray:
         """What each two neighbours make, or -1; ``bounds`` has one more place than ``pieces``."""
         made = self.vocabulary.joined(pieces[:, :-1], pieces[:, 1:])
-        if self.dropout:
-            made[skipped(keys[:, None], bounds[:, :-2], bounds[:, 1:-1], bounds[:, 2:], self.dropout)] = -1
+        if skips.any:
+            made[skips.hold(places(bounds[:, :-2], bounds[:, 1:-1], bounds[:, 2:]))] = -1
         return made
 
-    def _together(self, pieces: np.ndarray, keys: np.ndarray) -> list[np.ndarray]:
-        """The pieces of units of one length, all merged one step a round."""
+    def _together(self, pieces: np.ndarray, skips: Dropped | Without) -> tuple[list[np.ndarray], list[tuple[np.ndarray, np.ndarray]]]:
+        """The pieces of units of one length, all merged one step a round, and for each round the units and the places merged."""
         count, size = pieces.shape
         out: list[np.ndarray | None] = [None] * count
+        merged: list[tuple[np.ndarray, np.ndarray]] = []
         units = np.arange(count)
         bounds = np.broadcast_to(np.arange(size + 1), (count, size + 1))
-        made = self._candidates(pieces, bounds, keys)
+        made = self._candidates(pieces, bounds, skips)
         while size > 1 and len(units):
             score = self.vocabulary.scores[made]
             best = np.argmax(score, axis=1)
@@ -170,9 +247,13 @@ class Encoder:
             if not open_.all():
                 for unit, found in zip(units[~open_].tolist(), pieces[~open_]):
                     out[unit] = found
-                units, keys, pieces, bounds, best, made = (a[open_] for a in (units, keys, pieces, bounds, best, made))
+                units, pieces, bounds, best, made = (a[open_] for a in (units, pieces, bounds, best, made))
+                skips = skips.of(np.flatnonzero(open_))
+                if not len(units):
+                    break
             each = np.arange(len(units))
             new = made[each, best]
+            merged.append((units, places(bounds[each, best], bounds[each, best + 1], bounds[each, best + 2])))
             size -= 1
             place = np.arange(size + 1)[None, :]
             at = place + (place > best[:, None])
@@ -185,21 +266,21 @@ class Encoder:
                 held = np.flatnonzero((left >= 0) & (left < size - 1))
                 beside = left[held, None] + np.arange(3)[None, :]
                 fresh = self._candidates(
-                    np.take_along_axis(pieces[held], beside[:, :2], 1), np.take_along_axis(bounds[held], beside, 1), keys[held]
+                    np.take_along_axis(pieces[held], beside[:, :2], 1), np.take_along_axis(bounds[held], beside, 1), skips.of(held)
                 )
                 made[held, left[held]] = fresh[:, 0]
         for unit, found in zip(units.tolist(), pieces):
             out[unit] = found
-        return out
+        return out, merged
 
-    def by_heap(self, pieces: np.ndarray, key: np.uint64) -> np.ndarray:
-        """The pieces of one unit, by an agenda of candidate merges in order of score."""
+    def by_heap(self, pieces: np.ndarray, skips: Dropped | Without) -> tuple[np.ndarray, np.ndarray]:
+        """The pieces of one unit and the places merged, by an agenda of candidate merges in order of score."""
         vocabulary, size = self.vocabulary, len(pieces)
         piece = pieces.tolist()
         end = list(range(1, size + 1))  # of the piece that begins here
         before = list(range(-1, size - 1))
         agenda: list[tuple[float, int, int, int, int]] = []
-        one = np.array([key], dtype=np.uint64)
+        merged: list[int] = []
 
         def propose(left: int, right: int) -> None:
             made = vocabulary.merge.get((piece[left], piece[right]))
@@ -213,15 +294,17 @@ class Encoder:
             _, left, right, stop, made = heapq.heappop(agenda)
             if gone[left] or gone[right] or end[left] != right or end[right] != stop:
                 continue
-            if self.dropout and skipped(one, np.array([left]), np.array([right]), np.array([stop]), self.dropout)[0]:
+            place = _mix((_mix(left * _STEP + right) + stop))
+            if skips.any and skips.holds(place):
                 continue
+            merged.append(place)
             piece[left], end[left], gone[right] = made, stop, True
             if stop < size:
                 before[stop] = left
                 propose(left, stop)
             if left:
                 propose(before[left], left)
-        return np.array([piece[at] for at in range(size) if not gone[at]], dtype=np.int64)
+        return np.array([piece[at] for at in range(size) if not gone[at]], dtype=np.int64), np.array(merged, dtype=np.uint64)
 
     def _with_bytes(self, pieces: np.ndarray, text: str) -> np.ndarray:
         """The pieces with the bytes of the letters that the vocabulary lacks."""
@@ -232,6 +315,74 @@ class Encoder:
         return np.array(out, dtype=np.int64)
 
 
+class DroppedUnits(Units):
+    """Pieces of occurrences of units, each under a key of its own.
+
+    ``known`` leads from a hash of a unit and the candidates left out of it to its pieces and merges.
+    """
+
+    def __init__(self, encoder: Encoder, apart: np.ndarray):
+        self.encoder = encoder
+        super().__init__(encoder, apart)
+
+    def _forget(self) -> None:
+        super()._forget()
+        self.merge_begin, self.merge_count = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.merges = np.zeros(0, np.uint64)
+
+    def _entries(self, raw: bytes, starts: np.ndarray, stops: np.ndarray, nodes: np.ndarray, without: np.ndarray) -> np.ndarray:
+        """Where the pieces and merges of units without some candidates are remembered."""
+        distinct, first, place = np.unique(nodes, return_index=True, return_inverse=True)
+        listed = distinct.tolist()
+        missing = [at for at, node in enumerate(listed) if node not in self.known]
+        if missing:
+            at = first[missing]
+            units = [raw[b:e] for b, e in zip(starts[at].tolist(), stops[at].tolist())]
+            ids, lengths, merges, counts = self.encoder.steps(units, without[at])
+            known = len(self.begin)
+            self.begin = np.concatenate([self.begin, len(self.flat) + np.cumsum(lengths) - lengths])
+            self.length = np.concatenate([self.length, lengths])
+            self.flat = np.concatenate([self.flat, ids])
+            self.merge_begin = np.concatenate([self.merge_begin, len(self.merges) + np.cumsum(counts) - counts])
+            self.merge_count = np.concatenate([self.merge_count, counts])
+            self.merges = np.concatenate([self.merges, merges])
+            self.known.update(zip(distinct[missing].tolist(), range(known, known + len(missing))))
+        return np.fromiter(map(self.known.__getitem__, listed), np.int64, len(listed))[place]
+
+    def _ids(self, data: np.ndarray, starts: np.ndarray, stops: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """``keys`` has the units' hashes and the occurrences' keys."""
+        hashed, own = keys
+        if len(self.known) > CACHED:
+            self._forget()
+        raw = data.tobytes()
+        entry = np.full(len(hashed), -1, dtype=np.int64)
+        left = np.flatnonzero(stops - starts <= LONG)
+        nodes, without = hashed[left], np.zeros((len(left), 0), dtype=np.uint64)
+        for _ in range(LEVELS):
+            at = self._entries(raw, starts[left], stops[left], nodes, without)
+            entry[left] = at
+            counts = self.merge_count[at]
+            ends = np.cumsum(counts)
+            each = np.repeat(np.arange(len(left)), counts)
+            merges = self.merges[np.repeat(self.merge_begin[at] - (ends - counts), counts) + np.arange(len(each))]
+            hits = np.flatnonzero(skipped(own[left][each], merges, self.encoder.dropout))
+            open_, first = np.unique(each[hits], return_index=True)
+            skips = merges[hits[first]]
+            left, nodes = left[open_], words.mix(nodes[open_] ^ skips)
+            without = np.concatenate([without[open_], skips[:, None]], axis=1)
+            entry[left] = -1
+            if not len(left):
+                break
+        alone = np.flatnonzero(entry < 0)
+        ids, own_lengths = self.encoder([raw[b:e] for b, e in zip(starts[alone].tolist(), stops[alone].tolist())], own[alone])
+        flat = np.concatenate([self.flat, ids])
+        begin, lengths = self.begin[entry] if len(self.begin) else np.zeros(len(entry), np.int64), np.zeros(len(entry), np.int64)
+        lengths[entry >= 0] = self.length[entry[entry >= 0]]
+        begin[alone], lengths[alone] = len(self.flat) + np.cumsum(own_lengths) - own_lengths, own_lengths
+        ends = np.cumsum(lengths)
+        return flat[np.repeat(begin - (ends - lengths), lengths) + np.arange(int(lengths.sum()))], lengths
+
+
 _vocabularies: dict[str, Vocabulary] = {}
 _units: dict[tuple[str, float], Units] = {}
 
@@ -245,22 +396,30 @@ def vocabulary(path: str) -> Vocabulary:
 def units(path: str, dropout: float) -> Units:
     """The units that this worker remembers."""
     if (path, dropout) not in _units:
-        _units[path, dropout] = Units(Encoder(vocabulary(path), dropout), vocabulary(path).apart())
+        kind = DroppedUnits if dropout else Units
+        _units[path, dropout] = kind(Encoder(vocabulary(path), dropout), vocabulary(path).apart())
     return _units[path, dropout]
 
 
-def encoded(column: pa.Array, ids: pa.Array, path: str, *, dropout: float, seed: int, variants: int = VARIANTS) -> Iterator[np.ndarray]:
+def occurrence_keys(documents: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """The keys of units at a place in documents with these keys."""
+    return words.mix(documents + place.astype(np.uint64) * words.STEP)
+
+
+def document_keys(ids: pa.Array, seed: int) -> np.ndarray:
+    return words.mix(pc.fill_null(ids, NULL_ID).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64) ^ np.uint64(seed * 2 + 1))
+
+
+def encoded(column: pa.Array, ids: pa.Array, path: str, *, dropout: float, seed: int) -> Iterator[np.ndarray]:
     """The pieces of each text."""
-    own = words.mix(pc.fill_null(ids, NULL_ID).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64) ^ np.uint64(seed * 2 + 1))
-    salt = words.mix(np.uint64(seed) * np.uint64(2) + np.arange(variants, dtype=np.uint64) * words.STEP)
+    own = document_keys(ids, seed)
 
     def keyed(begin: int, hashed: np.ndarray, before: np.ndarray, first: int) -> np.ndarray:
         if not dropout:
             return hashed
         counts = np.diff(before)
         place = np.arange(len(hashed)) - np.repeat(before[:-1], counts)
-        chosen = words.mix(np.repeat(own[begin + first : begin + first + len(counts)], counts) + place.astype(np.uint64)) % np.uint64(variants)
-        return words.mix(hashed ^ salt[chosen.astype(np.int64)])
+        return np.stack([hashed, occurrence_keys(np.repeat(own[begin + first : begin + first + len(counts)], counts), place)])
 
     known = units(path, dropout)
     for begin, end in words.slices(column, SLICE):  # texts are copied, so a few at a time
@@ -295,7 +454,6 @@ def encode_documents(
     model: str | None = None,
     dropout: float = DROPOUT,
     seed: int = SEED,
-    variants: int = VARIANTS,
 ) -> DataFrame:
     """The other columns as a struct ``doc``, with the pieces' ids as little-endian unsigned 32-bit integers; null for a null text."""
     path = model or public_tokenizers.path(MODEL)
@@ -304,7 +462,7 @@ def encode_documents(
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = encoded(batch.column("text"), batch.column("id"), path, dropout=dropout, seed=seed, variants=variants)
+            found = encoded(batch.column("text"), batch.column("id"), path, dropout=dropout, seed=seed)
             yield from _packed_batches([batch.column("doc"), pc.is_null(batch.column("text"))], found, ["doc", "none", "ids"])
 
     doc = docs.select(others).schema["doc"].dataType.simpleString()

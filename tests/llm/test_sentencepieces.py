@@ -10,6 +10,7 @@ import sentencepiece
 
 from cartwheel.llm import sentencepieces as S
 from cartwheel.llm.queries import QUERIES
+from cartwheel.llm.units import unit_starts
 
 PATH = public_tokenizers.path(S.MODEL)
 PARTS = [" ", "\n", "\t", "a", "B", "é", "ß", "1", ".", "s", "  ", "漢", "😀", "\u0085", "\r\n", "x", "　", "the", "ing", "\x00"]
@@ -57,6 +58,77 @@ def test_segmentations_vary_by_seed_document_and_place():
     assert one[: len(first)] * 40 != one
 
 
+def mixed(value):
+    for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+        value = (value ^ (value >> shift)) * factor % 2**64
+    return value ^ (value >> 31)
+
+
+def plain_agenda(library, unit, key, dropout):
+    """A unit's pieces, by looking over all neighbours for each merge."""
+    held = [(S.BLANK if letter == " " else letter, at, at + 1) for at, letter in enumerate(unit)]
+    held = [(piece if piece != S.BLANK or unit[at] == " " else None, at, end) for piece, at, end in held]
+    while True:
+        best = None
+        for at, (left, right) in enumerate(zip(held, held[1:])):
+            if left[0] is None or right[0] is None:
+                continue
+            number = library.piece_to_id(left[0] + right[0])
+            if number == library.unk_id() or not (S.vocabulary(PATH).plain.get(left[0]) and S.vocabulary(PATH).plain.get(right[0])):
+                continue
+            place = mixed((mixed((left[1] * 0xD1342543DE82EF95 + left[2]) % 2**64) + right[2]) % 2**64)
+            if dropout and mixed(key ^ place) < int(dropout * 2**64):
+                continue
+            if best is None or library.get_score(number) > best[0]:
+                best = (library.get_score(number), at)
+        if best is None:
+            break
+        at = best[1]
+        held[at : at + 2] = [(held[at][0] + held[at + 1][0], held[at][1], held[at + 1][2])]
+    out = []
+    for piece, begin, _ in held:
+        number = S.vocabulary(PATH).plain.get(piece)
+        out += [number] if number is not None else [library.piece_to_id(f"<0x{byte:02X}>") for byte in unit[begin].encode()]
+    return out
+
+
+@pytest.mark.parametrize("dropout", [0.1, 0.5])
+def test_dropout_against_a_plain_agenda(library, texts, dropout):
+    chosen = [*texts[:150], "the quick understanding of international relations " * 5, "x" * 120, "the" * 30]
+    keys = S.document_keys(pa.array(range(len(chosen)), pa.int64()), 1)
+    apart = S.vocabulary(PATH).apart()
+    for text, key, found in zip(chosen, keys, pieces(chosen, dropout)):
+        data = np.frombuffer((" " + text if text else "").encode(), dtype=np.uint8)
+        starts = unit_starts(data, np.array([0, len(data)]), apart) if len(data) else np.zeros(0, int)
+        own = S.occurrence_keys(np.full(len(starts), key), np.arange(len(starts))).tolist()
+        units = [data[b:e].tobytes().decode() for b, e in zip(starts, [*starts[1:], len(data)])]
+        assert found == [piece for unit, k in zip(units, own) for piece in plain_agenda(library, unit, k, dropout)]
+
+
+def test_a_frequent_word_has_all_its_segmentations():
+    text = " ".join(["international"] * 3000)
+    draw = pieces([text], 0.3)[0]
+    vocabulary = S.vocabulary(PATH)
+    found, word, spelled = set(), [], ""
+    for piece in draw:
+        word.append(piece)
+        spelled += vocabulary.bytes[vocabulary.begin[piece] : vocabulary.begin[piece] + vocabulary.length[piece]].tobytes().decode()
+        if spelled == " international":
+            found.add(tuple(word))
+            word, spelled = [], ""
+    assert not word and len(found) > 100
+    assert len({tuple(pieces([" ".join(["the"] * 200)], 0.1, ids=[i])[0]) for i in range(20)}) == 20
+
+
+def test_memory_of_units_changes_nothing(texts, monkeypatch):
+    one = pieces(texts, 0.3)
+    monkeypatch.setattr(S, "LEVELS", 1)
+    monkeypatch.setattr(S, "CACHED", 5)
+    S._units.clear()
+    assert pieces(texts, 0.3) == one
+    S._units.clear()
+
+
 def test_agenda_by_heap_gives_the_same_pieces(texts):
     draw = random.Random(2)
     for dropout in (0.0, 0.2, 0.6):
@@ -64,16 +136,25 @@ def test_agenda_by_heap_gives_the_same_pieces(texts):
         for text in texts:
             if 1 < len(text) <= 60:
                 letters = S.vocabulary(PATH).letter[np.frombuffer(text.encode("utf-32-le"), dtype=np.uint32)]
-                key = np.uint64(draw.getrandbits(64))
-                assert encoder._together(letters[None, :], np.array([key]))[0].tolist() == encoder.by_heap(letters, key).tolist()
+                skips = S.Dropped(np.array([draw.getrandbits(64)], dtype=np.uint64), dropout)
+                found, merged = encoder._together(letters[None, :], skips)
+                heap, order = encoder.by_heap(letters, skips)
+                assert found[0].tolist() == heap.tolist()
+                assert [int(at[0]) for _, at in merged] == order.tolist()
 
 
 def test_share_of_skipped_candidates():
     at = np.arange(40_000)
-    share = S.skipped(at.astype(np.uint64), at % 7, at % 7 + 1, at % 7 + 2, 0.1).mean()
+    share = S.skipped(at.astype(np.uint64), S.places(at % 7, at % 7 + 1, at % 7 + 2), 0.1).mean()
     assert 0.09 < share < 0.11
 
 
+def test_a_unit_of_a_million_letters():
+    text = "ab" * 500_000
+    found = pieces([text], 0.1)[0]
+    assert S.vocabulary(PATH).decode(np.array(found)).decode() == text
+
+
 def test_query_is_lossless_and_repeatable(spark, sf_dir):
     one, two = (sorted(QUERIES["op8_sentencepiece"](spark, sf_dir).collect()) for _ in range(2))
     assert one == two and all(row.lossless for row in one)
