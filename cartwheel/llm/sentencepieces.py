@@ -42,10 +42,16 @@ DROPOUT = 0.1
 LEVELS = 3  # sets of skipped candidates, by size, whose merges a worker remembers
 SEED = 17
 LONG = 48  # letters of a unit that goes through a heap
-FEW = 8  # so do units of a length that no more have
+FEW = 3  # so do units of a length that no more have
+SLOT_BITS = 20  # of the table of merges
 NULL_ID = 0x7D1F3B9A52C84E61
 
 
+def _slots(pairs: np.ndarray) -> np.ndarray:
+    """Where pairs of pieces are looked up."""
+    return ((pairs.view(np.uint64) * words.STEP) >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
+
+
 class Vocabulary:
     """Pieces, merges and bytes of a SentencePiece BPE model with byte fallback."""
 
@@ -75,6 +81,10 @@ class Vocabulary:
         keys = np.array([left * size + right for left, right in merges], dtype=np.int64)
         order = np.argsort(keys)
         self.keys, self.merged = keys[order], np.array(list(merges.values()), dtype=np.int64)[order]
+        slots = _slots(self.keys)
+        self.slot = np.zeros(1 << SLOT_BITS, dtype=np.int32)
+        self.slot[slots] = np.arange(len(slots))
+        self.shared = np.bincount(slots, minlength=1 << SLOT_BITS) > 1  # by several pairs, which are searched for
         # letters to pieces; -1 for those that are written as several bytes
         self.letter = np.full(0x110000, -1, dtype=np.int64)
         for byte in range(0x80):
@@ -107,8 +117,14 @@ class Vocabulary:
     def joined(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """The piece that each pair makes, or -1."""
         wanted = left * self.size + right
-        at = np.minimum(np.searchsorted(self.keys, wanted), len(self.keys) - 1)
-        return np.where((left >= 0) & (right >= 0) & (self.keys[at] == wanted), self.merged[at], -1)
+        slot = _slots(wanted)
+        at = self.slot[slot]
+        found = np.where((left >= 0) & (right >= 0) & (self.keys[at] == wanted), self.merged[at], -1)
+        shared = np.nonzero(self.shared[slot] & (left >= 0) & (right >= 0))
+        if len(shared[0]):
+            at = np.minimum(np.searchsorted(self.keys, wanted[shared]), len(self.keys) - 1)
+            found[shared] = np.where(self.keys[at] == wanted[shared], self.merged[at], -1)
+        return found
 
     def decode(self, ids: np.ndarray) -> bytes:
         """The text of the pieces, without the blank that encoding puts in front."""
@@ -264,11 +280,12 @@ class Encoder:
             # only the new piece has new neighbours
             for left in (best - 1, best):
                 held = np.flatnonzero((left >= 0) & (left < size - 1))
-                beside = left[held, None] + np.arange(3)[None, :]
-                fresh = self._candidates(
-                    np.take_along_axis(pieces[held], beside[:, :2], 1), np.take_along_axis(bounds[held], beside, 1), skips.of(held)
-                )
-                made[held, left[held]] = fresh[:, 0]
+                at = left[held]
+                fresh = self.vocabulary.joined(pieces[held, at], pieces[held, at + 1])
+                if skips.any:
+                    beside = places(bounds[held, at], bounds[held, at + 1], bounds[held, at + 2])
+                    fresh[skips.of(held).hold(beside[:, None])[:, 0]] = -1
+                made[held, at] = fresh
         for unit, found in zip(units.tolist(), pieces):
             out[unit] = found
         return out, merged
@@ -331,23 +348,28 @@ class DroppedUnits(Units):
         self.merges = np.zeros(0, np.uint64)
 
     def _entries(self, raw: bytes, starts: np.ndarray, stops: np.ndarray, nodes: np.ndarray, without: np.ndarray) -> np.ndarray:
-        """Where the pieces and merges of units without some candidates are remembered."""
-        distinct, first, place = np.unique(nodes, return_index=True, return_inverse=True)
-        listed = distinct.tolist()
-        missing = [at for at, node in enumerate(listed) if node not in self.known]
-        if missing:
-            at = first[missing]
-            units = [raw[b:e] for b, e in zip(starts[at].tolist(), stops[at].tolist())]
-            ids, lengths, merges, counts = self.encoder.steps(units, without[at])
-            known = len(self.begin)
-            self.begin = np.concatenate([self.begin, len(self.flat) + np.cumsum(lengths) - lengths])
-            self.length = np.concatenate([self.length, lengths])
-            self.flat = np.concatenate([self.flat, ids])
-            self.merge_begin = np.concatenate([self.merge_begin, len(self.merges) + np.cumsum(counts) - counts])
-            self.merge_count = np.concatenate([self.merge_count, counts])
-            self.merges = np.concatenate([self.merges, merges])
-            self.known.update(zip(distinct[missing].tolist(), range(known, known + len(missing))))
-        return np.fromiter(map(self.known.__getitem__, listed), np.int64, len(listed))[place]
+        """Where the pieces and merges of units without some candidates are remembered; -1 if it is not worth it.
+
+        A unit without candidates that is met but once here is cheaper encoded by itself.
+        """
+        distinct, first, place, times = np.unique(nodes, return_index=True, return_inverse=True, return_counts=True)
+        at = np.fromiter((self.known.get(node, -1) for node in distinct.tolist()), np.int64, len(distinct))
+        missing = np.flatnonzero((at < 0) & ((times > 1) | (without.shape[1] == 0)))
+        if len(missing):
+            at[missing] = len(self.begin) + np.arange(len(missing))
+            self._learn_merges(raw, starts[first[missing]], stops[first[missing]], distinct[missing], without[first[missing]])
+        return at[place]
+
+    def _learn_merges(self, raw: bytes, starts: np.ndarray, stops: np.ndarray, nodes: np.ndarray, without: np.ndarray) -> None:
+        ids, lengths, merges, counts = self.encoder.steps([raw[b:e] for b, e in zip(starts.tolist(), stops.tolist())], without)
+        known = len(self.begin)
+        self.begin = np.concatenate([self.begin, len(self.flat) + np.cumsum(lengths) - lengths])
+        self.length = np.concatenate([self.length, lengths])
+        self.flat = np.concatenate([self.flat, ids])
+        self.merge_begin = np.concatenate([self.merge_begin, len(self.merges) + np.cumsum(counts) - counts])
+        self.merge_count = np.concatenate([self.merge_count, counts])
+        self.merges = np.concatenate([self.merges, merges])
+        self.known.update(zip(nodes.tolist(), range(known, known + len(nodes))))
 
     def _ids(self, data: np.ndarray, starts: np.ndarray, stops: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """``keys`` has the units' hashes and the occurrences' keys."""
@@ -361,6 +383,8 @@ class DroppedUnits(Units):
         for _ in range(LEVELS):
             at = self._entries(raw, starts[left], stops[left], nodes, without)
             entry[left] = at
+            kept = np.flatnonzero(at >= 0)
+            left, nodes, without, at = left[kept], nodes[kept], without[kept], at[kept]
             counts = self.merge_count[at]
             ends = np.cumsum(counts)
             each = np.repeat(np.arange(len(left)), counts)
