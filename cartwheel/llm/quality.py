@@ -14,7 +14,7 @@ and its share in a lower grade exceeds that in the top grade by ``MIN_Z`` standa
 a text is added up, and a long clean text gathers no noise.
 
 The model is fitted on at most ``SAMPLE`` labelled documents, the first by a hash of their id; their
-features are gathered on the driver, which bounds it. Everything else covers all rows.
+features, of one row for each id, are gathered on the driver, which bounds it. Everything else covers all rows.
 
 Defined results: null text counts as empty; a text without words scores 0; without any usable label all
 documents score alike and are kept. Rows are independent, so ties and repeated rows score alike. A label
@@ -28,6 +28,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -170,7 +171,10 @@ def sample_features(docs: DataFrame, labels: DataFrame, *, sample: int = SAMPLE)
                 names=["doc_id", "grade", "features"],
             )
 
-    gathered = in_arrow(rows, featured, "doc_id bigint, grade int, features binary").toArrow().sort_by("doc_id")
+    found = in_arrow(rows, featured, "doc_id bigint, grade int, features binary")
+    # of rows of one id the least by its features, so that no more than the sample is gathered
+    each = found.groupBy("doc_id").agg(F.min(F.struct("grade", "features")).alias("least")).select("doc_id", "least.*")
+    gathered = each.toArrow().sort_by("doc_id")
     features = [np.frombuffer(row, dtype=np.int32) for row in gathered["features"].to_pylist()]
     return features, np.array(gathered["grade"].to_pylist(), dtype=np.int64)
 
@@ -179,18 +183,19 @@ def score_quality(docs: DataFrame, model: OrdinalModel, *, text: str = "text") -
     """``docs`` as a struct ``doc`` with score, expected_grade and p_top."""
     broadcast = docs.sparkSession.sparkContext.broadcast(model)  # one weight for each of DIMENSIONS places
     schema = docs.select(F.struct("*").alias("doc")).schema
+    at = docs.columns.index(text)
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fitted = broadcast.value
         for batch in batches:
-            scores = fitted.score(batch.column(1))
+            scores = fitted.score(pc.struct_field(batch.column(0), [at]))
             tails = fitted.tails(scores)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(scores), pa.array(tails.sum(1)), pa.array(tails[:, -1])],
                 names=["doc", "score", "expected_grade", "p_top"],
             )
 
-    rows = docs.select(F.struct("*").alias("doc"), F.col(text).cast("string").alias("text"))
+    rows = docs.select(F.struct("*").alias("doc"))  # with the text, which is sent once
     doc = schema["doc"].dataType.simpleString()
     return in_arrow(rows, scored, f"doc {doc}, {SCORES}")
 

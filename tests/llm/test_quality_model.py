@@ -86,3 +86,11 @@ def test_without_usable_labels_all_stay(spark, odd_docs, rows):
 
 def test_empty_table(no_docs):
     assert Q.score_quality(no_docs, Q.fit([], np.zeros(0, int))).collect() == []
+
+
+def test_a_labelled_id_in_very_many_rows_is_gathered_once(spark):
+    docs = spark.range(20_000).selectExpr("id % 2 AS doc_id", "if(id % 4 < 2, 'one text', 'another text') AS text")
+    labels = spark.createDataFrame([(0, 1, 0), (1, 0, 0), (1, 1, 0)], "doc_id bigint, quality int, toxic int")
+    features, grades = Q.sample_features(docs, labels)
+    assert grades.tolist() == [2, 0]
+    assert len(features) == 2 and all(len(row) for row in features)
