@@ -11,7 +11,7 @@ from cartwheel.plans.funnel import conversion_funnel
 from cartwheel.plans.inventory import inventory_analysis
 from cartwheel.plans.promotions import promo_comparison
 from cartwheel.plans.transactions import user_transactions
-from verification.queries import QUERIES
+from verification.queries import QUERIES, column_totals
 
 JOBS = {  # these run while the query is built
     "clickstream_ingest", "clickstream_batch", "clickstream_continuous", "pipeline_run", "transactions_csv",
@@ -173,3 +173,9 @@ def test_hot_keys_are_counted_before_they_are_shuffled(spark):
         lines = plan(df).splitlines()
         below_shuffles = [lines[at + 1] for at, line in enumerate(lines) if "Exchange hashpartitioning" in line]
         assert any("HashAggregate" in line and "partial_" in line for line in below_shuffles)
+
+
+def test_totals_beyond_a_long(spark):
+    """Three numbers of which each, but not their sum, is a long in ten-thousandths."""
+    (row,) = column_totals(spark.createDataFrame([("900000000000000",)] * 3 + [("x",)], "phone string"), "users").collect()
+    assert (row.column_name, row.filled, row.total, row.letters > 0) == ("phone", 4, 2.7e15, True)

@@ -360,8 +360,8 @@ def column_totals(df: DataFrame, table: str) -> DataFrame:
         .groupBy("column_name")
         .agg(
             F.count("value").alias("filled"),
-            # in whole ten-thousandths: a sum of doubles depends on their order
-            (F.coalesce(F.sum(F.round(number * 10_000).cast("bigint")), F.lit(0)).cast("double") / 10_000).alias("total"),
+            # in whole ten-thousandths: a sum of doubles depends on their order, and one of longs overflows
+            (F.coalesce(F.sum(F.round(number * 10_000).cast("bigint").cast("decimal(20,0)")), F.lit(0)).cast("double") / 10_000).alias("total"),
             F.coalesce(F.sum(F.when(number.isNull(), digest)), F.lit(0)).alias("letters"),
         )
         .select(F.lit("gold").alias("layer"), F.lit(table).alias("table_name"), "column_name", "filled", "total", "letters")
