@@ -30,6 +30,12 @@ def _among(cells: Iterable[tuple[int, int]]) -> Column:
     return reduce(Column.__or__, parts, F.lit(False))
 
 
+def _sorted(rows: DataFrame) -> DataFrame:
+    """Rows that a join sorts and does not broadcast. Customers' days are written small and Spark goes by the size of their files, but
+    in a broadcast they are many times as large, and the driver would hold all of them."""
+    return rows.hint("merge")
+
+
 class Attribution:
     """First-touch, last-touch and linear credit per channel, updated by batches of events.
 
@@ -90,7 +96,7 @@ class Attribution:
 
         stored = self.points.read()
         judged = stored.where(_among(to_judge) & F.col("buys")).select(*USER_DAY).distinct()
-        days = written_once(judged.join(reached.distinct(), list(USER_DAY), "left_semi"), "purchase-days")
+        days = written_once(judged.join(_sorted(reached.distinct()), list(USER_DAY), "left_semi"), "purchase-days")
         changed = days.count()
         if not changed:
             return 0
@@ -98,7 +104,7 @@ class Attribution:
         partitions = touched(days, DAY, BUCKET)
         held = self.credits.read()
         if held is not None:
-            others = held.where(_among(partitions)).join(days, list(USER_DAY), "left_anti")
+            others = held.where(_among(partitions)).join(_sorted(days), list(USER_DAY), "left_anti")
             earned = others.select(*earned.columns).unionByName(earned)
         self.credits.replace(earned)
         return changed
@@ -107,7 +113,7 @@ class Attribution:
         """What every channel earned on the given purchase days, from the points of their look-backs."""
         users = days.select(BUCKET, "user_id").distinct()
         points = (
-            points.join(users, [BUCKET, "user_id"], "left_semi")
+            points.join(_sorted(users), [BUCKET, "user_id"], "left_semi")
             .groupBy(*USER_DAY, "at", "buys", "channel_id")
             .agg(F.sum("touches").alias("touches"), F.min("first_event").alias("first_event"), F.max("last_event").alias("last_event"))
         )
@@ -123,7 +129,7 @@ class Attribution:
             BUCKET, "user_id", F.col(DAY).alias("bought"), F.explode(F.sequence(F.col(DAY) - self.lookback, F.col(DAY))).alias(DAY)
         ).where(F.col(DAY) < F.col("bought"))
         per_channel = (
-            look_back.join(per_day, list(USER_DAY))
+            look_back.join(_sorted(per_day), list(USER_DAY))
             .groupBy(BUCKET, "user_id", F.col("bought").alias(DAY), "channel_id")
             .agg(F.sum("touches").alias("touches"), F.min("first").alias("first"), F.max("last").alias("last"))
         )
@@ -137,8 +143,8 @@ class Attribution:
         later = in_day.orderBy(F.desc("at"), "buys").rowsBetween(Window.unboundedPreceding, -1)
         zero = F.lit(0)
         seen = (
-            points.join(days, list(USER_DAY), "left_semi")
-            .join(before_day, list(USER_DAY), "left")
+            points.join(_sorted(days), list(USER_DAY), "left_semi")
+            .join(_sorted(before_day), list(USER_DAY), "left")
             .withColumns(
                 {
                     "own_touches": F.coalesce(F.sum("touches").over(earlier), zero),
@@ -167,7 +173,7 @@ class Attribution:
             ),
         )
         weights = seen.where("weight IS NOT NULL").groupBy(*USER_DAY).agg(F.sum("weight").alias("weight"))
-        from_look_back = per_channel.join(weights, list(USER_DAY)).select(
+        from_look_back = per_channel.join(_sorted(weights), list(USER_DAY)).select(
             *USER_DAY, F.inline(F.array(credit(F.col("channel_id"), linear=F.col("touches") * F.col("weight"))))
         )
         return own.unionByName(from_look_back).groupBy(*USER_DAY, "channel_id").agg(

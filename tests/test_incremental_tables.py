@@ -7,6 +7,7 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
+from cartwheel.incremental import attribution
 from cartwheel.incremental.attribution import Attribution
 from cartwheel.incremental.buckets import BUCKET
 from cartwheel.incremental.funnel import FunnelDays
@@ -168,6 +169,22 @@ def test_attribution_by_batches(spark, folder, lookback):
     assert state.add(events.where("false"), "b3") == 0
 
 
+def test_attribution_broadcasts_no_days(spark, folder, monkeypatch):
+    """Customers' days, whose files are small, are sorted and not held by the driver."""
+    plans, write = [], attribution.written_once
+
+    def watched(df, purpose):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return write(df, purpose)
+
+    monkeypatch.setattr(attribution, "written_once", watched)
+    state, events = Attribution(spark, folder, buckets=2), clicks(spark, 300)
+    for number in range(2):
+        state.add(events.where(F.col("event_id") % 2 == number), str(number))
+    assert len(plans) == 6 and any("SortMergeJoin" in plan for plan in plans)
+    assert not any("BroadcastHashJoin" in plan for plan in plans)
+
+
 def test_attribution_reads_and_writes_the_days_it_must(spark, folder):
     """Points out of every look-back and of other customers are taken away while a late touch is added."""
     channels = spark.createDataFrame([(at, f"c{at}", "t") for at in range(7)], "channel_id int, channel_name string, channel_type string")
