@@ -1,7 +1,9 @@
 """Constraint and validity reports over whole tables.
 
 All reports count values before they are shuffled, so one very frequent value
-(a popular product, an unset column) travels as one row per task.
+(a popular product, an unset column) travels as one row per task. As most keys are
+rare, a task holds nearly as many counts as it has rows; larger tables are therefore
+dealt to more tasks first, see ``spread``.
 """
 
 from __future__ import annotations
@@ -22,6 +24,30 @@ from cartwheel.model import (
 )
 
 
+PART = 4 << 20  # bytes of a table's files whose rows are counted in one task
+MOST_PARTS = 8192  # beyond that tasks grow and Spark spills
+UNKNOWN = 1 << 62  # bytes; of a table in a database Spark knows no size and takes a larger one
+
+
+def spread(rows: DataFrame, *, part: int | None = None) -> DataFrame:
+    """The same rows in as many tasks as the size of their files asks for, so that what a task counts does not grow with the table.
+
+    Equal rows that were read by one task stay together, and those of several tasks apart: they are counted as well as before, and no task
+    gets all rows of a frequent value. Rows that do not come from files, or from small ones, stay where they are.
+    """
+    part = part or PART
+    parts = min(-(-_file_bytes(rows) // part), MOST_PARTS)
+    return rows.repartition(parts, F.spark_partition_id(), *(F.col(f"`{name}`") for name in rows.columns)) if parts > 1 else rows
+
+
+def _file_bytes(rows: DataFrame) -> int:
+    """The size of the files that rows are read from, which Spark knows when it has planned them."""
+    leaves = rows._jdf.queryExecution().optimizedPlan().collectLeaves()
+    relations = [leaf for leaf in map(leaves.apply, range(leaves.size())) if leaf.nodeName() == "LogicalRelation"]
+    sizes = [int(str(relation.stats().sizeInBytes())) for relation in relations]
+    return sum(size for size in sizes if size < UNKNOWN)
+
+
 def _union(frames: Sequence[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 
@@ -77,7 +103,8 @@ def _references(child: DataFrame, keys: Sequence[ForeignKey]) -> DataFrame:
         )
         for fk in keys
     ]
-    return child.select(F.inline(F.array(*entries))).where(F.col("value").isNotNull())
+    own = spread(child.select(*dict.fromkeys(fk.column for fk in keys)))
+    return own.select(F.inline(F.array(*entries))).where(F.col("value").isNotNull())
 
 
 def key_violations(
@@ -112,7 +139,8 @@ def _key_reports(df: DataFrame, table: str, checks: Sequence[tuple[str, Sequence
                 F.when(~incomplete, F.array(*values)).alias("value"),
             )
         )
-    copies = df.select(F.inline(F.array(*entries))).groupBy("number", "value").agg(F.count("*").alias("copies"))
+    own = spread(df.select(*dict.fromkeys(column for _, key in checks for column in key)))
+    copies = own.select(F.inline(F.array(*entries))).groupBy("number", "value").agg(F.count("*").alias("copies"))
     reports = []
     for number, (kind, key) in enumerate(checks):
         own, repeated = F.col("number") == number, F.col("value").isNotNull() & (F.col("copies") > 1) & F.lit(kind != "not null")
