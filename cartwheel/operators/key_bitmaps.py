@@ -16,10 +16,11 @@ from pyspark.sql import types as T
 
 from cartwheel.incremental.buckets import written_once
 from cartwheel.model import FOREIGN_KEYS, PRIMARY_KEYS, REQUIRED_COLUMNS, UNIQUE_COLUMNS, ForeignKey
-from cartwheel.operators.quality import fk_violations, key_violations
+from cartwheel.operators.quality import fk_violations, key_violations, spread
 
 WORD = 64
 WORDS = 2_000_000  # words of a bitmap that may be broadcast, two numbers each
+SUSPECTS = 200_000  # words with repeated keys that may be broadcast
 WHOLE = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 
 
@@ -138,7 +139,7 @@ def _cells(df: DataFrame, number: int, key: Sequence[str]) -> DataFrame:
     """Each row's word and bit in the bitmap of its table's keys; neither where a column is missing."""
     lead, last = [F.col(column).cast("string") for column in key[:-1]], F.col(key[-1]).cast("bigint")
     whole = reduce(lambda a, b: a & b, [F.col(column).isNotNull() for column in key])
-    return df.select(
+    return spread(df.select(*key)).select(
         F.lit(number).alias("number"),
         whole.alias("whole"),
         F.when(whole, F.array(*lead, _word(last).cast("string"))).alias("cell"),
@@ -172,6 +173,7 @@ def _two_passes(tables: Mapping[str, DataFrame], keys: Mapping[str, Sequence[str
             reports.append(one.select(*head, zero.alias("repeated_keys"), zero.alias("excess_rows")))
             continue
         suspicious = marked.where((F.col("number") == number) & F.col("whole")).select("cell")
+        suspicious = F.broadcast(suspicious) if suspects <= SUSPECTS else suspicious.hint("merge")
         copies = cells[number].where("whole").join(suspicious, "cell", "left_semi").groupBy("cell", "key").agg(F.count("*").alias("copies"))
         repeated = copies.where("copies > 1")
         summed = repeated.agg(F.count("*").alias("repeated_keys"), F.coalesce(F.sum(F.col("copies") - 1), zero).alias("excess_rows"))

@@ -1,6 +1,9 @@
 import pytest
+from pyspark.sql import functions as F
 
 from cartwheel.model import FOREIGN_KEYS, PRIMARY_KEYS, TABLE_DDL, declared_ids, table_schema
+from cartwheel.operators import key_bitmaps, quality
+from cartwheel.operators.key_bitmaps import key_violations_by_bitmap
 from cartwheel.operators.quality import email_phone_quality, fk_violations, key_violations
 
 
@@ -67,3 +70,28 @@ def test_contact_quality(spark):
     )
     found = {row.column_name: tuple(row)[1:] for row in email_phone_quality(users).collect()}
     assert found == {"email": (4, 1, 2, 1), "phone": (4, 2, 1, 1)}
+
+
+def test_a_larger_table_is_counted_by_more_tasks(spark, folder, monkeypatch):
+    """Files of one task, some keys missing, repeated or dangling: the reports agree, in tasks of few rows each."""
+    key = F.when(F.col("id") % 50 != 0, F.col("id") - F.col("id") % 40 % 2).cast("int")
+    orders = spark.range(40_000, numPartitions=1).select(key.alias("order_id"), (F.col("id") % 3000).cast("int").alias("user_id"))
+    orders.write.parquet(f"{folder}/orders")
+    tables = {"orders": spark.read.parquet(f"{folder}/orders"), "users": spark.range(2500).selectExpr("CAST(id AS int) AS user_id", "'e' AS email")}
+
+    def reports():
+        found = [report(tables) for report in (fk_violations, key_violations, key_violations_by_bitmap)]
+        plans = [report._jdf.queryExecution().optimizedPlan().toString() for report in found]
+        return [sorted(map(tuple, report.collect())) for report in found], plans
+
+    whole, plans = reports()
+    assert quality.spread(tables["orders"]) is tables["orders"] and not any("RepartitionByExpression" in plan for plan in plans)
+    monkeypatch.setattr(quality, "PART", 16 << 10)
+    parts = quality.spread(tables["orders"])
+    rows = [row.n for row in parts.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
+    assert len(rows) > 8 and max(rows) < 40_000 / 4
+    assert sorted(map(repr, parts.collect())) == sorted(map(repr, tables["orders"].collect()))
+    split, plans = reports()
+    assert split == whole and all("RepartitionByExpression" in plan for plan in plans)
+    monkeypatch.setattr(key_bitmaps, "SUSPECTS", 0)
+    assert reports()[0] == whole
