@@ -34,13 +34,14 @@ from pyspark.sql import functions as F
 
 from cartwheel.llm import words
 from cartwheel.llm.tables import in_arrow, table
-from cartwheel.llm.units import CACHED, SLICE, Units
+from cartwheel.llm.units import CACHED, Units
 
 MODEL = "piece_bpe_32k.model"
 BLANK = "▁"
 DROPOUT = 0.1
 LEVELS = 3  # sets of skipped candidates, by size, whose merges a worker remembers
 SEED = 17
+SLICE = 1 << 19  # bytes of text at once; the merges of all its units are held with their hashes, many times as much
 LONG = 48  # letters of a unit that goes through a heap
 FEW = 3  # so do units of a length that no more have
 SLOT_BITS = 20  # of the table of merges
