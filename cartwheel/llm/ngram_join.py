@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 
 from cartwheel.llm import words
 from cartwheel.llm.components import components
-from cartwheel.llm.tables import in_arrow, numbered, rows_in, saved, ship, table
+from cartwheel.llm.tables import in_arrow, numbered, rows_in, saved, ship, small_batches, table
 
 SHINGLE = 5
 THRESHOLD = (75, 100)  # least intersection / union
@@ -361,4 +361,5 @@ def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each component."""
+    small_batches(spark)
     return SimilarDocuments(docs).one_each()

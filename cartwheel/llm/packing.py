@@ -34,7 +34,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartwheel.llm.tables import in_arrow, table
+from cartwheel.llm.tables import in_arrow, small_batches, table
 
 TOKENIZER = "byte_bpe_50k.json"
 END_TOKEN = 1
@@ -282,4 +282,5 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return pack_documents(docs)

@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cartwheel.llm import words
-from cartwheel.llm.tables import in_arrow, table
+from cartwheel.llm.tables import in_arrow, small_batches, table
 
 SAMPLE = 8000
 DIMENSIONS = 1 << 18
@@ -219,5 +219,6 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that are probably of the top grade."""
+    small_batches(spark)
     model = quality_model(spark, docs, sf_dir)
     return score_quality(docs, model).where(selected()).select("doc.*")

@@ -33,6 +33,20 @@ def in_arrow(df: DataFrame, function: Callable[[Iterator[pa.RecordBatch]], Itera
     return df.mapInArrow(function, schema)
 
 
+#: Arrow batches between the JVM and Python, each of which holds a batch several times over: as vectors, as bytes on the way and as arrays.
+BATCHES = {
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(4 << 20),
+}
+
+
+def small_batches(spark: SparkSession) -> None:
+    """From now on the session sends ``BATCHES`` at most, where it does not set sizes itself. Spark reads them when a plan is run."""
+    for setting, most in BATCHES.items():
+        if spark.conf.get(setting, None) is None:
+            spark.conf.set(setting, most)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -17,7 +17,7 @@ import __spark_entry__ as contract
 import corpus_pipeline
 from cartwheel.llm import exact_dedup, quality
 from cartwheel.llm.queries import ORACLES, QUERIES
-from cartwheel.llm.tables import saved, table
+from cartwheel.llm.tables import saved, small_batches, table
 
 ROOT = Path(corpus_pipeline.__file__).parent
 FOLD = str.maketrans(exact_dedup.UPPER, exact_dedup.LOWER)
@@ -134,3 +134,22 @@ def test_the_rest_works_without_the_corpus_operators(tmp_path):
     code = "import __spark_entry__ as e; print(sorted(n for n in e.queries() if n.startswith(('op', 'pipeline'))), len(e.queries()) > 30)"
     done = subprocess.run([sys.executable, "-c", code], cwd=copy, capture_output=True, text=True, timeout=120)
     assert done.stdout.strip() == "['pipeline_run'] True", done.stderr
+
+
+def test_stages_bound_the_batches_sent_to_python(spark, sf_dir):
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows]), pa.array([batch.nbytes])], names=["rows", "bytes"])
+
+    for name in ("quality classifier", "n-gram Jaccard join", "packing"):
+        fresh = spark.newSession()
+        docs = fresh.range(2500).selectExpr("id as doc_id", "repeat(cast(id % 7 as string), 9000) as text").coalesce(1)
+        dict(corpus_pipeline.STAGES)[name](fresh, docs.limit(20), sf_dir)
+        found = docs.mapInArrow(sizes, "rows bigint, bytes bigint").collect()
+        assert sum(row.rows for row in found) == 2500
+        assert max(row.rows for row in found) <= 1000 and max(row.bytes for row in found) < 5 << 20
+
+    own = spark.newSession()
+    own.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    small_batches(own)
+    assert own.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "7"
