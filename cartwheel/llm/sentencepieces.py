@@ -8,7 +8,7 @@ blanks before it) in the text and the places of both pieces in it. So every occu
 which are the same in every run. Without dropout the segmentations are SentencePiece's own.
 
 As the hash decides on a candidate the same way whenever it is looked at, the agenda needs no order of its
-own: units are worked off together in NumPy, each round merging the best candidate left of every unit.
+own: units of similar lengths are worked off together in NumPy, each round merging the best candidate left of every unit.
 A worker remembers the merges of each distinct unit. An occurrence whose hashes skip none of them has those
 pieces; where one is skipped, the merges of the unit without that candidate are looked up in the same way. After
 ``LEVELS`` skips, and if it is long, a unit is encoded by itself, with the same result.
@@ -42,8 +42,11 @@ DROPOUT = 0.1
 LEVELS = 3  # sets of skipped candidates, by size, whose merges a worker remembers
 SEED = 17
 SLICE = 1 << 19  # bytes of text at once; the merges of all its units are held with their hashes, many times as much
-LONG = 48  # letters of a unit that goes through a heap
-FEW = 3  # so do units of a length that no more have
+LONG = 48  # letters; longer units go through a heap
+WIDTHS = (8, 16, LONG)  # letters up to which units are worked off together
+BLOCK = 1 << 13  # units at once
+NONE, GONE = -1, -2  # where no letter is, and where a piece was merged into the one before
+LACKING = -3  # and below: letters outside the vocabulary
 SLOT_BITS = 20  # of the table of merges
 NULL_ID = 0x7D1F3B9A52C84E61
 
@@ -68,10 +71,11 @@ class Vocabulary:
             if not (model.is_unknown(number) or model.is_control(number) or model.is_byte(number) or model.is_unused(number))
         }
         self.byte = {int(model.id_to_piece(number)[3:5], 16): number for number in range(size) if model.is_byte(number)}
+        self.of_byte = np.array([self.byte[byte] for byte in range(256)], dtype=np.int64)
         self.score = np.full(size, -np.inf)
         for number in self.plain.values():
             self.score[number] = model.get_score(number)
-        self.scores = np.append(self.score, -np.inf)  # the last for no piece, which is written as -1
+        self.rank = np.unique(-self.score, return_inverse=True)[1].astype(np.int64)  # from the best score, equal for equal ones
         merges = {
             (self.plain[piece[:cut]], self.plain[piece[cut:]]): number
             for piece, number in self.plain.items()
@@ -86,15 +90,15 @@ class Vocabulary:
         self.slot = np.zeros(1 << SLOT_BITS, dtype=np.int32)
         self.slot[slots] = np.arange(len(slots))
         self.shared = np.bincount(slots, minlength=1 << SLOT_BITS) > 1  # by several pairs, which are searched for
-        # letters to pieces; -1 for those that are written as several bytes
-        self.letter = np.full(0x110000, -1, dtype=np.int64)
+        # letters to pieces; a negative number of its own for each that is written as several bytes
+        self.letter = LACKING - np.arange(0x110000)
         for byte in range(0x80):
             self.letter[byte] = self.byte[byte]
         for piece, number in self.plain.items():
             if len(piece) == 1:
                 self.letter[ord(piece)] = number
         self.letter[ord(" ")] = self.letter[ord(BLANK)]
-        self.letter[ord(BLANK)] = -1
+        self.letter[ord(BLANK)] = LACKING - ord(BLANK)
         texts = [b""] * size
         for piece, number in self.plain.items():
             texts[number] = piece.replace(BLANK, " ").encode()
@@ -117,16 +121,30 @@ class Vocabulary:
 
     def joined(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """The piece that each pair makes, or -1."""
-        wanted = left * self.size + right
+        wanted = np.where((left | right) >= 0, left * self.size + right, -1)
         slot = _slots(wanted)
         at = self.slot[slot]
-        found = np.where((left >= 0) & (right >= 0) & (self.keys[at] == wanted), self.merged[at], -1)
-        shared = np.nonzero(self.shared[slot] & (left >= 0) & (right >= 0))
+        found = np.where(self.keys[at] == wanted, self.merged[at], -1)
+        shared = np.nonzero(self.shared[slot] & (wanted >= 0))
         if len(shared[0]):
             at = np.minimum(np.searchsorted(self.keys, wanted[shared]), len(self.keys) - 1)
             found[shared] = np.where(self.keys[at] == wanted[shared], self.merged[at], -1)
         return found
 
+    def spelled(self, pieces: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of pieces, with the bytes of letters that the vocabulary lacks, and how many each unit has."""
+        lacking = np.flatnonzero(pieces < 0)
+        if not len(lacking):
+            return pieces, lengths
+        letters = (LACKING - pieces[lacking]).astype("<u4")
+        counts = np.ones(len(pieces), dtype=np.int64)
+        counts[lacking] += (letters >= 0x80).astype(np.int64) + (letters >= 0x800) + (letters >= 0x10000)
+        ids = np.repeat(pieces, counts)
+        ids[ids < 0] = self.of_byte[np.frombuffer(letters.tobytes().decode("utf-32-le").encode(), dtype=np.uint8)]
+        before = np.concatenate([[0], np.cumsum(counts)])
+        ends = np.cumsum(lengths)
+        return ids, before[ends] - before[ends - lengths]
+
     def decode(self, ids: np.ndarray) -> bytes:
         """The text of the pieces, without the blank that encoding puts in front."""
         lengths = self.length[ids]
@@ -171,8 +189,9 @@ class Dropped:
     def of(self, units: np.ndarray) -> Dropped:
         return Dropped(self.keys[units], self.dropout)
 
-    def hold(self, places: np.ndarray) -> np.ndarray:
-        return skipped(self.keys[:, None], places, self.dropout)
+    def hold(self, units: np.ndarray, places: np.ndarray) -> np.ndarray:
+        """Whether a place of each of these units is skipped."""
+        return skipped(self.keys[units], places, self.dropout)
 
     def holds(self, place: int) -> bool:
         """The same for one place of one unit."""
@@ -188,16 +207,22 @@ class Without:
     def of(self, units: np.ndarray) -> Without:
         return Without(self.places[units])
 
-    def hold(self, places: np.ndarray) -> np.ndarray:
+    def hold(self, units: np.ndarray, places: np.ndarray) -> np.ndarray:
         held = np.zeros(places.shape, dtype=bool)
         for column in self.places.T:
-            held |= places == column[:, None]
+            held |= places == column[units]
         return held
 
     def holds(self, place: int) -> bool:
         return place in self.places[0].tolist()
 
 
+def within(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The places of all spans, one after another."""
+    ends = np.cumsum(lengths)
+    return np.repeat(starts - (ends - lengths), lengths) + np.arange(int(lengths.sum()))
+
+
 class Encoder:
     """Encodes units of letters; ``steps`` also tells the merges."""
 
@@ -206,90 +231,130 @@ class Encoder:
 
     def __call__(self, units: Sequence[bytes], keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """All ids, and how many each unit has, under the keys of their occurrences."""
-        ids, lengths, _ = self._encode(units, Dropped(keys, self.dropout))
-        return ids, lengths
+        lengths = np.fromiter(map(len, units), np.int64, len(units))
+        return self.spans(np.frombuffer(b"".join(units), dtype=np.uint8), np.cumsum(lengths) - lengths, lengths, keys)
 
-    def steps(self, units: Sequence[bytes], without: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    def spans(self, data: np.ndarray, starts: np.ndarray, lengths: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The same for units that are parts of ``data``."""
+        ids, counts, _ = self._encode(data, starts, lengths, Dropped(keys, self.dropout))
+        return ids, counts
+
+    def steps(
+        self, data: np.ndarray, starts: np.ndarray, lengths: np.ndarray, without: np.ndarray
+    ) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """All ids, how many each unit has, the places merged in order, and how many; a row of ``without`` is left out for each unit."""
-        ids, lengths, merged = self._encode(units, Without(without))
-        own, places_ = (np.concatenate([part for part in parts]) for parts in zip(*merged)) if merged else (np.zeros(0, np.int64), np.zeros(0, np.uint64))
+        ids, counts, merged = self._encode(data, starts, lengths, Without(without))
+        own, places_ = (np.concatenate(parts) for parts in zip(*merged)) if merged else (np.zeros(0, np.int64), np.zeros(0, np.uint64))
         order = np.argsort(own, kind="stable")
-        return ids, lengths, places_[order], np.bincount(own, minlength=len(units))
-
-    def _encode(self, units: Sequence[bytes], skips: Dropped | Without) -> tuple[np.ndarray, np.ndarray, list[tuple[np.ndarray, np.ndarray]]]:
-        texts = [unit.decode("utf-8") for unit in units]
-        sizes = np.fromiter(map(len, texts), np.int64, len(texts))
-        letters = np.frombuffer("".join(texts).encode("utf-32-le"), dtype=np.uint32).astype(np.int64)
-        ends = np.cumsum(sizes)
+        return ids, counts, places_[order], np.bincount(own, minlength=len(starts))
+
+    def _encode(
+        self, data: np.ndarray, starts: np.ndarray, lengths: np.ndarray, skips: Dropped | Without
+    ) -> tuple[np.ndarray, np.ndarray, list[tuple[np.ndarray, np.ndarray]]]:
+        text = data[within(starts, lengths)]
+        before = np.concatenate([[0], np.cumsum((text & 0xC0) != 0x80)])  # letters before each byte
+        ends = before[np.cumsum(lengths)]
+        sizes = np.diff(ends, prepend=0)
+        letters = np.frombuffer(text.tobytes().decode("utf-8").encode("utf-32-le"), dtype=np.uint32)
         pieces = self.vocabulary.letter[letters]
-        out: list[np.ndarray | None] = [None] * len(units)
+        parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         merged: list[tuple[np.ndarray, np.ndarray]] = []
-        distinct, counts = np.unique(sizes, return_counts=True)
-        for size, count in zip(distinct.tolist(), counts.tolist()):
-            chosen = np.flatnonzero(sizes == size)
-            if size > LONG or count <= FEW:
-                for unit in chosen.tolist():
-                    out[unit], done = self.by_heap(pieces[ends[unit] - size : ends[unit]], skips.of(np.array([unit])))
-                    merged.append((np.full(len(done), unit), done))
-                continue
-            at = (ends[chosen] - size)[:, None] + np.arange(size)[None, :]
-            found, done = self._together(pieces[at], skips.of(chosen))
-            for unit, own in zip(chosen.tolist(), found):
-                out[unit] = own
-            merged += [(chosen[own], at) for own, at in done]
-        for unit in np.flatnonzero(np.bincount(np.repeat(np.arange(len(units)), sizes), weights=pieces < 0, minlength=len(units))):
-            out[unit] = self._with_bytes(out[unit], texts[unit])
-        lengths = np.fromiter(map(len, out), np.int64, len(out))
-        return np.concatenate([np.zeros(0, np.int64), *out]).astype(np.int32), lengths, merged
-
-    def _candidates(self, pieces: np.ndarray, bounds: np.ndarray, skips: Dropped | Without) -> np.ndarray:
-        """What each two neighbours make, or -1; ``bounds`` has one more place than ``pieces``."""
-        made = self.vocabulary.joined(pieces[:, :-1], pieces[:, 1:])
-        if skips.any:
-            made[skips.hold(places(bounds[:, :-2], bounds[:, 1:-1], bounds[:, 2:]))] = -1
-        return made
+        group = np.searchsorted(WIDTHS, sizes)
+        for at, width in enumerate(WIDTHS):
+            wide = np.flatnonzero(group == at)
+            for block in range(0, len(wide), BLOCK):
+                chosen = wide[block : block + BLOCK]
+                own = sizes[chosen]
+                rows = np.full((width, len(chosen)), NONE, dtype=np.int64)
+                rows[within(np.zeros(len(chosen), np.int64), own), np.repeat(np.arange(len(chosen)), own)] = pieces[within(ends[chosen] - own, own)]
+                found, done = self._rounds(rows, skips.of(chosen))
+                parts.append((chosen, *self._left(found)))
+                merged += [(chosen[units], at_) for units, at_ in done]
+        for unit in np.flatnonzero(group == len(WIDTHS)).tolist():
+            found, done = self.by_heap(pieces[ends[unit] - sizes[unit] : ends[unit]], skips.of(np.array([unit])))
+            parts.append((np.array([unit]), found, np.array([len(found)])))
+            merged.append((np.full(len(done), unit), done))
+        counts = np.zeros(len(starts), dtype=np.int64)
+        for chosen, _, own in parts:
+            counts[chosen] = own
+        begin = np.cumsum(counts) - counts
+        flat = np.zeros(int(counts.sum()), dtype=np.int64)
+        for chosen, found, own in parts:
+            flat[within(begin[chosen], own)] = found
+        ids, counts = self.vocabulary.spelled(flat, counts)
+        return ids.astype(np.int32), counts, merged
+
+    @staticmethod
+    def _left(pieces: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The pieces in all columns, and how many each has."""
+        rows = np.ascontiguousarray(pieces.T)
+        kept = (rows != GONE) & (rows != NONE)
+        return rows[kept], kept.sum(axis=1)
 
     def _together(self, pieces: np.ndarray, skips: Dropped | Without) -> tuple[list[np.ndarray], list[tuple[np.ndarray, np.ndarray]]]:
-        """The pieces of units of one length, all merged one step a round, and for each round the units and the places merged."""
-        count, size = pieces.shape
-        out: list[np.ndarray | None] = [None] * count
+        """The pieces of each unit, from a row of letters, and for each round the units and the places merged."""
+        found, merged = self._rounds(pieces.T, skips)
+        flat, counts = self._left(found)
+        return np.split(flat, np.cumsum(counts)[:-1]), merged
+
+    def _rounds(self, letters: np.ndarray, skips: Dropped | Without) -> tuple[np.ndarray, list[tuple[np.ndarray, np.ndarray]]]:
+        """The pieces of units, a column of letters each, where they begin, and for each round the units and the places merged.
+
+        Every column is merged one step a round. A piece knows where it and the one before begin and where it ends, so that
+        a step changes the few places beside it only; the best candidate is the least number of a column.
+        """
+        size, count = letters.shape
+        bits = size.bit_length()
+        none = np.int64(np.iinfo(np.int64).max)
+        # a row without letters before and behind
+        piece = np.full((size + 2, count), NONE, dtype=np.int64)
+        piece[1:-1] = letters
+        piece = piece.ravel()
+        row = np.repeat(np.arange(size + 2), count)
+        end, before = row + 1, row - 1
+        agenda = np.full((size + 2) * count, none)
+        made = np.full((size + 2) * count, -1, dtype=np.int64)
         merged: list[tuple[np.ndarray, np.ndarray]] = []
-        units = np.arange(count)
-        bounds = np.broadcast_to(np.arange(size + 1), (count, size + 1))
-        made = self._candidates(pieces, bounds, skips)
-        while size > 1 and len(units):
-            score = self.vocabulary.scores[made]
-            best = np.argmax(score, axis=1)
-            open_ = score[np.arange(len(units)), best] > -np.inf
-            if not open_.all():
-                for unit, found in zip(units[~open_].tolist(), pieces[~open_]):
-                    out[unit] = found
-                units, pieces, bounds, best, made = (a[open_] for a in (units, pieces, bounds, best, made))
-                skips = skips.of(np.flatnonzero(open_))
-                if not len(units):
-                    break
-            each = np.arange(len(units))
-            new = made[each, best]
-            merged.append((units, places(bounds[each, best], bounds[each, best + 1], bounds[each, best + 2])))
-            size -= 1
-            place = np.arange(size + 1)[None, :]
-            at = place + (place > best[:, None])
-            pieces = np.take_along_axis(pieces, at[:, :size], 1)
-            pieces[each, best] = new
-            bounds = np.take_along_axis(bounds, at, 1)
-            made = np.take_along_axis(made, at[:, : size - 1], 1)
-            # only the new piece has new neighbours
-            for left in (best - 1, best):
-                held = np.flatnonzero((left >= 0) & (left < size - 1))
-                at = left[held]
-                fresh = self.vocabulary.joined(pieces[held, at], pieces[held, at + 1])
-                if skips.any:
-                    beside = places(bounds[held, at], bounds[held, at + 1], bounds[held, at + 2])
-                    fresh[skips.of(held).hold(beside[:, None])[:, 0]] = -1
-                made[held, at] = fresh
-        for unit, found in zip(units.tolist(), pieces):
-            out[unit] = found
-        return out, merged
+
+        def propose(units: np.ndarray, left: np.ndarray, right: np.ndarray, begin: np.ndarray, middle: np.ndarray) -> None:
+            """Puts what pieces make with the ones behind on the agenda, unless it is skipped."""
+            new = self.vocabulary.joined(piece[left], piece[right])
+            agenda[left] = none
+            able = np.flatnonzero(new >= 0)
+            if skips.any and len(able):
+                held = skips.hold(units[able], places(begin[able] - 1, middle[able] - 1, end[right[able]] - 1))
+                able = able[~held]
+            at, new = left[able], new[able]
+            made[at] = new
+            agenda[at] = (self.vocabulary.rank[new] << bits) | begin[able]
+
+        # letters that make something
+        inner = np.flatnonzero(piece[count:-count] >= 0) + count
+        propose(inner % count, inner, inner + count, row[inner], row[inner] + 1)
+        table = agenda.reshape(size + 2, count)[1:-1]
+        while True:
+            best = table.min(axis=0)
+            units = np.flatnonzero(best != none)
+            if not len(units):
+                break
+            begin = best[units] & ((1 << bits) - 1)
+            left = begin * count + units
+            middle = end[left]
+            right = middle * count + units
+            stop = end[right]
+            behind = stop * count + units
+            merged.append((units, places(begin - 1, middle - 1, stop - 1)))
+            piece[left], piece[right] = made[left], GONE
+            end[left], before[behind], agenda[right] = stop, begin, none
+            first = before[left]
+            propose(
+                np.concatenate([units, units]),
+                np.concatenate([first * count + units, left]),
+                np.concatenate([left, behind]),
+                np.concatenate([first, begin]),
+                np.concatenate([begin, stop]),
+            )
+        return piece.reshape(size + 2, count)[1:-1], merged
 
     def by_heap(self, pieces: np.ndarray, skips: Dropped | Without) -> tuple[np.ndarray, np.ndarray]:
         """The pieces of one unit and the places merged, by an agenda of candidate merges in order of score."""
@@ -324,19 +389,11 @@ class Encoder:
                 propose(before[left], left)
         return np.array([piece[at] for at in range(size) if not gone[at]], dtype=np.int64), np.array(merged, dtype=np.uint64)
 
-    def _with_bytes(self, pieces: np.ndarray, text: str) -> np.ndarray:
-        """The pieces with the bytes of the letters that the vocabulary lacks."""
-        lacking = iter([letter for letter in text if self.vocabulary.letter[ord(letter)] < 0])
-        out: list[int] = []
-        for piece in pieces.tolist():
-            out += [piece] if piece >= 0 else [self.vocabulary.byte[byte] for byte in next(lacking).encode()]
-        return np.array(out, dtype=np.int64)
-
 
 class DroppedUnits(Units):
     """Pieces of occurrences of units, each under a key of its own.
 
-    ``known`` leads from a hash of a unit and the candidates left out of it to its pieces and merges.
+    ``nodes`` has the hashes of units and the candidates left out of them, sorted, ``entry`` where the pieces and merges of each are.
     """
 
     def __init__(self, encoder: Encoder, apart: np.ndarray):
@@ -345,44 +402,48 @@ class DroppedUnits(Units):
 
     def _forget(self) -> None:
         super()._forget()
+        self.nodes, self.entry = np.zeros(0, np.uint64), np.zeros(0, np.int64)
         self.merge_begin, self.merge_count = np.zeros(0, np.int64), np.zeros(0, np.int64)
         self.merges = np.zeros(0, np.uint64)
 
-    def _entries(self, raw: bytes, starts: np.ndarray, stops: np.ndarray, nodes: np.ndarray, without: np.ndarray) -> np.ndarray:
+    def _entries(self, data: np.ndarray, starts: np.ndarray, stops: np.ndarray, nodes: np.ndarray, without: np.ndarray) -> np.ndarray:
         """Where the pieces and merges of units without some candidates are remembered; -1 if it is not worth it.
 
         A unit without candidates that is met but once here is cheaper encoded by itself.
         """
         distinct, first, place, times = np.unique(nodes, return_index=True, return_inverse=True, return_counts=True)
-        at = np.fromiter((self.known.get(node, -1) for node in distinct.tolist()), np.int64, len(distinct))
+        found = np.searchsorted(self.nodes, distinct)
+        at = np.full(len(distinct), -1, dtype=np.int64)
+        inside = np.flatnonzero(found < len(self.nodes))
+        inside = inside[self.nodes[found[inside]] == distinct[inside]]
+        at[inside] = self.entry[found[inside]]
         missing = np.flatnonzero((at < 0) & ((times > 1) | (without.shape[1] == 0)))
         if len(missing):
             at[missing] = len(self.begin) + np.arange(len(missing))
-            self._learn_merges(raw, starts[first[missing]], stops[first[missing]], distinct[missing], without[first[missing]])
+            self.nodes = np.insert(self.nodes, found[missing], distinct[missing])
+            self.entry = np.insert(self.entry, found[missing], at[missing])
+            self._learn_merges(data, starts[first[missing]], stops[first[missing]], without[first[missing]])
         return at[place]
 
-    def _learn_merges(self, raw: bytes, starts: np.ndarray, stops: np.ndarray, nodes: np.ndarray, without: np.ndarray) -> None:
-        ids, lengths, merges, counts = self.encoder.steps([raw[b:e] for b, e in zip(starts.tolist(), stops.tolist())], without)
-        known = len(self.begin)
+    def _learn_merges(self, data: np.ndarray, starts: np.ndarray, stops: np.ndarray, without: np.ndarray) -> None:
+        ids, lengths, merges, counts = self.encoder.steps(data, starts, stops - starts, without)
         self.begin = np.concatenate([self.begin, len(self.flat) + np.cumsum(lengths) - lengths])
         self.length = np.concatenate([self.length, lengths])
         self.flat = np.concatenate([self.flat, ids])
         self.merge_begin = np.concatenate([self.merge_begin, len(self.merges) + np.cumsum(counts) - counts])
         self.merge_count = np.concatenate([self.merge_count, counts])
         self.merges = np.concatenate([self.merges, merges])
-        self.known.update(zip(nodes.tolist(), range(known, known + len(nodes))))
 
     def _ids(self, data: np.ndarray, starts: np.ndarray, stops: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """``keys`` has the units' hashes and the occurrences' keys."""
         hashed, own = keys
-        if len(self.known) > CACHED:
+        if len(self.nodes) > CACHED:
             self._forget()
-        raw = data.tobytes()
         entry = np.full(len(hashed), -1, dtype=np.int64)
         left = np.flatnonzero(stops - starts <= LONG)
         nodes, without = hashed[left], np.zeros((len(left), 0), dtype=np.uint64)
         for _ in range(LEVELS):
-            at = self._entries(raw, starts[left], stops[left], nodes, without)
+            at = self._entries(data, starts[left], stops[left], nodes, without)
             entry[left] = at
             kept = np.flatnonzero(at >= 0)
             left, nodes, without, at = left[kept], nodes[kept], without[kept], at[kept]
@@ -399,7 +460,7 @@ class DroppedUnits(Units):
             if not len(left):
                 break
         alone = np.flatnonzero(entry < 0)
-        ids, own_lengths = self.encoder([raw[b:e] for b, e in zip(starts[alone].tolist(), stops[alone].tolist())], own[alone])
+        ids, own_lengths = self.encoder.spans(data, starts[alone], stops[alone] - starts[alone], own[alone])
         flat = np.concatenate([self.flat, ids])
         begin, lengths = self.begin[entry] if len(self.begin) else np.zeros(len(entry), np.int64), np.zeros(len(entry), np.int64)
         lengths[entry >= 0] = self.length[entry[entry >= 0]]

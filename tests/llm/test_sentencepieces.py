@@ -143,6 +143,28 @@ def test_agenda_by_heap_gives_the_same_pieces(texts):
                 assert [int(at[0]) for _, at in merged] == order.tolist()
 
 
+def test_units_of_all_lengths_are_merged_together(monkeypatch):
+    """The rounds of a batch depend on its longest unit, not on how many lengths there are."""
+    draw = random.Random(3)
+    units = ["".join(draw.choice("etaoins漢😀") for _ in range(size)) for size in range(1, S.LONG + 1) for _ in range(8)]
+    vocabulary, rounds = S.vocabulary(PATH), []
+    joined = S.Vocabulary.joined
+    monkeypatch.setattr(S.Vocabulary, "joined", lambda *pairs: rounds.append(1) or joined(*pairs))
+    for dropout in (0.0, 0.3):
+        rounds.clear()
+        keys = np.array([draw.getrandbits(64) for _ in units], dtype=np.uint64)
+        encoder = S.Encoder(vocabulary, dropout)
+        ids, lengths = encoder([unit.encode() for unit in units], keys)
+        assert len(rounds) <= 3 * S.LONG
+        ends = np.cumsum(lengths)
+        for at, unit in enumerate(units):
+            alone, _ = encoder.by_heap(
+                vocabulary.letter[np.frombuffer(unit.encode("utf-32-le"), dtype=np.uint32)], S.Dropped(keys[at : at + 1], dropout)
+            )
+            spelled, _ = vocabulary.spelled(alone, np.array([len(alone)]))
+            assert ids[ends[at] - lengths[at] : ends[at]].tolist() == spelled.tolist()
+
+
 def test_share_of_skipped_candidates():
     at = np.arange(40_000)
     share = S.skipped(at.astype(np.uint64), S.places(at % 7, at % 7 + 1, at % 7 + 2), 0.1).mean()
