@@ -1,7 +1,9 @@
 """The jobs that move data through the raw, trusted and curated layers.
 
 Tables and outputs that do not depend on each other are submitted to Spark a few
-at a time, so that small ones do not leave a cluster idle.
+at a time, so that small ones do not leave a cluster idle. Large ones run one by one,
+so that no more than one large shuffle lies on the executors' disks, and each removes its
+shuffle files when it ends.
 """
 
 from __future__ import annotations
@@ -23,7 +25,7 @@ from cartwheel.model import PRIMARY_KEYS, STAMP, STAMP_DATE, TRACKED_TABLES, VER
 from cartwheel.operators.clean import clean
 from cartwheel.operators.versions import current_snapshot, dedup, restamp
 from cartwheel.plans import attribution, dims, facts, funnel, inventory, promotions, rfm
-from cartwheel.session import scratch
+from cartwheel.session import scratch, shuffles_removed
 from cartwheel.sinks import tables
 from cartwheel.sinks.watermarks import START, Watermarks
 from cartwheel.sources import files
@@ -37,6 +39,7 @@ Result = TypeVar("Result")
 
 PEOPLE_TABLES = frozenset({"users"})
 AT_A_TIME = 4
+LARGE = 64 * 2**20  # bytes of files from which on a table has the cluster to itself
 
 
 def utc_stamp() -> str:
@@ -48,18 +51,34 @@ def join_path(root: str, *parts: str) -> str:
 
 
 def _each(
-    spark: SparkSession, names: Iterable[str], job: Callable[[str], Result], at_a_time: int
+    spark: SparkSession, names: Iterable[str], job: Callable[[str], Result], at_a_time: int, alone: Sequence[str] = ()
 ) -> dict[str, Result]:
-    """Run a job for every name, some at a time. A failing one does not stop the others; its error is raised at the end."""
+    """Run a job for every name, first those ``alone`` one by one, in their order, then the others some at a time.
+
+    A failing one does not stop the others; its error is raised at the end. No shuffle files are left behind.
+    """
     names, run = list(names), inheritable_thread_target(spark)(job)
-    with ThreadPoolExecutor(max_workers=at_a_time) as pool:
-        running = {name: pool.submit(run, name) for name in names}
+    others = [name for name in names if name not in alone]
+    running = {}
+    with shuffles_removed(spark):
+        for part, workers in ((alone, 1), (others, at_a_time)):
+            with ThreadPoolExecutor(max_workers=workers) as pool:
+                running |= {name: pool.submit(run, name) for name in part}
     errors = {name: error for name, future in running.items() if (error := future.exception())}
     if errors:
         first = next(iter(errors.values()))
         first.add_note(f"failed: {', '.join(errors)}")
         raise first
-    return {name: future.result() for name, future in running.items()}
+    return {name: running[name].result() for name in names}
+
+
+def _large(sizes: Mapping[str, int]) -> list[str]:
+    """The tables of more than ``LARGE`` bytes, the largest first."""
+    return sorted((name for name, size in sizes.items() if size > LARGE), key=lambda name: -sizes[name])
+
+
+def _sizes(spark: SparkSession, layer_path: str, table_names: Iterable[str]) -> dict[str, int]:
+    return {table: storage.size(spark, join_path(layer_path, table)) for table in table_names}
 
 
 @contextmanager
@@ -185,7 +204,8 @@ def load_trusted(
         watermarks.put("trusted", table, highest)
         return True
 
-    done = _each(spark, table_names, load, at_a_time)
+    table_names = list(table_names)
+    done = _each(spark, table_names, load, at_a_time, _large(_sizes(spark, raw_path, table_names)))
     return [table for table, written in done.items() if written]
 
 
@@ -296,6 +316,15 @@ GROUPS: dict[str, dict[str, Output]] = {
 }
 
 
+# Outputs of large tables are made one by one, in this order. Those that read the same tables follow each other, as the
+# snapshot of a table is kept from the first to the last of them. The facts are as large as their sources, so the larger
+# one comes when the snapshots it does not read are gone.
+ONE_BY_ONE: tuple[str, ...] = (
+    "gold_q1_conversion_funnel", "gold_q5_attribution", "gold_q4_inventory_analysis", "fact_orders",
+    "gold_q3_promo_comparison", "gold_q3_promo_detail", "fact_order_items", "gold_q2_rfm_segmentation",
+)
+
+
 def load_curated(
     spark: SparkSession,
     trusted_path: str,
@@ -313,12 +342,19 @@ def load_curated(
 
     The mode ``overwrite`` replaces an output only once its new content is complete;
     any other mode is Spark's own. Previews are read from what was written, so no
-    output is computed twice.
+    output is computed twice. The snapshot of a large table is there from the first to the last output that reads it.
     """
     outputs = {name: output for group in groups for name, output in GROUPS[group].items()}
     needed = dict.fromkeys(table for output in outputs.values() for table in output.inputs)
+    append_only = frozenset(append_only)
+    large = _large(_sizes(spark, trusted_path, needed))
+    alone = [name for name in dict.fromkeys((*ONE_BY_ONE, *outputs)) if name in outputs and {*large} & {*outputs[name].inputs}]
     with _run_folder(spark, "curated") as folder:
-        trusted = current(spark, trusted_path, needed, folder, append_only=append_only, at_a_time=at_a_time)
+
+        def snapshots(wanted: Iterable[str]) -> dict[str, DataFrame]:
+            return current(spark, trusted_path, wanted, folder, append_only=append_only, at_a_time=at_a_time)
+
+        trusted = snapshots(table for table in needed if table not in large)
 
         def load(name: str) -> None:
             path, content = join_path(curated_path, name), outputs[name](trusted, as_of)
@@ -327,7 +363,19 @@ def load_curated(
             else:
                 tables.write(content, path, mode, single_partition=single_partition)
 
-        _each(spark, outputs, load, at_a_time)
+        def load_alone(name: str) -> None:
+            for table in large:
+                if table in outputs[name].inputs and table not in trusted:
+                    trusted.update(snapshots([table]))
+            try:
+                load(name)
+            finally:
+                later = {table for other in alone[alone.index(name) + 1 :] for table in outputs[other].inputs}
+                for table in trusted.keys() & {*large} - later - append_only:
+                    del trusted[table]
+                    storage.delete(spark, f"{folder}/{table}")
+
+        _each(spark, outputs, lambda name: load_alone(name) if name in alone else load(name), at_a_time, alone)
     if preview_rows > 0:
         for name in outputs:
             tables.preview(files.parquet(spark, join_path(curated_path, name)), name, preview_rows)
@@ -346,8 +394,12 @@ def run_pipeline(
     table_names: Sequence[str] = tuple(PRIMARY_KEYS),
     groups: Sequence[str] = tuple(GROUPS),
     as_of: dt.date | str | None = None,
+    keep_clicks: bool = True,
 ) -> DataFrame:
-    """Clicks, raw, trusted and curated layer below ``root``; returns the rows held per table."""
+    """Clicks, raw, trusted and curated layer below ``root``; returns the rows held per table.
+
+    Without ``keep_clicks`` the click files are deleted once the raw layer has them all.
+    """
     raw, trusted, curated = (join_path(root, layer) for layer in ("bronze", "silver", "gold"))
     watermarks = Watermarks(spark, join_path(root, "watermarks"))
     from_database = list(table_names)
@@ -355,6 +407,8 @@ def run_pipeline(
         clickstream.ingest_once(
             spark, click_path, join_path(raw, "clickstream"), join_path(root, "checkpoints", "clickstream")
         )
+        if not keep_clicks:
+            storage.delete(spark, click_path)
         from_database = [table for table in from_database if table != "clickstream"]
     load_raw(spark, source, raw, from_database, watermarks)
     load_trusted(spark, raw, trusted, table_names, watermarks)

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -18,6 +20,10 @@ SETTINGS = {
 }
 
 
+# Spark 4.1 or later; earlier ones know no such setting and ignore it.
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def session(app: str, *, shuffle_partitions: int | None = None) -> SparkSession:
     """A session with the library's settings; master and memory come from spark-submit.
 
@@ -33,6 +39,24 @@ def session(app: str, *, shuffle_partitions: int | None = None) -> SparkSession:
     return builder.getOrCreate()
 
 
+@contextmanager
+def shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """What is run inside leaves no shuffle files behind: those of an execution go when it ends.
+
+    Otherwise they stay until the driver collects the plan as garbage, and the files of a job's many
+    shuffles lie on the executors' disks side by side.
+    """
+    before = spark.conf.get(SHUFFLE_CLEANUP, None)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(SHUFFLE_CLEANUP)
+        else:
+            spark.conf.set(SHUFFLE_CLEANUP, before)
+
+
 def scratch(spark: SparkSession, purpose: str) -> str:
     """A new folder below the shared folder named by ``spark.checkpoint.dir``.
 

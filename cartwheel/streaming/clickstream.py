@@ -78,6 +78,7 @@ def start(
         .partitionBy(STAMP_DATE)
         .outputMode("append")
         .option("path", table_path)
+        .option("compression", tables.CODEC)
         .option("checkpointLocation", checkpoint_path)
     )
     trigger = {"processingTime": interval} if continuous else {"availableNow": True}

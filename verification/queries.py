@@ -377,7 +377,7 @@ def _pipeline_run(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     with scratch_folder(spark, "pipeline") as root:
         run(spark, sf_dir, inputs.CLICK_ROWS).write.csv(f"{root}/landing")
-        counts = run_pipeline(spark, source, root, click_path=f"{root}/landing", as_of=AS_OF)
+        counts = run_pipeline(spark, source, root, click_path=f"{root}/landing", as_of=AS_OF, keep_clicks=False)
         rows = counts.select("layer", "table_name", F.lit("*").alias("column_name"), F.col("row_count").alias("filled"))
         totals = [column_totals(parquet(spark, f"{root}/gold/{name}"), name) for group in GROUPS.values() for name in group]
         whole = reduce(
