@@ -398,7 +398,8 @@ def run_pipeline(
 ) -> DataFrame:
     """Clicks, raw, trusted and curated layer below ``root``; returns the rows held per table.
 
-    Without ``keep_clicks`` the click files are deleted once the raw layer has them all.
+    Without ``keep_clicks`` the folder of click files, to which nothing may be added meanwhile, is deleted once the raw
+    layer has them all.
     """
     raw, trusted, curated = (join_path(root, layer) for layer in ("bronze", "silver", "gold"))
     watermarks = Watermarks(spark, join_path(root, "watermarks"))
